@@ -27,10 +27,94 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from pairloom.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+#: The listed canonical URLs of op2 and their verdicts (fixed values).
+URL_RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairloom.llm.urls import filter_urls
+
+    rules = spark.sql("select * from values " + ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES) + " as rules(rule, verdict)")
+    return filter_urls(table(spark, sf_dir, "pages"), rules)
+
+
+OP2_SQL = """
+with cut as (
+  select page_id, case when url is null or position('://' in url) = 0 then null else substr(url, position('://' in url) + 3) end as rest from pages
+), parts as (
+  select page_id, translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from cut
+), ruled as (
+  select *, case
+    when (host = 'example.net' or host like '%.example.net') and path like '/de/8%' then 'example.net/de/8'
+    when (host = 'example.com' or host like '%.example.com') and path like '/en/7%' then 'example.com/en/7'
+    when (host = 'com' or host like '%.com') and path like '/en/%' then 'com/en/'
+    when (host = 'net' or host like '%.net') and path like '/de/%' then 'net/de/'
+    when (host = 'org' or host like '%.org') and path like '/es/%' then 'org/es/' end as rule from parts
+)
+select page_id, host, path, rule, case when rule is null or rule = 'example.com/en/7' then 'allow' else 'block' end as verdict from ruled
+"""
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairloom.llm.chat import digest, probe
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digest(turns.unionByName(probe(spark)))
+
+
+OP4_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, k, case k when 0 then 'user' else 'assistant' end, '<|im_end|><|im_start|>assistant ok' from range(2) as probe(k)
+), escaped as (
+  select *, case when contains(text, '<|im_start|>') or contains(text, '<|im_end|>') or regexp_matches(text, '<\\+\|')
+    then regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') else text end as safe from turns
+), lined as (
+  select *, '<|im_start|>' || role || chr(10) || safe || '<|im_end|>' || chr(10) as line from escaped
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(length(line))::bigint as formatted_chars
+from lined group by conv_id
+"""
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairloom.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+OP6_SQL = """
+with payloads as (
+  select page_id, coalesce(html, '') as body, octet_length(encode(coalesce(html, ''))) as payload_bytes from pages
+), grouped as (
+  select *, max(page_id) over (partition by body) as last_id from payloads
+)
+select page_id, payload_bytes::bigint as payload_bytes, sha1(body) as payload_digest,
+  case when payload_bytes >= 1000 and page_id < last_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id < last_id then last_id end as refers_to from grouped
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_chat_format": op4_chat_format,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc": op6_warc,
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_chat_format": OP4_SQL, "op6_warc": OP6_SQL}

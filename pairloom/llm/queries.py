@@ -107,12 +107,26 @@ select page_id, payload_bytes::bigint as payload_bytes, sha1(body) as payload_di
 """
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairloom.llm.line_dedup import line_report
+
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairloom.llm.decontam import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -39,6 +39,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block"))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairloom.llm.license_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pairloom.llm.urls import filter_urls
 
@@ -120,6 +126,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,

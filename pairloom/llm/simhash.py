@@ -253,3 +253,73 @@ def near_duplicates(docs: DataFrame, size: int = 3, r: int = 2) -> DataFrame:
         classes = classes.join(real, "component", "left").select("node", F.col("least").alias("component"))
     moved = materialize(reps.join(classes, F.col("rep") == F.col("node"), "left").select("fp", F.when(F.col("node").isNull(), F.when(F.col("rep") > -(2**61), F.col("rep"))).otherwise(F.col("component")).alias("component_id")), "classes")
     return found.join(moved, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: For similarity: so many bands of so many minimum hashes; two texts with Jaccard similarity 0.8 share a band with
+#: probability 1 - (1 - 0.8**5)**16 = 0.998.
+BANDS, ROWS = 16, 5
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band of minimum hashes of a set of shingles."""
+    rng = np.random.default_rng(17)
+    flip, by = (rng.integers(0, 2**63, BANDS * ROWS, dtype=np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(0, len(hashes), 2048):
+            np.minimum(low, ((hashes[k : k + 2048, None] ^ flip) * by).min(axis=0), out=low)
+    h = xxhash.xxh64_intdigest
+    return np.array([h(low[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)], np.uint64).view(np.int64)
+
+
+def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int = 2) -> DataFrame:
+    """(doc_id, component): near-duplicates on shingles of `size` words; documents without any are not returned.
+
+    Links are fingerprints within r bits, found by the trees above, and pairs of at least the given Jaccard similarity.
+    A similarity of 0.8 leaves about ten differing bits of 64; shells of that width hold most of all fingerprints, so a
+    tree prunes nothing there. Such pairs are found by bands of minimum hashes instead: each text is compared, exactly
+    and by its whole shingle set, with the first text of each of its bands' groups, so links stay linear in a group.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t, size) for t in batch.column(1).to_pylist()]
+            fps = np.array([fingerprint(s) for s in sets], np.uint64).view(np.int64)
+            keys = [band_keys(s).tolist() if len(s) else [] for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "bands"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                x, y = set(shingle_hashes(x, size).tolist()), set(shingle_hashes(y, size).tolist())
+                both = len(x & y)
+                if both >= similarity * (len(x) + len(y) - both):
+                    out.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ((), ()))], names=["a", "b"])
+
+    named = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    signed = materialize(named.mapInArrow(sign, "doc_id long, fp long, bands array<long>"), "signatures")
+    reps = materialize(signed.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most")), "reps")
+    copies = signed.select("doc_id", "fp").join(reps.where("most > rep").select("fp", "rep"), "fp").where("doc_id > rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # Texts with one fingerprint are near copies already; the first of them stands for all.
+    keyed = signed.join(reps.select(F.col("rep").alias("doc_id"), "fp"), ["doc_id", "fp"], "left_semi").select("doc_id", F.posexplode("bands").alias("band", "key"))
+    keyed = materialize(keyed, "bands")
+    firsts = materialize(keyed.groupBy("band", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("most")).where("most > first").select("band", "key", "first"), "firsts")
+    pairs = materialize(keyed.join(firsts, ["band", "key"]).where("doc_id > first").select("doc_id", "first").distinct(), "pairs")
+    texts = named.select(F.col("doc_id"), "text")
+    left = pairs.join(texts, "doc_id").select("doc_id", "first", F.col("text").alias("x"))
+    both = left.join(texts.select(F.col("doc_id").alias("first"), F.col("text").alias("y")), "first").select("doc_id", "first", "x", "y")
+    like = both.mapInArrow(compare, "a long, b long")
+    edges = links(reps.select("fp", "rep"), r).unionAll(copies).unionAll(like)
+    return components(edges).withColumnRenamed("node", "doc_id")
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The documents but for near-duplicates of one with a smaller id, all columns kept; rows with a null doc_id stay, of rows that repeat a doc_id one does."""
+    gone = materialize(near_groups(docs, size, similarity).where("doc_id <> component").select(F.col("doc_id").alias("__gone")), "gone")
+    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if again.isEmpty():
+        return left
+    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionAll(left.where("doc_id is null"))

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pairloom.plans import pair_queries, registry  # noqa: F401 - registers its queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = "dedup_pairs"
+QUERIES, ORACLE_SQL = registry.QUERIES, registry.SQL
+FLAGSHIP = "pair_dedup_tiered"

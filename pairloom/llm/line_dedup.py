@@ -151,7 +151,8 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
 def _with_spans(docs: DataFrame) -> DataFrame:
     spans = shared_blocks(docs).groupBy("doc_id").agg(F.collect_set(F.struct("first", "n")).alias("__spans"), F.array_sort(F.collect_set("other_id")).alias("__others"))
     spans = materialize(spans, "spans").withColumnRenamed("doc_id", "__doc")
-    return docs.join(spans, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
+    # One plan at every size: the texts move once, and what is to be cut is hashed on their side's partitions.
+    return docs.join(spans.hint("shuffle_hash"), F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
 
 
 def remove_shared_lines(docs: DataFrame) -> DataFrame:

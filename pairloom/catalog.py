@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairloom.plans import pair_queries, registry  # noqa: F401 - registers its queries
+from pairloom.plans import entity_queries, pair_queries, registry  # noqa: F401 - registers its queries
 
 QUERIES, ORACLE_SQL = registry.QUERIES, registry.SQL
 FLAGSHIP = "pair_dedup_tiered"

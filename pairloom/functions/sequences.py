@@ -62,7 +62,7 @@ def short_id(s: Column, prefix: str = "hp_") -> Column:
 
 def tokens(s: Column, separator: str = ";") -> Column:
     """Distinct trimmed non-empty tokens in order of appearance; NULL is an empty list."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), separator), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), separator), lambda x: F.btrim(x, F.lit(" \t\n\r\x0b\x0c"))), lambda x: x != ""))
 
 
 def lower_tokens(s: Column) -> Column:

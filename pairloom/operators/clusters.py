@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 K, BANDS, ROWS = 5, 8, 3
@@ -21,19 +21,32 @@ def from_map(rows: DataFrame, representative: str, member: str, pos: str) -> Dat
     return rows.groupBy(F.col(member).alias("member")).agg(F.min_by(representative, pos).alias("cluster"))
 
 
-def shingles(sequence, k: int = K):
-    """Distinct runs of k characters; the whole text if it is shorter."""
-    n = F.length(sequence) - (k - 1)
-    runs = F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(sequence, i, F.lit(k)))
-    return F.when(n > 1, F.array_distinct(runs)).otherwise(F.array(sequence))
+def shingles(sequence: Column, k: int = K) -> Column:
+    """Distinct runs of k characters (found by looking ahead, so in one scan); the whole text if it is shorter."""
+    runs = F.regexp_extract_all(sequence, F.lit(f"(?=(.{{{k}}}))"), 1)
+    return F.when(F.length(sequence) > k, F.array_distinct(runs)).otherwise(F.array(sequence))
+
+
+def _cut(df: DataFrame, what: str) -> DataFrame:
+    """Written to the shared folder and read back: later steps start from the table."""
+    sc = df.sparkSession.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not base:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pairloom-"))
+        base = sc.getCheckpointDir()
+    path = f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def similar_pairs(df: DataFrame, key: str, sequence: str, least: float) -> DataFrame:
     """(a, b): pairs of at least the given Jaccard similarity that share a band, each with the band group's first key."""
-    sets = df.where(F.length(sequence) > 0).select(F.col(key).alias("id"), shingles(F.col(sequence)).alias("set"))
-    low = [F.array_min(F.transform("set", lambda s, k=k: F.xxhash64(s, F.lit(k)))) for k in range(BANDS * ROWS)]
-    bands = F.array(*(F.xxhash64(F.lit(b), *low[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)))
-    keyed = sets.select("id", F.explode(bands).alias("band"))
+    sets = df.where(F.length(sequence) > 0).select(F.col(key).alias("id"), F.transform(shingles(F.col(sequence)), lambda x: F.xxhash64(x)).alias("set"))
+    sets = _cut(sets, "shingles")
+    each = sets.select("id", F.explode("set").alias("s"))
+    low = each.groupBy("id").agg(*(F.min(F.xxhash64("s", F.lit(k))).alias(f"m{k}") for k in range(BANDS * ROWS)))
+    bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{k}" for k in range(b * ROWS, (b + 1) * ROWS))) for b in range(BANDS)))
+    keyed = low.select("id", F.explode(bands).alias("band"))
     firsts = keyed.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("last > first").select("band", "first")
     pairs = keyed.join(firsts, "band").where("id > first").select("id", "first").distinct()
     x = pairs.join(sets, "id").join(sets.select(F.col("id").alias("first"), F.col("set").alias("other")), "first")
@@ -43,22 +56,14 @@ def similar_pairs(df: DataFrame, key: str, sequence: str, least: float) -> DataF
 
 def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 30) -> DataFrame:
     """(id, cluster): each node's smallest reachable id; labels jump along labels, with the lineage cut each round."""
-    spark = edges.sparkSession
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="pairloom-")
-
-    def cut(df: DataFrame) -> DataFrame:
-        path = f"{base.rstrip('/')}/labels-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    ends = cut(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(nodes.select(F.col(nodes.columns[0]).alias("id"), F.col(nodes.columns[0]).alias("cluster")))
+    edges = _cut(edges, "similar")
+    ends = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = _cut(nodes.select(F.col(nodes.columns[0]).alias("id"), F.col(nodes.columns[0]).alias("cluster")), "labels")
     for _ in range(rounds):
         near = ends.join(labels, ends.b == labels.id).groupBy("a").agg(F.min("cluster").alias("m"))
         new = labels.join(near, labels.id == near.a, "left").select("id", "cluster", F.least("cluster", F.coalesce("m", "cluster")).alias("new"))
         jump = new.select(F.col("id").alias("at"), F.col("new").alias("far"))
-        step = cut(new.join(jump, new.new == jump["at"], "left").select("id", "cluster", F.least("new", F.coalesce("far", "new")).alias("new")))
+        step = _cut(new.join(jump, new.new == jump["at"], "left").select("id", "cluster", F.least("new", F.coalesce("far", "new")).alias("new")), "labels")
         labels = step.select("id", F.col("new").alias("cluster"))
         if step.where("new <> cluster").isEmpty():
             return labels

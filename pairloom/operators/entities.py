@@ -59,7 +59,7 @@ def register(master: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_content = known.unionAll(minted.select("md5", "fpid"))
     resolved = fresh.join(by_content, "md5").select("source_id", "fpid", "pos")
     ids = aliases.unionAll(resolved.select("source_id", "fpid"))
-    old = master.select("fpid", F.transform(F.split(F.regexp_replace("original_ids", ",", ";"), ";"), F.trim).alias("old"))
+    old = master.select("fpid", F.transform(F.split(F.regexp_replace("original_ids", ",", ";"), ";"), lambda x: F.trim(x)).alias("old"))
     added = resolved.groupBy("fpid").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "source_id"))), lambda x: x["source_id"]).alias("new"))
     touched = added.join(old, "fpid", "left").join(minted.select("fpid", "md5", F.lit(True).alias("is_new")), "fpid", "left")
     names = F.array_distinct(F.concat(F.filter(F.coalesce("old", F.array().cast("array<string>")), lambda x: x != ""), "new"))

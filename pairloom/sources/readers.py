@@ -110,7 +110,7 @@ def sequence_source(df: DataFrame, name: str, normal=S.no_space) -> DataFrame:
 
 def read_json_folds(spark: SparkSession, path: str) -> DataFrame:
     """(fold, item) of a JSON file whose `folds` maps names to lists."""
-    x = spark.read.option("wholetext", True).text(path).select(F.from_json("value", "folds map<string, array<string>>").alias("x"))
+    x = spark.read.text(path, wholetext=True).select(F.from_json("value", "folds map<string, array<string>>").alias("x"))
     return x.select(F.explode("x.folds").alias("fold", "items")).select("fold", F.explode("items").alias("item"))
 
 
@@ -127,7 +127,7 @@ RESIDUES = {"ALA": "A", "ARG": "R", "ASN": "N", "ASP": "D", "CYS": "C", "GLN": "
 
 def read_structures(spark: SparkSession, path: str) -> DataFrame:
     """(path, chain, sequence) of PDB files: first model, standard residues, one letter each, in the order of the file."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), F.split("value", "\n").alias("lines"))
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.split("value", "\n").alias("lines"))
     stop = F.array_position(F.transform("lines", lambda x: F.substring(x, 1, 6)), "ENDMDL")
     first = F.when(stop > 0, F.slice("lines", 1, stop)).otherwise(F.col("lines"))
     atoms = lines.select("path", F.posexplode(first).alias("pos", "line")).where("substr(line, 1, 4) = 'ATOM'")

@@ -311,7 +311,8 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     left = pairs.join(texts, "doc_id").select("doc_id", "first", F.col("text").alias("x"))
     both = left.join(texts.select(F.col("doc_id").alias("first"), F.col("text").alias("y")), "first").select("doc_id", "first", "x", "y")
     like = both.mapInArrow(compare, "a long, b long")
-    edges = links(reps.select("fp", "rep"), r).unionAll(copies).unionAll(like)
+    near = materialize(links(reps.select("fp", "rep"), r), "links")
+    edges = near.unionAll(copies).unionAll(materialize(like, "alike"))
     return components(edges).withColumnRenamed("node", "doc_id")
 
 

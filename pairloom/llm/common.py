@@ -59,6 +59,18 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, key: str, n: int, rows: int) -> list:
+    """At most n rows with the smallest hashes of their key, for fitting an index or a classifier; the same on every run.
+
+    `rows` (how many there are, about) first thins the hashes to some 4 n, so that what tasks send to the driver is
+    bounded however many tasks there are.
+    """
+    share = min(1.0, 4 * n / max(1, rows))
+    h = F.xxhash64(key, F.lit(1))
+    thin = df.where(F.pmod(h, F.lit(1 << 40)) < int(share * (1 << 40)))
+    return thin.orderBy(h, key).limit(n).collect()
+
+
 def hash_words(words: list[bytes]) -> np.ndarray:
     """XXH64 of each word."""
     h = xxhash.xxh64_intdigest

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import components, materialize
+from pairloom.llm.common import components, hash_sample, materialize
 
 #: Fingerprints that the tree is fitted on, at most; and how many of all fingerprints a shard should hold.
 SAMPLE, SHARD = 32768, 512
@@ -197,7 +197,7 @@ def link_shard(fps: np.ndarray, r: int) -> Forest:
 def links(reps: DataFrame, r: int = 2) -> DataFrame:
     """Spanning links (a, b) among distinct fingerprints (fp, rep) that differ in at most r bits."""
     n = reps.count()
-    sample = np.array([x.fp for x in reps.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], np.int64).view(np.uint64)
+    sample = np.array([x.fp for x in hash_sample(reps.select("fp"), "fp", SAMPLE, n)], np.int64).view(np.uint64)
     tree, shards = fit_tree(sample, r, min(SAMPLE // 8, -(-n // SHARD)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

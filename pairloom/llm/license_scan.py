@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.common import hash_sample
+
 UNKNOWN = "unknown"
 #: Paragraphs of the documents that the classifier sees as unknown, at most.
 SAMPLE = 4000
@@ -244,7 +246,7 @@ def train(unknown: list[str], epochs: int = 60, penalty: float = 2e-4, seed: int
 def unknown_sample(docs: DataFrame, n: int = SAMPLE) -> list[str]:
     """At most n paragraphs of the documents, those with the smallest hashes; any that a template confirms are left out."""
     first = docs.select(F.expr("filter(split(text, '\\n'), x -> length(x) > 20)").alias("p")).select(F.expr("get(p, cast(pmod(xxhash64(size(p), get(p, 0)), greatest(size(p), 1)) as int))").alias("t")).where("t is not null")
-    found = [x.t[:2000] for x in first.distinct().orderBy(F.xxhash64("t", F.lit(1)), "t").limit(n).collect()]
+    found = [x.t for x in hash_sample(first.select(F.substring("t", 1, 2000).alias("t")).distinct(), "t", n, docs.count())]
     check = Classifier({}, np.zeros(len(FAMILIES)), 1.0, 1.0)
     return [t for t in found if not (set(tokens(t)) & check.known and any(check.confirm(t, f)[0] for f in TEMPLATES))]
 

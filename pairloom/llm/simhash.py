@@ -278,7 +278,8 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     Links are fingerprints within r bits, found by the trees above, and pairs of at least the given Jaccard similarity.
     A similarity of 0.8 leaves about ten differing bits of 64; shells of that width hold most of all fingerprints, so a
     tree prunes nothing there. Such pairs are found by bands of minimum hashes instead: each text is compared, exactly
-    and by its whole shingle set, with the first text of each of its bands' groups, so links stay linear in a group.
+    and by its whole shingle set, with the first text and with the hub of each of its bands' groups, so links stay linear
+    in a group.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,8 +306,15 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     # Texts with one fingerprint are near copies already; the first of them stands for all.
     keyed = signed.join(reps.select(F.col("rep").alias("doc_id"), "fp"), ["doc_id", "fp"], "left_semi").select("doc_id", F.posexplode("bands").alias("band", "key"))
     keyed = materialize(keyed, "bands")
-    firsts = materialize(keyed.groupBy("band", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("most")).where("most > first").select("band", "key", "first"), "firsts")
-    pairs = materialize(keyed.join(firsts, ["band", "key"]).where("doc_id > first").select("doc_id", "first").distinct(), "pairs")
+    firsts = materialize(keyed.groupBy("band", "key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
+    grouped = materialize(keyed.join(firsts, ["band", "key"]), "grouped")
+    # The hub of a band group is the member whose groups are largest in sum: an original, or what is closest to it.
+    score = materialize(grouped.groupBy("doc_id").agg(F.sum("n").alias("score")), "scores")
+    hubs = grouped.join(score, "doc_id").groupBy("band", "key").agg(F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("hub"))
+    hubs = materialize(hubs, "hubs")
+    stars = grouped.select("doc_id", "first").unionAll(grouped.select("doc_id", "band", "key").join(hubs, ["band", "key"]).select("doc_id", "hub"))
+    pairs = stars.where("doc_id <> first").select(F.greatest("doc_id", "first").alias("doc_id"), F.least("doc_id", "first").alias("first")).distinct()
+    pairs = materialize(pairs, "pairs")
     texts = named.select(F.col("doc_id"), "text")
     left = pairs.join(texts, "doc_id").select("doc_id", "first", F.col("text").alias("x"))
     both = left.join(texts.select(F.col("doc_id").alias("first"), F.col("text").alias("y")), "first").select("doc_id", "first", "x", "y")

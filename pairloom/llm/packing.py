@@ -20,6 +20,7 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pairloom.llm.common import materialize
 
 CAPACITY, END = 1024, 2
 #: Chunks (a space and what follows it) whose ids a worker remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 _encoders: dict[str, Encoder] = {}
@@ -72,10 +73,15 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
+        self.path, self.known, self.closing = path, {}, {}
+        self.quick = _quick(path)
+
+    @cached_property
+    def tokenizer(self):
+        """Loaded when a text needs it: a worker that meets plain chunks only holds one vocabulary."""
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.closing = Tokenizer.from_file(path), {}, {}
-        self.quick = _quick(path)
+        return Tokenizer.from_file(self.path)
 
     def _ids(self, text: str) -> bytes:
         if self.quick is not None and _PLAIN.fullmatch(text):

@@ -9,16 +9,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 STANDARD_RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
+#: Unicode white space, as splitting a text without a separator takes it (fixed values).
+SPACE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def letters_only(s: Column) -> Column:
     """Contract rule: ASCII letters only, upper case."""
-    return F.upper(F.regexp_replace(s, "[^A-Za-z]", ""))
+    return F.upper(F.regexp_replace(s, "[^A-Za-z]+", ""))
 
 
 def no_space(s: Column) -> Column:
     """Split rule: upper case without any (Unicode) white space; * and - stay."""
-    return F.regexp_replace(F.upper(s), r"(?U)\s+", "")
+    return F.regexp_replace(F.upper(s), r"(?U)[\s\x1c-\x1f]+", "")
 
 
 def no_space_no_stop(s: Column) -> Column:
@@ -28,7 +30,7 @@ def no_space_no_stop(s: Column) -> Column:
 
 def stripped_upper(s: Column) -> Column:
     """Upper case, white space off at both ends only."""
-    return F.upper(F.regexp_replace(s, r"(?U)^\s+|\s+$", ""))
+    return F.upper(F.btrim(s, F.lit(SPACE)))
 
 
 def no_space_no_stops(s: Column) -> Column:

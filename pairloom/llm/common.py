@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +73,13 @@ def hash_sample(df: DataFrame, key: str, n: int, rows: int) -> list:
     return thin.orderBy(h, key).limit(n).collect()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches (views, not copies), so that a worker holds few texts as Python objects at once."""
+    for batch in batches:
+        for k in range(0, len(batch), rows):
+            yield batch.slice(k, rows)
+
+
 def hash_words(words: list[bytes]) -> np.ndarray:
     """XXH64 of each word."""
     h = xxhash.xxh64_intdigest

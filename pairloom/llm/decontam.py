@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import materialize
+from pairloom.llm.common import materialize, slices
 
 BLOCK, RANK, EXTRA = 400, 64, 8
 WINDOW, STRIDE = 32, 16
@@ -102,7 +102,7 @@ def term_positions(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = terms.get
-        for batch in batches:
+        for batch in slices(batches):
             docs, sizes, at, term, ends = [], [], [], [], [0]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = plain_words(text)
@@ -135,7 +135,7 @@ def document_frequency(found: DataFrame, n_terms: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_terms, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             who, _, term = _lists(batch)
             total += np.bincount(np.unique(who * n_terms + term) % n_terms, minlength=n_terms)
         some = np.flatnonzero(total)
@@ -173,7 +173,7 @@ def latent_basis(found: DataFrame, idf: np.ndarray, items: Items) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n_terms, width))
-        for batch in batches:
+        for batch in slices(batches):
             for part in (batch.slice(k, 500) for k in range(0, len(batch), 500)):
                 who, at, term = _lists(part)
                 if len(term):
@@ -212,7 +212,7 @@ def candidates(found: DataFrame, idf: np.ndarray, basis: np.ndarray, items: Item
     has /= np.maximum(has.sum(axis=1, keepdims=True), 1e-9)  # each term's share of its passage's weight
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for part in (batch.slice(k, 200) for k in range(0, len(batch), 200)):
                 yield from search(part)
 
@@ -291,7 +291,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         near = materialize(near, "candidates")
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 out: dict[tuple[int, int], tuple] = {}
                 for doc, text, spots in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                     words = plain_words(text)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import hash_sample
+from pairloom.llm.common import hash_sample, slices
 
 UNKNOWN = "unknown"
 #: Paragraphs of the documents that the classifier sees as unknown, at most.
@@ -259,7 +259,7 @@ def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = given.value
         known = model.known
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for k, line in enumerate(text.split("\n") if text else ()):

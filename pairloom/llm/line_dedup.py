@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import materialize
+from pairloom.llm.common import materialize, slices
 
 LINE_WORDS, RARE = 5, 16
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -111,7 +111,7 @@ def shared_blocks(docs: DataFrame) -> DataFrame:
     """(doc_id, other_id, first, n): lines of doc_id to delete, which the earlier document other_id has; n is -1 for all of a whole copy."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [line_hashes(t) for t in batch.column(1).to_pylist()]
             sha = [hashlib.sha1(r.tobytes()).digest() for r in rows]
             flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
@@ -119,7 +119,7 @@ def shared_blocks(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64())), pa.array(sha, pa.binary())], names=["doc_id", "lines", "sha"])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = [(d, f, at, n) for d, f, a, b in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True) for at, n in blocks(a, b)]
             cols = list(zip(*out, strict=True)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "other_id", "first", "n"])
@@ -160,7 +160,7 @@ def remove_shared_lines(docs: DataFrame) -> DataFrame:
     schema, names = docs.schema, docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, keep = batch.column(names.index("text")).to_pylist(), []
             for k, spans in enumerate(batch.column(len(names)).to_pylist()):
                 if spans:
@@ -180,7 +180,7 @@ def line_report(docs: DataFrame) -> DataFrame:
     schema = "doc_id long, n_lines long, n_removed long, kept_sha256 string, others array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc, text, spans, others in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 kept, n = _cut(text or "", [(x["first"], x["n"]) for x in spans or ()])

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import materialize
+from pairloom.llm.common import materialize, slices
 
 CAPACITY, END = 1024, 2
 #: Chunks (a space and what follows it) whose ids a worker remembers at most.
@@ -142,7 +142,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen, encode = TaskContext.get().partitionId(), [0] * (capacity + 1), encoder(vocabulary).encode
         end = np.array([END], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encode(text or "") + end
@@ -242,7 +242,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
     where = places(plan(counts, capacity))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             length, rank = (batch.column(k).to_numpy() for k in (3, 5))
             seq, off = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
             for one in np.unique(length).tolist():

@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 
+from pairloom.llm.common import slices
+
 #: (shorter than so many bytes, least ratio, largest ratio) for whole documents; texts under MIN_BYTES are not judged
 #: because the frame's own bytes dominate their ratio.
 WHOLE_BANDS = ((1024, 1.05, 3.5), (4096, 1.15, 5.0), (16384, 1.25, 6.5), (float("inf"), 1.3, 8.0))
@@ -96,7 +98,7 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [judge(t, press) for t in batch.column(1).to_pylist()]
             cols = list(zip(*rows, strict=True)) if rows else [()] * 11
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64(), pa.int64(), pa.int64(), pa.string()]
@@ -110,7 +112,7 @@ def keep_quality(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in slices(batches):
             keep = pa.array([judge(t, press)[6] for t in batch.column(at).to_pylist()], pa.bool_())
             yield batch.filter(pc.fill_null(keep, False))
 

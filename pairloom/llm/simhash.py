@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import components, hash_sample, materialize
+from pairloom.llm.common import components, hash_sample, materialize, slices
 
 #: Fingerprints that the tree is fitted on, at most; and how many of all fingerprints a shard should hold.
 SAMPLE, SHARD = 32768, 512
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     """(doc_id, fp): the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = np.array([fingerprint(shingle_hashes(t, size)) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64), pa.int64())], names=["doc_id", "fp"])
 
@@ -201,7 +201,7 @@ def links(reps: DataFrame, r: int = 2) -> DataFrame:
     tree, shards = fit_tree(sample, r, min(SAMPLE // 8, -(-n // SHARD)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps, rep = (batch.column(k).to_numpy() for k in (0, 1))
             rows, shard, _ = route(fps.view(np.uint64), tree, r)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shard, fps[rows], rep[rows])], names=["shard", "fp", "rep"])
@@ -224,7 +224,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
     """Rows of each shard, from batches that are sorted by shard."""
     kept: list[pa.RecordBatch] = []
     now = None
-    for batch in batches:
+    for batch in slices(batches):
         ids = batch.column(0).to_numpy()
         cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
         for a, b in zip(cuts, cuts[1:], strict=False):
@@ -283,14 +283,14 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_hashes(t, size) for t in batch.column(1).to_pylist()]
             fps = np.array([fingerprint(s) for s in sets], np.uint64).view(np.int64)
             keys = [band_keys(s).tolist() if len(s) else [] for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "bands"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 x, y = set(shingle_hashes(x, size).tolist()), set(shingle_hashes(y, size).tolist())

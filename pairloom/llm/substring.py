@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import hash_words, materialize, mix, sliding_min, words_of
+from pairloom.llm.common import hash_words, materialize, mix, slices, sliding_min, words_of
 
 WINDOW, MINIMISER, GROUP = 50, 16, 512
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -64,7 +64,7 @@ def _column(values: list, kind: str) -> pa.Array:
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text -> key, doc_id, mini, first, n. key names the row: its position is no use after a shuffle."""
-    for batch in batches:
+    for batch in slices(batches):
         docs, first, n, mini = [], [], [], []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             a, b, c = super_kmers(words_of(text))
@@ -81,7 +81,7 @@ def _digest(words: list[bytes]) -> bytes:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text, runs -> a row for each super-k-mer (its words), or for each window of a frequent minimiser (its digest)."""
-    for batch in batches:
+    for batch in slices(batches):
         out: list[tuple] = []
         for doc, text, runs in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             words = words_of(text)
@@ -148,7 +148,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(d):
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(at, pa.int32())], names=["doc_id", "at"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for mini, doc, first, packed in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
             if mini != now:
                 yield from close()
@@ -158,7 +158,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for doc, text, copy, at in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
             words = words_of(text)

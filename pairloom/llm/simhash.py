@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import components, hash_sample, materialize, slices
+from pairloom.operators.clusters import missed_links
 
 #: Fingerprints that the tree is fitted on, at most; and how many of all fingerprints a shard should hold.
 SAMPLE, SHARD = 32768, 512
@@ -278,8 +279,10 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     Links are fingerprints within r bits, found by the trees above, and pairs of at least the given Jaccard similarity.
     A similarity of 0.8 leaves about ten differing bits of 64; shells of that width hold most of all fingerprints, so a
     tree prunes nothing there. Such pairs are found by bands of minimum hashes instead: each text is compared, exactly
-    and by its whole shingle set, with the first text and with the hub of each of its bands' groups, so links stay linear
-    in a group.
+    and by its whole shingle set, with the first text and with the hub of each of its bands' groups. What that leaves
+    unconnected in a group is then compared exactly with everything in it that it isn't connected to, so every pair that
+    shares a band is decided. Links stay linear in a group; comparisons are quadratic only in the texts of a group that
+    are not like its most common class.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +324,15 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     like = both.mapInArrow(compare, "a long, b long")
     near = materialize(links(reps.select("fp", "rep"), r), "links")
     edges = near.unionAll(copies).unionAll(materialize(like, "alike"))
-    return components(edges).withColumnRenamed("node", "doc_id")
+    classes = materialize(components(edges), "near-classes")
+    members = grouped.select(F.col("doc_id").alias("id"), F.col("key").alias("group"))
+    known = classes.select(F.col("node").alias("id"), F.col("component").alias("class"))
+    # A repeated doc_id counts once, by one of its texts.
+    value = texts.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("value")).withColumnRenamed("doc_id", "id")
+    more = materialize(missed_links(members, known, value, similarity, lambda t: set(shingle_hashes(t, size).tolist())), "more")
+    if not more.isEmpty():
+        classes = components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b").unionAll(more))
+    return classes.withColumnRenamed("node", "doc_id")
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 K, BANDS, ROWS = 5, 8, 3
+#: Members of a side of a cell in missed_links().
+CELL = 64
 
 
 def from_map(rows: DataFrame, representative: str, member: str, pos: str) -> DataFrame:
@@ -54,6 +58,73 @@ def similar_pairs(df: DataFrame, key: str, sequence: str, least: float) -> DataF
     return x.where(both >= F.lit(least) * (F.size("set") + F.size("other") - both)).select(F.col("id").alias("a"), F.col("first").alias("b"))
 
 
+def _like(members: list[tuple], least: float, inside: bool) -> list[tuple]:
+    """Links (a, b) of a cell's members (id, side, class, set), by union-find over the classes: pairs in one class already are left out."""
+    up: dict = {}
+
+    def find(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    found = []
+    members.sort(key=lambda m: len(m[3]))
+    for k, (a, side, own, x) in enumerate(members):
+        for b, other_side, other, y in members[k + 1 :]:
+            if len(x) < least * len(y):
+                break
+            if (inside or side != other_side) and (p := find(own)) != (q := find(other)):
+                both = len(x & y)
+                if both >= least * (len(x) + len(y) - both):
+                    found.append((a, b))
+                    up[q] = p
+    return found
+
+
+def missed_links(grouped: DataFrame, classes: DataFrame, values: DataFrame, least: float, as_set: Callable[[object], set]) -> DataFrame:
+    """(a, b): links between all members of a group (id, group) that a comparison with single members has left in different classes.
+
+    Every pair of a group that is not in one class (id, class; absent ids are classes of their own) is compared exactly,
+    by the sets that as_set() makes of values (id, value); no pair is passed over. Pairs within the group's largest
+    class need no comparison, so the work is linear in that and quadratic only in the others. Members are dealt into
+    sides of about CELL, and each two sides are a cell: no group gathers in a task.
+    """
+    members = grouped.join(classes, "id", "left").select("id", "group", F.coalesce("class", "id").alias("class"))
+    members = _cut(members, "members")
+    counts = members.groupBy("group", "class").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(id))").alias("mark"))
+    whole = counts.groupBy("group").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"), F.count("*").alias("n_classes"), F.expr("bit_xor(mark)").alias("mark"))
+    open_groups = _cut(whole.where("n_classes > 1 and n > 2").dropDuplicates(["mark", "n"]), "groups")  # of groups with the same members, one
+    x = members.join(open_groups, "group").withColumn("__rest", F.expr(f"cast(ceil((n - n_main) / {CELL}) as int)")).withColumn("__main", F.expr(f"cast(ceil(n_main / {CELL}) as int)"))
+    x = x.withColumn("side", F.expr("cast(if(class = main, __rest + pmod(xxhash64(id, 7), __main), pmod(xxhash64(id, 7), __rest)) as int)"))
+    others = F.expr("if(class = main, sequence(0, __rest - 1), sequence(0, __rest + __main - 1))")
+    x = x.select("id", "group", "class", "side", F.explode(others).alias("__other"))
+    x = x.select("group", F.least("side", "__other").alias("i"), F.greatest("side", "__other").alias("j"), "id", "side", "class")
+    x = x.join(values, "id").select("group", "i", "j", "id", "side", "class", "value").repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
+    kind = dict(grouped.dtypes)["id"]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for k in range(0, len(batch), 100):
+                    yield from zip(*(c.to_pylist() for c in batch.slice(k, 100).columns), strict=True)
+
+        def done(at: tuple, held: list[tuple]) -> pa.RecordBatch:
+            found = _like(held, least, at[1] == at[2])
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64() if kind == "bigint" else pa.string()) for k in (0, 1)], names=["a", "b"])
+
+        at, held = None, []
+        for *key, id_, side, own, value in rows():
+            if held and key != at:
+                yield done(at, held)
+                held = []
+            at = key
+            held.append((id_, side, own, as_set(value)))
+        if held:
+            yield done(at, held)
+
+    return x.mapInArrow(search, f"a {kind}, b {kind}")
+
+
 def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 30) -> DataFrame:
     """(id, cluster): each node's smallest reachable id; labels jump along labels, with the lineage cut each round."""
     edges = _cut(edges, "similar")

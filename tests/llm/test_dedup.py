@@ -95,6 +95,28 @@ def test_stage_keeps_one_of_each_group(corpus, texts, empty):
     assert simhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_pairs_among_many_texts_of_one_template_are_linked(spark):
+    """Texts on one template (about 0.77 to each other), and pairs of 0.8 among them that are like neither first nor hub."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    template = [word() for _ in range(200)]
+    own = lambda n: [word() for _ in range(n)]
+    texts = [" ".join(template + own(34)) for _ in range(160)]
+    for k in range(40):
+        tail = own(34)
+        texts += [" ".join(template + tail), " ".join(template[24:] + tail + own(27))]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    texts = [texts[k] for k in order]
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    keys = [set(simhash.band_keys(simhash.shingle_hashes(t, 5)).tolist()) for t in texts]
+    pairs = [(a, b) for a, b in pairs if keys[a] & keys[b]]
+    assert len(pairs) >= 35
+    got = {r.doc_id: r.component for r in simhash.near_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()}
+    assert not [(a, b) for a, b in pairs if got.get(a, a) != got.get(b, b)]
+
+
 def brute_removed(texts):
     first, out = {}, {}
     for doc, t in texts:

@@ -200,6 +200,18 @@ def test_lines_equal_brute_force(corpus, texts, empty):
     assert text and line_dedup.remove_shared_lines(empty).count() == line_dedup.line_report(empty).count() == 0
 
 
+def test_a_passage_of_one_line_goes_from_all_but_its_first_document(spark):
+    """In 40 otherwise different documents, and two frequent lines in a row whose first holders differ."""
+    rng = random.Random(9)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    passage, one, two = line(60), line(12), line(12)
+    rows = [(k, f"{line(9)}\n{passage}\n{line(9)}") for k in range(40)] + [(100, f"{one}\n{line(9)}"), (101, f"{two}\n{line(9)}")]
+    rows += [(200 + k, f"{line(9)}\n{one}\n{two}\n{line(9)}") for k in range(30)]
+    left = {r.doc_id: r.text for r in line_dedup.remove_shared_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    firsts = {0, 100, 101}
+    assert left == {d: t if d in firsts else "\n".join(x for x in t.split("\n") if x not in (passage, one, two)) for d, t in rows}
+
+
 def test_benchmark_items_are_found_and_others_are_not(spark, corpus, empty):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("aeiou" if k % 2 else "vwxzkhj") for k in range(rng.randint(3, 8)))

@@ -34,7 +34,7 @@ from pairloom.llm.common import materialize, slices
 BLOCK, RANK, EXTRA = 400, 64, 8
 WINDOW, STRIDE = 32, 16
 LEAST_WORDS, LEAST_TERMS = 8, 3
-COSINE, OVERLAP, TERM_COPY = 0.5, 0.3, 0.5
+COSINE, OVERLAP = 0.5, 0.3
 #: What the benchmark's passages weigh in the SVD, against all passages of the documents.
 ITEM_WEIGHT = 0.5
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
@@ -206,6 +206,8 @@ def candidates(found: DataFrame, idf: np.ndarray, basis: np.ndarray, items: Item
     known = (known / np.maximum(np.linalg.norm(known, axis=1, keepdims=True), 1e-9)).astype(np.float32)
     scaled = (basis * idf[:, None]).astype(np.float32)
     sizes = [len(w) for w in items.words]
+    # What confirm() accepts lacks at most 1 - PARAPHRASE of the words, so at most so many of the terms.
+    least = [max(1, len(t) - int((1 - PARAPHRASE) * len(w) + 1e-9)) for t, w in zip(items.sequences, items.words, strict=True)]
     has = np.zeros((len(items.passages), len(idf)), np.float32)
     for k, (_, t) in enumerate(items.passages):
         has[k, t] = (idf[t] ** 2).astype(np.float32)
@@ -249,9 +251,9 @@ def candidates(found: DataFrame, idf: np.ndarray, basis: np.ndarray, items: Item
         ends = np.searchsorted(who, np.arange(len(part) + 1))
         for d, start, item in sorted(seen):
             own = at[ends[d] : ends[d + 1]]
-            low, high = np.searchsorted(own, (start - sizes[item], start + WINDOW + sizes[item]))
+            low, high = np.searchsorted(own, (start - sizes[item], start + WINDOW + sizes[item] * 3 // 2))
             sequence = items.sequences[item]
-            if lcs(sequence, term[ends[d] + low : ends[d] + high].tolist()) >= TERM_COPY * len(sequence):
+            if lcs(sequence, term[ends[d] + low : ends[d] + high].tolist()) >= least[item]:
                 out.append((int(docs[d]), item, start))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "item", "at"])

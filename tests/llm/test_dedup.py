@@ -254,6 +254,24 @@ def test_benchmark_items_are_found_and_others_are_not(spark, corpus, empty):
     assert decontam.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_paraphrases_that_change_only_rare_words_are_found(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("aeiou" if k % 2 else "vwxzkhj") for k in range(8))
+    common = [word() for _ in range(8)]
+    items, rows = [], []
+    for k in range(25):
+        head = [x for j in range(8) for x in (word(), common[j], word())][:24]  # 16 rare words, 8 common ones
+        answer = " ".join(word() for _ in range(6)).capitalize() + "."
+        items.append(" ".join(head).capitalize() + ". " + answer)
+        rare = [j for j in range(24) if j % 3 != 1]
+        for j in rare[:12]:
+            head[j] = word()
+        rows.append((k, " ".join(head).capitalize() + ". " + answer + " " + " ".join(word() for _ in range(80))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == {(k, k) for k in range(25)}
+
+
 def test_lcs():
     for s in range(100):
         r = random.Random(s)

@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame
 from pairloom.llm.common import slices
 
 #: (shorter than so many bytes, least ratio, largest ratio) for whole documents; texts under MIN_BYTES are not judged
-#: because the frame's own bytes dominate their ratio.
-WHOLE_BANDS = ((1024, 1.05, 3.5), (4096, 1.15, 5.0), (16384, 1.25, 6.5), (float("inf"), 1.3, 8.0))
+#: because the frame's own bytes dominate their ratio. The least ratios lie above base64 with line breaks (1.19, 1.26,
+#: 1.31, 1.33 and 1.33 at most) and below the prose of the documents (1.34, 1.41, 1.68, 2.09 and 2.33 at least).
+WHOLE_BANDS = ((512, 1.22, 3.5), (1024, 1.3, 3.5), (4096, 1.36, 5.0), (16384, 1.38, 6.5), (float("inf"), 1.4, 8.0))
 MIN_BYTES = 256
 CHUNK_BYTES = 4096
 #: Least and largest ratio of a full chunk, and of the shorter last one if it has at least CHUNK_BYTES / 4.
-CHUNK_BAND = (1.15, 5.0)
+CHUNK_BAND = (1.36, 5.0)
 #: A document goes if more than this share of its judged chunks lies outside the band.
 CHUNK_SHARE = 0.5
 MIN_WORDS = 50

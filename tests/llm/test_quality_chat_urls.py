@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import os
+import random
 import re
 
 import duckdb
@@ -40,6 +41,17 @@ def test_bands_reject_both_ends_and_leave_prose():
     assert quality.bands(half, press)[3] in ("repetitive", "chunks")
 
 
+@pytest.mark.parametrize("size", [300, 511, 600, 1023, 1100, 4095, 4200, 16000, 17000, 81000])
+def test_base64_with_line_breaks_is_rejected_at_every_length(size):
+    press = zstandard.ZstdCompressor(level=3)
+    raw = base64.encodebytes(random.Random(size).randbytes(size))[:size]
+    assert quality.bands(raw, press)[3] == "incompressible"
+    prose = open(__file__, "rb").read()[:4096]
+    mixed = b"".join(base64.encodebytes(random.Random(size + k).randbytes(4096))[:4096] if k % 3 else prose for k in range(12))
+    _, bad, judged, _ = quality.bands(mixed, press)
+    assert bad > quality.CHUNK_SHARE * judged
+
+
 def test_kept_documents_keep_their_columns(corpus, empty):
     kept = quality.keep_quality(corpus)
     assert kept.schema == corpus.schema

@@ -2,11 +2,12 @@
 
 Alignment-based clustering is an external engine's work and enters as a cluster map (representative, member). The
 native form links sequences that share a key of minimum shingle hashes and whose shingle sets overlap enough, to the
-group's first sequence, and takes connected components.
+group's first sequence or, where that leaves classes apart, to any other of the group, and takes connected components.
 """
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-K, BANDS, ROWS = 5, 8, 3
+K = 5
+#: Pairs at the similarity asked for share no band with this probability at most; at most so many bands, if rows allow.
+MISSED, MOST_BANDS = 0.002, 40
 #: Members of a side of a cell in missed_links().
 CELL = 64
 
@@ -43,14 +46,29 @@ def _cut(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def similar_pairs(df: DataFrame, key: str, sequence: str, least: float) -> DataFrame:
-    """(a, b): pairs of at least the given Jaccard similarity that share a band, each with the band group's first key."""
+def bands_and_rows(least: float) -> tuple[int, int]:
+    """Bands and minimum hashes a band, by which pairs of the given Jaccard similarity meet but for MISSED of them."""
+    for rows in (3, 2, 1):
+        p = min(max(least, 0.01) ** rows, 1 - MISSED)
+        bands = math.ceil(math.log(MISSED) / math.log(1 - p))
+        if bands <= MOST_BANDS:
+            break
+    return bands, rows
+
+
+def banded(df: DataFrame, key: str, sequence: str, least: float) -> tuple[DataFrame, DataFrame]:
+    """Shingle sets (id, set) and bands (id, band)."""
+    n, rows = bands_and_rows(least)
     sets = df.where(F.length(sequence) > 0).select(F.col(key).alias("id"), F.transform(shingles(F.col(sequence)), lambda x: F.xxhash64(x)).alias("set"))
     sets = _cut(sets, "shingles")
     each = sets.select("id", F.explode("set").alias("s"))
-    low = each.groupBy("id").agg(*(F.min(F.xxhash64("s", F.lit(k))).alias(f"m{k}") for k in range(BANDS * ROWS)))
-    bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{k}" for k in range(b * ROWS, (b + 1) * ROWS))) for b in range(BANDS)))
-    keyed = low.select("id", F.explode(bands).alias("band"))
+    low = each.groupBy("id").agg(*(F.min(F.xxhash64("s", F.lit(k))).alias(f"m{k}") for k in range(n * rows)))
+    bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{k}" for k in range(b * rows, (b + 1) * rows))) for b in range(n)))
+    return sets, _cut(low.select("id", F.explode(bands).alias("band")), "bands")
+
+
+def similar_pairs(sets: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs of at least the given Jaccard similarity that share a band, each with the band group's first key."""
     firsts = keyed.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("last > first").select("band", "first")
     pairs = keyed.join(firsts, "band").where("id > first").select("id", "first").distinct()
     x = pairs.join(sets, "id").join(sets.select(F.col("id").alias("first"), F.col("set").alias("other")), "first")
@@ -143,4 +161,11 @@ def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 30) -> DataFrame
 
 def cluster(df: DataFrame, key: str, sequence: str, least: float = 0.4) -> DataFrame:
     """(id, cluster) for every row's key."""
-    return connected(similar_pairs(df, key, sequence, least), df.select(key).distinct())
+    nodes = df.select(key).distinct()
+    sets, keyed = banded(df, key, sequence, least)
+    stars = _cut(similar_pairs(sets, keyed, least), "stars")
+    labels = connected(stars, nodes)
+    known = labels.select("id", F.col("cluster").alias("class"))
+    value = sets.groupBy("id").agg(F.min("set").alias("value"))
+    more = _cut(missed_links(keyed.select("id", F.col("band").alias("group")), known, value, least, set), "more")
+    return labels if more.isEmpty() else connected(stars.unionAll(more), nodes)

@@ -1,3 +1,4 @@
+import random
 """Small cases of the rules that are easy to get wrong."""
 
 import numpy as np
@@ -185,6 +186,18 @@ def test_clusters_join_alike_sequences(spark):
     assert got == {"a": "a", "b": "a", "d": "a", "c": "c", "e": "e"}
 
 
+def test_clusters_find_pairs_at_the_similarity_asked_for(spark):
+    rng = random.Random(3)
+    part = lambda n: "".join(rng.choices("ACDEFGHIKLMNPQRSTVWY", k=n))
+    rows = []
+    for k in range(30):  # Jaccard similarity 0.42
+        both = part(180)
+        rows += [(f"{k}a", both + part(120)), (f"{k}b", both + part(120))]
+    got = dict(map(tuple, clusters.cluster(spark.createDataFrame(rows, "id string, s string"), "id", "s").collect()))
+    assert sum(got[f"{k}b"] == f"{k}a" for k in range(30)) >= 29
+    assert len(set(got.values())) >= 30
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "x.fasta").write_text(">sp|P1|A one\nMK\nta*\n>b two\nCC\n>b again\nGG\n")
     x = readers.read_fasta(spark, str(tmp_path / "x.fasta"))

@@ -98,7 +98,7 @@ def answer_of(text: str) -> str:
 
 
 def term_positions(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
-    """(doc_id, n_words, at, term): where each document has the terms; documents with fewer than LEAST_TERMS are left out."""
+    """(doc_id, n_words, at, term): where each document has the terms; documents with none are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = terms.get
@@ -108,7 +108,7 @@ def term_positions(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
                 words = plain_words(text)
                 ids = list(map(get, words))
                 here = [k for k, x in enumerate(ids) if x is not None]
-                if len(here) >= LEAST_TERMS:
+                if here:
                     docs.append(doc)
                     sizes.append(len(words))
                     at += here

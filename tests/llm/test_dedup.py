@@ -272,6 +272,12 @@ def test_paraphrases_that_change_only_rare_words_are_found(spark):
     assert got == {(k, k) for k in range(25)}
 
 
+def test_frequencies_count_documents_with_few_terms(spark):
+    docs = spark.createDataFrame([(1, "alpha x"), (2, "alpha beta"), (3, "beta alpha beta gamma"), (4, "x y"), (5, None)], "doc_id long, text string")
+    found = decontam.term_positions(docs, {b"alpha": 0, b"beta": 1, b"gamma": 2})
+    assert decontam.document_frequency(found, 3).tolist() == [3, 2, 1]
+
+
 def test_lcs():
     for s in range(100):
         r = random.Random(s)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,16 +11,15 @@ from pyspark.sql import functions as F
 EVIDENCE_TYPES = ("no_exp", "LTP", "HTP", "negative_synthetic", "mixed", "HTP_LTP", "structural", "complex_curation")
 EVIDENCE_TAGS = ("HTP", "LTP", "mixed", "no_exp", "structural", "negative_synthetic", "complex_curation")
 TIER_NAMES = {"diamond": "钻石", "gold": "黄金", "silver": "白银", "bronze": "青铜", "negative_synthetic": "负样本"}
-#: Two orders of tokens are in use: that of the repair step and that of the normalisation.
+#: Two orders of tokens are in use: that of the repair step and that of the normalisation (fixed values).
 REPAIR_ORDER = {"HTP": 0, "LTP": 1, "mixed": 2, "no_exp": 3, "structural": 4, "negative_synthetic": 5}
 TAG_ORDER = {"structural": 0, "HTP": 1, "LTP": 2, "complex_curation": 3, "mixed": 4, "no_exp": 5, "negative_synthetic": 6}
-#: Throughput text to tokens.
+#: Throughput text to tokens (fixed values).
 THROUGHPUT = {"LTP": ("LTP",), "HTP": ("HTP",), "both": ("HTP", "LTP"), "no_exp": ("no_exp",), "negative_sample": ("negative_synthetic",)}
 
 
-def evidence_class(tags: Column, label: Column) -> Column:
+def class_of(has: Callable[[str], Column], label: Column) -> Column:
     """Class of a token set: label 0 is synthetic; else the strongest evidence that is there decides."""
-    has = lambda t: F.array_contains(tags, t)
     return (
         F.when(label == 0, "negative_synthetic")
         .when(has("structural"), "structural")
@@ -33,6 +34,11 @@ def evidence_class(tags: Column, label: Column) -> Column:
     )
 
 
+def evidence_class(tags: Column, label: Column) -> Column:
+    """The same for an array of tokens."""
+    return class_of(lambda t: F.array_contains(tags, t), label)
+
+
 def tier(kind: Column, label: Column, n_sources: Column) -> Column:
     """Quality tier by class and number of sources."""
     return (

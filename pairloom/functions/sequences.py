@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 STANDARD_RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
+#: Residues that a protein language model takes (fixed value).
+MODEL_LENGTH = 1022
 #: Unicode white space, as splitting a text without a separator takes it (fixed values).
 SPACE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
@@ -67,11 +69,6 @@ def tokens(s: Column, separator: str = ";") -> Column:
     return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), separator), lambda x: F.btrim(x, F.lit(" \t\n\r\x0b\x0c"))), lambda x: x != ""))
 
 
-def lower_tokens(s: Column) -> Column:
-    """Lower-case tokens cut at both commas and semicolons."""
-    return tokens(F.lower(s), "[;,]")
-
-
 def ordered_tokens(items: Column, order: dict[str, int], rest: int = 99) -> Column:
     """Tokens joined by ; in the given order, unknown ones last, ties by name."""
     rank = F.create_map(*(F.lit(x) for pair in order.items() for x in pair))
@@ -106,10 +103,10 @@ def structure_stem(name: Column) -> Column:
 
 
 def interleave(a: Column, b: Column) -> Column:
-    """Characters of two strings in turn, to the length of the shorter."""
+    """Characters of two strings in turn, to the length of the shorter; linear in it."""
     n = F.least(F.length(a), F.length(b))
-    step = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substr(a, i, F.lit(1)), F.substr(b, i, F.lit(1))))
-    return F.when(n > 0, F.array_join(step, "")).otherwise("")
+    letters = lambda s: F.slice(F.split(s, ""), F.lit(1), n)
+    return F.array_join(F.zip_with(letters(a), letters(b), lambda x, y: F.concat(x, y)), "")
 
 
 def cut_and_pad(s: Column, n: int, pad: str = "d") -> Column:

@@ -8,14 +8,14 @@ group's first sequence or, where that leaves classes apart, to any other of the
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.operators.tables import written
+
 K = 5
 #: Pairs at the similarity asked for share no band with this probability at most; at most so many bands, if rows allow.
 MISSED, MOST_BANDS = 0.002, 40
@@ -23,29 +23,12 @@ MISSED, MOST_BANDS = 0.002, 40
 CELL = 64
 
 
-def from_map(rows: DataFrame, representative: str, member: str, pos: str) -> DataFrame:
-    """(member, cluster): of a member that is listed twice the first line counts."""
-    return rows.groupBy(F.col(member).alias("member")).agg(F.min_by(representative, pos).alias("cluster"))
-
-
 def shingles(sequence: Column, k: int = K) -> Column:
     """Distinct runs of k characters (found by looking ahead, so in one scan); the whole text if it is shorter."""
     runs = F.regexp_extract_all(sequence, F.lit(f"(?=(.{{{k}}}))"), 1)
     return F.when(F.length(sequence) > k, F.array_distinct(runs)).otherwise(F.array(sequence))
 
 
-def _cut(df: DataFrame, what: str) -> DataFrame:
-    """Written to the shared folder and read back: later steps start from the table."""
-    sc = df.sparkSession.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pairloom-"))
-        base = sc.getCheckpointDir()
-    path = f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def bands_and_rows(least: float) -> tuple[int, int]:
     """Bands and minimum hashes a band, by which pairs of the given Jaccard similarity meet but for MISSED of them."""
     for rows in (3, 2, 1):
@@ -60,11 +43,11 @@ def banded(df: DataFrame, key: str, sequence: str, least: float) -> tuple[DataFr
     """Shingle sets (id, set) and bands (id, band)."""
     n, rows = bands_and_rows(least)
     sets = df.where(F.length(sequence) > 0).select(F.col(key).alias("id"), F.transform(shingles(F.col(sequence)), lambda x: F.xxhash64(x)).alias("set"))
-    sets = _cut(sets, "shingles")
+    sets = written(sets, "shingles")
     each = sets.select("id", F.explode("set").alias("s"))
     low = each.groupBy("id").agg(*(F.min(F.xxhash64("s", F.lit(k))).alias(f"m{k}") for k in range(n * rows)))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{k}" for k in range(b * rows, (b + 1) * rows))) for b in range(n)))
-    return sets, _cut(low.select("id", F.explode(bands).alias("band")), "bands")
+    return sets, written(low.select("id", F.explode(bands).alias("band")), "bands")
 
 
 def similar_pairs(sets: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
@@ -108,10 +91,10 @@ def missed_links(grouped: DataFrame, classes: DataFrame, values: DataFrame, leas
     sides of about CELL, and each two sides are a cell: no group gathers in a task.
     """
     members = grouped.join(classes, "id", "left").select("id", "group", F.coalesce("class", "id").alias("class"))
-    members = _cut(members, "members")
+    members = written(members, "members")
     counts = members.groupBy("group", "class").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(id))").alias("mark"))
     whole = counts.groupBy("group").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"), F.count("*").alias("n_classes"), F.expr("bit_xor(mark)").alias("mark"))
-    open_groups = _cut(whole.where("n_classes > 1 and n > 2").dropDuplicates(["mark", "n"]), "groups")  # of groups with the same members, one
+    open_groups = written(whole.where("n_classes > 1 and n > 2").dropDuplicates(["mark", "n"]), "groups")  # of groups with the same members, one
     x = members.join(open_groups, "group").withColumn("__rest", F.expr(f"cast(ceil((n - n_main) / {CELL}) as int)")).withColumn("__main", F.expr(f"cast(ceil(n_main / {CELL}) as int)"))
     x = x.withColumn("side", F.expr("cast(if(class = main, __rest + pmod(xxhash64(id, 7), __main), pmod(xxhash64(id, 7), __rest)) as int)"))
     others = F.expr("if(class = main, sequence(0, __rest - 1), sequence(0, __rest + __main - 1))")
@@ -145,14 +128,14 @@ def missed_links(grouped: DataFrame, classes: DataFrame, values: DataFrame, leas
 
 def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 30) -> DataFrame:
     """(id, cluster): each node's smallest reachable id; labels jump along labels, with the lineage cut each round."""
-    edges = _cut(edges, "similar")
+    edges = written(edges, "similar")
     ends = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = _cut(nodes.select(F.col(nodes.columns[0]).alias("id"), F.col(nodes.columns[0]).alias("cluster")), "labels")
+    labels = written(nodes.select(F.col(nodes.columns[0]).alias("id"), F.col(nodes.columns[0]).alias("cluster")), "labels")
     for _ in range(rounds):
         near = ends.join(labels, ends.b == labels.id).groupBy("a").agg(F.min("cluster").alias("m"))
         new = labels.join(near, labels.id == near.a, "left").select("id", "cluster", F.least("cluster", F.coalesce("m", "cluster")).alias("new"))
         jump = new.select(F.col("id").alias("at"), F.col("new").alias("far"))
-        step = _cut(new.join(jump, new.new == jump["at"], "left").select("id", "cluster", F.least("new", F.coalesce("far", "new")).alias("new")), "labels")
+        step = written(new.join(jump, new.new == jump["at"], "left").select("id", "cluster", F.least("new", F.coalesce("far", "new")).alias("new")), "labels")
         labels = step.select("id", F.col("new").alias("cluster"))
         if step.where("new <> cluster").isEmpty():
             return labels
@@ -163,9 +146,9 @@ def cluster(df: DataFrame, key: str, sequence: str, least: float = 0.4) -> DataF
     """(id, cluster) for every row's key."""
     nodes = df.select(key).distinct()
     sets, keyed = banded(df, key, sequence, least)
-    stars = _cut(similar_pairs(sets, keyed, least), "stars")
+    stars = written(similar_pairs(sets, keyed, least), "stars")
     labels = connected(stars, nodes)
     known = labels.select("id", F.col("cluster").alias("class"))
     value = sets.groupBy("id").agg(F.min("set").alias("value"))
-    more = _cut(missed_links(keyed.select("id", F.col("band").alias("group")), known, value, least, set), "more")
+    more = written(missed_links(keyed.select("id", F.col("band").alias("group")), known, value, least, set), "more")
     return labels if more.isEmpty() else connected(stars.unionAll(more), nodes)

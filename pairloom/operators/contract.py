@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,8 +118,3 @@ def validate(proteins: DataFrame, sequences: DataFrame, interactions: DataFrame,
     if broken := {k: n for k, n in bad.items() if n}:
         raise ContractError("; ".join(f"{k}: {n}" for k, n in sorted(broken.items())))
     return counts | {"positives": interactions.where(F.col("label").cast("string").try_cast("double") == 1).count()}
-
-
-def any_rule(rules: dict[str, Column]) -> Column:
-    """True for rows that break at least one rule."""
-    return reduce(Column.__or__, rules.values())

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.entities import dense_numbers
+from pairloom.operators.entities import dense_numbers, ranked, with_base
 
 POOLS = ("mean", "max", "cls", "residue")
 
@@ -41,12 +42,12 @@ def export(pairs: DataFrame, a: str, b: str, vectors: DataFrame, key: str, vecto
 
 def worker_buckets(df: DataFrame, workers: int, order: str) -> DataFrame:
     """Adds `worker`: an even split in order, the first ones one row longer if it doesn't divide."""
-    n = df.count()
-    small, more = divmod(n, workers)
-    numbered = dense_numbers(df, order)
+    parts, sizes = ranked(df, order)
+    small, more = divmod(sum(sizes), workers)
+    number = F.col("__base") + F.col("__at")
     edge = more * (small + 1)
-    worker = F.when(F.col("number") < edge, F.floor(F.col("number") / (small + 1))).otherwise(more + F.floor((F.col("number") - edge) / max(1, small)))
-    return numbered.withColumn("worker", worker.cast("int")).drop("number")
+    worker = F.when(number < edge, F.floor(number / (small + 1))).otherwise(more + F.floor((number - edge) / max(1, small)))
+    return with_base(parts, list(accumulate(sizes, initial=0))[:-1]).select(*df.columns, worker.cast("int").alias("worker"))
 
 
 def fixed_batches(df: DataFrame, size: int, order: str) -> DataFrame:
@@ -54,22 +55,44 @@ def fixed_batches(df: DataFrame, size: int, order: str) -> DataFrame:
     return dense_numbers(df, order).withColumn("batch", F.floor(F.col("number") / size)).drop("number")
 
 
-def budget_batches(df: DataFrame, size: str, order: str, most_rows: int, most_units: int) -> DataFrame:
-    """Adds `batch` within partitions of the ordered rows: a new one starts where a row would pass either limit."""
+def budget_plan(sizes: list[tuple[int, int]], most_rows: int, most_units: int) -> list[tuple[int, int, int, int, int]]:
+    """(size, first number, rows that still join the open batch, rows a batch, open batch) for (size, rows) from the largest down.
+
+    Greedy batches of rows in descending size: a new one starts where a row would pass either limit. Rows of one size are
+    handled together, so this takes a step for each size and not for each row.
+    """
+    out = []
+    start = batch = rows = units = 0
+    for size, n in sizes:
+        full = max(1, min(most_rows, most_units // size if size > 0 else most_rows))
+        room = min(most_rows - rows, (most_units - units) // size if size > 0 else most_rows - rows)
+        join = min(n, max(0, room)) if rows else 0
+        if not rows and n:
+            join = min(n, full)
+        out.append((size, start, join, full, batch))
+        left = n - join
+        rows, units = rows + join, units + join * size
+        if left:
+            more = -(-left // full)
+            batch += more
+            rows = left - (more - 1) * full
+            units = rows * size
+        start += n
+    return out
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        batch = rows = units = 0
-        for frame in frames:
-            numbers = []
-            for n in frame[size]:
-                if rows and (rows + 1 > most_rows or units + n > most_units):
-                    batch, rows, units = batch + 1, 0, 0
-                rows, units = rows + 1, units + n
-                numbers.append(batch)
-            yield frame.assign(batch=pd.Series(numbers, index=frame.index, dtype="int64"))
 
-    ranged = df.sortWithinPartitions(F.desc(size), order)
-    return ranged.mapInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, batch long")
+def budget_batches(df: DataFrame, size: str, order: str, most_rows: int, most_units: int) -> DataFrame:
+    """Adds `batch`: greedy batches of the rows in descending size, a new one where a row would pass either limit.
+
+    One order over all rows, so the batches don't depend on partitions. The driver sees the number of rows of each size.
+    """
+    counts = sorted(((x[0], x[1]) for x in df.groupBy(F.col(size).cast("long")).count().collect()), reverse=True)
+    plan = df.sparkSession.createDataFrame(budget_plan(counts, most_rows, most_units) or [(0, 0, 0, 1, 0)], "__size long, __start long, __join long, __full long, __batch long")
+    numbered = dense_numbers(df, F.col(size).desc(), F.col(order))
+    x = numbered.join(F.broadcast(plan), F.col(size).cast("long") == F.col("__size"))  # a row for each size
+    at = F.col("number") - F.col("__start")
+    batch = F.when(at < F.col("__join"), F.col("__batch")).otherwise(F.col("__batch") + 1 + F.floor((at - F.col("__join")) / F.col("__full")))
+    return x.select(*df.columns, batch.cast("long").alias("batch"))
 
 
 #: name -> (vector length, factory of a function from texts to matrices); a worker calls the factory once.
@@ -112,8 +135,3 @@ def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean",
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, vector array<double>, error string")
-
-
-def dense_windows(df: DataFrame, key: str) -> DataFrame:
-    """Adds `number` over one global window; for small tables only."""
-    return df.withColumn("number", F.row_number().over(Window.orderBy(key)) - 1)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.functions.sequences import public_id
+from pairloom.operators.tables import written
+
 
 def first_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
     """The first row of each key in the given order (total, so the same on every run)."""
@@ -22,11 +27,6 @@ def first_value(df: DataFrame, key: str, value: str, pos: str) -> DataFrame:
     return df.groupBy(key).agg(F.min_by(value, pos).alias(value))
 
 
-def unique_sequences(df: DataFrame, key: str, sequence: str, pos: str) -> DataFrame:
-    """(key, sequence): the first sequence of each content key."""
-    return first_value(df, key, sequence, pos)
-
-
 def conflicts(df: DataFrame, key: str, value: str) -> DataFrame:
     """Keys with more than one distinct value."""
     return df.groupBy(key).agg(F.count_distinct(value).alias("n_values")).where("n_values > 1")
@@ -53,7 +53,8 @@ def register(master: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     (fpid, md5, source_id, original_ids, is_new) for the entities that got new ids.
     """
     aliases = master_aliases(master, "fpid", "original_ids", "pos")
-    fresh = rows.groupBy("source_id").agg(F.min_by("md5", "pos").alias("md5"), F.min("pos").alias("pos")).join(aliases, "source_id", "left_anti")
+    named = written(rows.groupBy("source_id").agg(F.min(F.struct("pos", "md5")).alias("one")).select("source_id", "one.md5", "one.pos"), "incoming")
+    fresh = named.join(aliases, "source_id", "left_anti")
     known = master.groupBy("md5").agg(F.max_by("fpid", "pos").alias("fpid"))
     minted = mint(fresh.join(known, "md5", "left_anti"), master)
     by_content = known.unionAll(minted.select("md5", "fpid"))
@@ -67,23 +68,35 @@ def register(master: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def mint(fresh: DataFrame, master: DataFrame) -> DataFrame:
-    """(md5, fpid): numbers after the master's largest, by the contents' first positions.
-
-    Positions are ranged over partitions and counted there, and the partitions' totals are added up: a global order
-    without a global sort in one task.
-    """
-    spark = fresh.sparkSession
+    """(md5, fpid): numbers after the master's largest, by the contents' first positions."""
     last = master.agg(F.max(F.substring("fpid", 3, 20).cast("long")).alias("n")).first().n or 0
     firsts = fresh.groupBy("md5").agg(F.min("pos").alias("pos"))
-    return dense_numbers(firsts, "pos", spark).select("md5", F.format_string("FP%07d", F.col("number") + F.lit(last + 1)).alias("fpid"))
-
-
-def dense_numbers(df: DataFrame, order: str, spark=None) -> DataFrame:
-    """Adds `number`: 0, 1, 2, ... in the order of a unique column, ranked per range and offset by the ranges before."""
-    spark = spark or df.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, order).select("*", F.spark_partition_id().alias("__part"))
-    local = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__part").orderBy(order)))
-    sums = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
-    base = sums.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
-    return local.join(F.broadcast(base), "__part").withColumn("number", F.col("__base") + F.col("__rn") - 1).drop("__part", "__rn", "__base")
+    return dense_numbers(firsts, "pos").select("md5", public_id(F.col("number") + F.lit(last + 1)).alias("fpid"))
+
+
+def ranked(df: DataFrame, *order: str | Column) -> tuple[DataFrame, list[int]]:
+    """df with `__part` and `__at`, a row's range and its place there in the given order, and the rows of each range.
+
+    The rows are ranged, sorted and written once, and everything is read from that table: two plans that range the same
+    rows may cut them at different places.
+    """
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    numbered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
+    table = written(numbered, "ranked")
+    parts = table.select((F.shiftright("__id", 33)).cast("int").alias("__part"), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)).alias("__at"), *df.columns)
+    sizes = {x["__part"]: x.n for x in parts.groupBy("__part").agg(F.count("*").alias("n")).collect()}  # a number for each range
+    return parts, [sizes.get(k, 0) for k in range(max(sizes, default=-1) + 1)]
+
+
+def with_base(parts: DataFrame, bases: list[int], name: str = "__base") -> DataFrame:
+    """Adds each range's number; the table of them has a row for each range, so it may be broadcast."""
+    table = parts.sparkSession.createDataFrame(list(enumerate(bases)) or [(0, 0)], f"__part int, `{name}` long")
+    return parts.join(F.broadcast(table), "__part")
+
+
+def dense_numbers(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Adds `number`: 0, 1, 2, ... in the order of columns that no two rows share: ranked per range, offset by the ranges before."""
+    parts, sizes = ranked(df, *order)
+    based = with_base(parts, list(accumulate(sizes, initial=0))[:-1])
+    return based.select(*df.columns, (F.col("__base") + F.col("__at")).alias("number"))

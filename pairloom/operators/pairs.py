@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.functions.evidence import evidence_class, tier
-from pairloom.functions.sequences import tokens
+from pairloom.functions.evidence import class_of, tier
+from pairloom.operators.entities import ranked, with_base
+from pairloom.operators.tables import written
+
+#: The bit of a mask that stands for NULL.
+NULL_BIT = 62
 
 
 def canonical(df: DataFrame, a: str, b: str, payload: list[tuple[str, str]] = ()) -> DataFrame:
@@ -40,25 +47,61 @@ def distinct_with_null(x: Column) -> Column:
     return (F.size(F.collect_set(x)) + F.max(x.isNull().cast("int"))).cast("long")
 
 
-def dedup(df: DataFrame, a: str, b: str, label: str, source: str, evidence: str, joined: list[str] = ()) -> DataFrame:
+def _bit(k: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), k)
+
+
+def _unknown(what: str, value: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"no {what} of the enumeration: "), F.coalesce(value, F.lit("null")))).cast("long")
+
+
+def source_mask(source: Column, names: list[str]) -> Column:
+    """A bit for an enumerated source, one of its own for NULL; any other value is an error."""
+    at = F.array_position(F.array(*map(F.lit, names)), source).cast("int")
+    return F.when(source.isNull(), F.lit(1 << NULL_BIT)).when(at > 0, _bit(at - 1)).otherwise(_unknown("source", source))
+
+
+def token_mask(text: Column, names: list[str]) -> Column:
+    """A bit for each enumerated token of a ;-list; any other token is an error."""
+    items = F.split(text, ";")
+    bits = [F.when(F.array_contains(items, n), F.lit(1 << k)).otherwise(F.lit(0)) for k, n in enumerate(names)]
+    known = F.size(F.array_except(items, F.array(*map(F.lit, [*names, ""])))) == 0
+    return F.when(text.isNull() | known, reduce(Column.bitwiseOR, bits).cast("long")).otherwise(_unknown("token", text))
+
+
+def names_of(mask: Column, names: list[str]) -> Column:
+    """The names whose bits are set, sorted, as one text."""
+    return F.concat_ws(";", *(F.when(mask.bitwiseAND(F.lit(1 << names.index(n))) != 0, F.lit(n)) for n in sorted(names)))
+
+
+def dedup(df: DataFrame, a: str, b: str, label: str, source: str, evidence: str, joined: list[str] = (), sources: list[str] | None = None, tags: list[str] | None = None) -> DataFrame:
     """One row for each canonical pair: a positive label wins, sources are counted, texts are merged.
 
-    All aggregates combine before the shuffle, which is the only one.
+    All aggregates combine before the shuffle, which is the only one. With enumerated sources and tags (at most 62 each)
+    and labels of 0 and 1 a group's sets are bits of a number, and the aggregate runs in generated code on flat buffers.
     """
     ordered = canonical(df, a, b)
-    return ordered.groupBy(a, b).agg(
-        F.max(label).alias("label"),
-        F.size(F.collect_set(label)).cast("long").alias("n_labels"),
-        distinct_with_null(F.col(source)).alias("n_sources"),
-        joined_distinct(F.col(source)).alias("sources"),
-        joined_tokens(F.col(evidence)).alias("evidence_tags"),
-        *(joined_distinct(F.col(c)).alias(c) for c in joined),
-    )
+    texts = [joined_distinct(F.col(c)).alias(c) for c in joined]
+    if sources is None or tags is None:
+        return ordered.groupBy(a, b).agg(
+            F.max(label).alias("label"),
+            F.size(F.collect_set(label)).cast("long").alias("n_labels"),
+            distinct_with_null(F.col(source)).alias("n_sources"),
+            joined_distinct(F.col(source)).alias("sources"),
+            joined_tokens(F.col(evidence)).alias("evidence_tags"),
+            *texts,
+        )
+    masks = F.bit_or(source_mask(F.col(source), sources)).alias("__sources"), F.bit_or(token_mask(F.col(evidence), tags)).alias("__tags")
+    x = ordered.groupBy(a, b).agg(F.max(label).alias("label"), F.min(label).alias("__least"), *masks, *texts)
+    n_labels = F.when(F.col("label").isNull(), 0).when(F.col("label") == F.col("__least"), 1).otherwise(2).cast("long")
+    n_sources = F.bit_count("__sources").cast("long")
+    return x.select(a, b, "label", n_labels.alias("n_labels"), n_sources.alias("n_sources"), names_of(F.col("__sources"), sources).alias("sources"), names_of(F.col("__tags"), tags).alias("evidence_tags"), *joined)
 
 
 def with_tier(pairs: DataFrame) -> DataFrame:
     """Class and tier of deduplicated pairs."""
-    kind = evidence_class(tokens(F.col("evidence_tags")), F.col("label"))
+    listed = F.concat(F.lit(";"), F.coalesce("evidence_tags", F.lit("")), F.lit(";"))
+    kind = class_of(lambda t: F.contains(listed, F.lit(f";{t};")), F.col("label"))
     return pairs.withColumn("evidence_type", kind).withColumn("tier", tier(F.col("evidence_type"), F.col("label"), F.col("n_sources")))
 
 
@@ -96,41 +139,50 @@ def sample_by_priority(df: DataFrame, n: int, priority: Column, seed: int | str,
     return df.orderBy(priority, hash_rank(seed, *keys), *keys).limit(n)
 
 
+def hash_number(*parts: Column) -> Column:
+    """A number of 60 bits from the MD5 of texts, the same in any engine."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")
+
+
 def draw_endpoints(pairs: DataFrame, a: str, b: str, draws: int, seed: int, weighted: bool = True) -> DataFrame:
     """(k, left, right): endpoints drawn with replacement, by degree or uniformly.
 
-    Draw k's two positions are hashes of (seed, k) into the running total of weights; a position finds its endpoint by
-    a range join that is made an equi-join on blocks of the running total, so no task scans all endpoints.
+    Draw k's two positions are hashes of seed, side and k into the running total of weights, nodes in order; a position
+    finds its endpoint by a range join that is made an equi-join on blocks of the running total, so no task scans all
+    endpoints.
     """
     spark = pairs.sparkSession
     nodes = degrees(pairs, a, b).select("node", (F.col("degree") if weighted else F.lit(1)).cast("long").alias("w"))
-    # Running totals in two levels: within hash-free ranges of nodes, then over the few ranges.
-    parts = nodes.repartitionByRange(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "node").select("node", "w", F.spark_partition_id().alias("part"))
-    inner = Window.partitionBy("part").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
-    local = parts.withColumn("upto", F.sum("w").over(inner))
-    sums = parts.groupBy("part").agg(F.sum("w").alias("total"))
-    base = sums.select("part", F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    ranges = local.join(F.broadcast(base), "part").select("node", (F.col("base") + F.col("upto") - F.col("w")).alias("lo"), (F.col("base") + F.col("upto")).alias("hi"))
-    total = sums.agg(F.sum("total")).first()[0] or 0
+    parts, sizes = ranked(nodes, "node")
+    sums = {x["__part"]: x.w for x in parts.groupBy("__part").agg(F.sum("w").alias("w")).collect()}  # a number for each range
+    bases = list(accumulate((sums.get(k, 0) for k in range(len(sizes))), initial=0))
+    inner = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    local = with_base(parts.withColumn("upto", F.sum("w").over(inner)), bases[:-1])
+    ranges = local.select("node", (F.col("__base") + F.col("upto") - F.col("w")).alias("lo"), (F.col("__base") + F.col("upto")).alias("hi"))
+    total = bases[-1]
     block = max(1, total // 4096)
     cells = ranges.select("node", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor((F.col("hi") - 1) / block))).alias("cell"))
     out = spark.range(draws).select(F.col("id").alias("k"))
     for side in ("left", "right"):
-        at = F.pmod(F.xxhash64(F.lit(f"{seed}:{side}"), "k"), F.lit(max(1, total)))
+        at = F.pmod(hash_number(F.lit(str(seed)), F.lit(side), F.col("k").cast("string")), F.lit(max(1, total)))
         hit = out.withColumn("at", at).withColumn("cell", F.floor(F.col("at") / block)).join(cells, "cell").where("at >= lo and at < hi")
         out = hit.select(*(c for c in out.columns), F.col("node").alias(side))
     return out
 
 
 def sample_negatives(positives: DataFrame, a: str, b: str, n: int, seed: int, weighted: bool = True, most_rounds: int = 20) -> DataFrame:
-    """n distinct unordered pairs of known endpoints that are no positive and no self pair; an error if that fails."""
+    """n distinct unordered pairs of known endpoints that are no positive and no self pair; an error if that fails.
+
+    Each round's draws are written, so a further round adds to them and repeats nothing.
+    """
     known = undirected(positives, a, b)
     found, draws = None, max(64, 2 * n)
     for turn in range(most_rounds):
         new = draw_endpoints(positives, a, b, draws, seed + turn, weighted).where("left <> right")
-        new = new.select(F.least("left", "right").alias(a), F.greatest("left", "right").alias(b), (F.col("k") + turn * draws).alias("k"))
+        new = new.groupBy(F.least("left", "right").alias(a), F.greatest("left", "right").alias(b)).agg((F.min("k") + turn * draws).alias("k"))
+        new = written(new.join(known, [a, b], "left_anti"), "negatives")
         found = new if found is None else found.unionAll(new)
-        first = found.groupBy(a, b).agg(F.min("k").alias("k")).join(known, [a, b], "left_anti")
+        first = found.groupBy(a, b).agg(F.min("k").alias("k"))
         if first.count() >= n:
             return first.orderBy("k").limit(n).select(a, b)
     raise ValueError(f"fewer than {n} negatives after {most_rounds} rounds")

@@ -29,7 +29,7 @@ def sample_holdout(positives: DataFrame, keys: list[str], n_val: int, n_test: in
     from pairloom.operators.entities import dense_numbers
 
     top = positives.withColumn("__h", hash_rank(seed, *keys)).orderBy("__h", *keys).limit(n_val + n_test)
-    ranked = dense_numbers(top.withColumn("__o", F.concat_ws("|", "__h", *keys)), "__o")
+    ranked = dense_numbers(top, "__h", *keys)
     return ranked.select(*keys, F.when(F.col("number") < n_val, "val").otherwise("test").alias("part"))
 
 

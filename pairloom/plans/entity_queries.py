@@ -33,11 +33,12 @@ def sequence_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents").select("doc_id", S.content_md5(F.col("text")).alias("contract"), F.md5(S.no_space(t)).alias("split"), S.short_id(t).alias("host"), F.md5(S.no_space_no_stops(t)).alias("structure"), F.md5(S.no_space_no_stop(t)).alias("corpus"))
 
 
-@query(f"""select doc_id, left(regexp_replace(upper({_SHARP.format('left(text, 200)')}), '[^ACDEFGHIKLMNPQRSTVWY]', 'X', 'g'), 60) as standard,
-  left(translate(upper({_SHARP.format('left(text, 200)')}), 'UZOB', 'XXXX'), 50) as rare, left(replace(replace(translate(upper({_SHARP.format('left(text, 200)')}), 'UO', 'CK'), '-', ''), '.', ''), 50) as gapless from documents""")
+@query(f"""select doc_id, regexp_replace(upper({_SHARP.format('text')}), '[^ACDEFGHIKLMNPQRSTVWY]', 'X', 'g') as standard, left(translate(upper({_SHARP.format('text')}), 'UZOB', 'XXXX'), {S.MODEL_LENGTH}) as rare,
+  left(replace(replace(translate(upper({_SHARP.format('text')}), 'UO', 'CK'), '-', ''), '.', ''), {S.MODEL_LENGTH}) as gapless from documents""")
 def model_alphabets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.replace(F.substring("text", 1, 200), F.lit("ß"), F.lit("ss"))
-    return load(spark, sf_dir, "documents").select("doc_id", F.substring(S.standard_only(t), 1, 60).alias("standard"), S.rare_to_x(t, 50).alias("rare"), S.gapless(t, 50).alias("gapless"))
+    """The models' alphabets; the last two are cut to the models' own maximum length."""
+    t = _text()
+    return load(spark, sf_dir, "documents").select("doc_id", S.standard_only(t).alias("standard"), S.rare_to_x(t, S.MODEL_LENGTH).alias("rare"), S.gapless(t, S.MODEL_LENGTH).alias("gapless"))
 
 
 @query(f"""select md5({_LETTERS.format('text')}) as md5, min(doc_id) as first_doc, count(*) as n_docs, length({_LETTERS.format('arg_min(text, doc_id)')}) as length
@@ -97,12 +98,12 @@ def token_set_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "conversations").select("conv_id", "turn", F.size(toks).cast("long").alias("n_tokens"), F.array_join(F.array_sort(toks), ";").alias("tokens"))
 
 
-@query("""with c as (select doc_id, left(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 40) as cluster from documents),
+@query(f"""with c as (select doc_id, md5({_LETTERS.format('text')}) as cluster from documents),
 touched as (select cluster from c where doc_id in (select doc_id from labels where toxic = 1))
 select doc_id from c where cluster not in (select cluster from touched)""")
 def cluster_taint_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    clusters = docs.select("doc_id", F.substring(S.letters_only(F.col("text")), 1, 40).alias("cluster"))
+    clusters = docs.select("doc_id", S.content_md5(F.col("text")).alias("cluster"))
     bad = tainted_members(clusters, load(spark, sf_dir, "labels").where("toxic = 1").select("doc_id"), "doc_id", "cluster")
     return P.exclude_endpoints(docs.select("doc_id"), bad, "doc_id")
 
@@ -203,14 +204,32 @@ def dense_index_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.join(left, "l_partkey").join(right, "l_suppkey").select("l_orderkey", "l_linenumber", "left", "right")
 
 
-@query("select o_orderkey, (ntile(7) over (order by o_orderkey) - 1)::int as worker from orders")
+@query("select o_orderkey, o_custkey, o_orderstatus, (ntile(7) over (order by o_orderkey) - 1)::int as worker from orders")
 def worker_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.worker_buckets(load(spark, sf_dir, "orders").select("o_orderkey"), 7, "o_orderkey")
+    return V.worker_buckets(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), 7, "o_orderkey")
 
 
-@query("select o_orderkey, (row_number() over (order by o_orderkey) - 1) // 128 as batch from orders")
+@query("select o_orderkey, o_custkey, o_totalprice, (row_number() over (order by o_orderkey) - 1) // 128 as batch from orders")
 def fixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.fixed_batches(load(spark, sf_dir, "orders").select("o_orderkey"), 128, "o_orderkey")
+    return V.fixed_batches(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), 128, "o_orderkey")
+
+
+@query("select o_orderkey, o_custkey, o_totalprice, o_orderstatus, row_number() over (order by o_custkey desc, o_orderkey) - 1 as number from orders")
+def dense_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of all rows by two columns, with others that ride along."""
+    x = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    return N.dense_numbers(x, F.col("o_custkey").desc(), "o_orderkey")
+
+
+@query("""with recursive o as (select doc_id, n_chars, source, row_number() over (order by n_chars desc, doc_id) as r from documents),
+g as (select r, doc_id, n_chars, source, 0::bigint as batch, 1 as rows, n_chars as units from o where r = 1
+  union all select o.r, o.doc_id, o.n_chars, o.source, case when g.rows + 1 > 32 or g.units + o.n_chars > 20000 then g.batch + 1 else g.batch end,
+    case when g.rows + 1 > 32 or g.units + o.n_chars > 20000 then 1 else g.rows + 1 end, case when g.rows + 1 > 32 or g.units + o.n_chars > 20000 then o.n_chars else g.units + o.n_chars end
+  from g join o on o.r = g.r + 1)
+select doc_id, n_chars, source, batch from g""")
+def token_budget_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy batches by count and token budget over all rows in descending length."""
+    return V.budget_batches(load(spark, sf_dir, "documents").select("doc_id", "n_chars", "source"), "n_chars", "doc_id", 32, 20000)
 
 
 @query("select conv_id, string_agg(coalesce(text, ''), '' order by turn) as sequence, count(*) as n_lines from conversations group by 1")
@@ -228,14 +247,11 @@ def header_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "pages").select("page_id", S.first_match(url, "://([^/]+)").alias("host"), S.first_match(url, "/([a-z]{2})/").alias("lang"), S.first_match(url, r"/(\d+)").try_cast("long").alias("number"), S.safe_name(url).alias("safe_name"), stem.alias("stem"))
 
 
-_AA, _TDI = "left(text, 30)", "lower(substr(replace(text, 'ß', 'ss'), 11, 25))"
-
-
-@query(f"""select doc_id, coalesce((select string_agg(substr({_AA}, i, 1) || substr({_TDI}, i, 1), '' order by i) from range(1, 26) t(i) where i <= least(length({_AA}), length({_TDI}))), '') as woven,
-  rpad(left({_AA}, 20), 20, 'd') as padded from documents""")
+@query("""select doc_id, array_to_string(list_transform(list_zip(string_split(text, ''), string_split(lower(substr(replace(text, 'ß', 'ss'), 11)), ''), true), lambda x: x[1] || x[2]), '') as woven, rpad(left(text, 1000), 1000, 'd') as padded from documents""")
 def residue_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aa, tdi = F.substring("text", 1, 30), F.lower(F.substring(F.replace(F.col("text"), F.lit("ß"), F.lit("ss")), 11, 25))
-    return load(spark, sf_dir, "documents").select("doc_id", S.interleave(aa, tdi).alias("woven"), S.cut_and_pad(aa, 20).alias("padded"))
+    """Whole texts woven with another string, and texts brought to a model's fixed length."""
+    tdi = F.lower(F.substring(F.replace(F.col("text"), F.lit("ß"), F.lit("ss")), 11, 1 << 30))
+    return load(spark, sf_dir, "documents").select("doc_id", S.interleave(F.col("text"), tdi).alias("woven"), S.cut_and_pad(F.col("text"), 1000).alias("padded"))
 
 
 @query("""select 'documents' as origin, doc_id as id, text as body, lang, null::varchar as role from documents
@@ -320,9 +336,3 @@ def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import pairloom.functions.extractors  # noqa: F401 - registers it
 
     return V.embed(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "hashed-letters")
-
-
-@query()
-def token_budget_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy batches by count and token budget within partitions of rows ordered by length."""
-    return V.budget_batches(load(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", "doc_id", 32, 20000)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.functions.evidence import EVIDENCE_TAGS
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -41,6 +43,11 @@ def raw_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What `source` and `evidence` of that view are made of.
+SOURCES = [f"S{k}" for k in range(1, 8)]
+TAG_NAMES = list(EVIDENCE_TAGS)
+
+
 #: The same view for DuckDB.
 RAW_PAIRS = """raw as (
   select printf('FP%07d', l_partkey) as a, printf('FP%07d', l_suppkey) as b, (l_discount >= 0.05)::int as label, 'S' || l_linenumber as source,

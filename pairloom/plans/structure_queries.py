@@ -47,13 +47,13 @@ def structure_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.structure_sources(x.select("sequence_md5"), x.where(k % 5 == 0).select("sequence_md5", state), x.where(k % 7 == 0).select("sequence_md5", state), model, files)
 
 
-@query("""with q as (select l_orderkey, 'P' || (l_partkey % 50) as pdb, 'A' || (l_linenumber % 3) as chain_1, chr((66 + l_suppkey % 2)::int) || '9' as chain_2, l_linenumber from lineitem where l_orderkey < 2000),
+@query("""with q as (select l_orderkey, 'P' || (l_partkey % 50) as pdb, 'A' || (l_linenumber % 3) as chain_1, chr((66 + l_suppkey % 2)::int) || '9' as chain_2, l_linenumber from lineitem),
 i as (select 'p' || (p_partkey % 50) as pdb, case when p_size % 2 = 0 then 'B' else 'A' end as r, case when p_size % 2 = 0 then 'A' else 'B' end as l, p_brand as acc_r, p_name as acc_l, p_partkey as pos from part),
 f as (select pdb, least(r, l) as x, greatest(r, l) as y, arg_min(acc_r, pos) as acc_r, arg_min(acc_l, pos) as acc_l from i group by 1, 2, 3)
 select q.l_orderkey, q.l_linenumber, f.acc_r as "acc_R", f.acc_l as "acc_L" from q join f on lower(q.pdb) = f.pdb and f.x = 'A' and f.y = left(q.chain_2, 1)""")
 def chain_pair_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
-    q = load(spark, sf_dir, "lineitem").where("l_orderkey < 2000").select("l_orderkey", "l_linenumber", F.concat(F.lit("P"), c("l_partkey") % 50).alias("pdb"), F.concat(F.lit("A"), c("l_linenumber") % 3).alias("chain_1"), F.concat(F.when(c("l_suppkey") % 2 == 0, "B").otherwise("C"), F.lit("9")).alias("chain_2"))
+    q = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("P"), c("l_partkey") % 50).alias("pdb"), F.concat(F.lit("A"), c("l_linenumber") % 3).alias("chain_1"), F.concat(F.when(c("l_suppkey") % 2 == 0, "B").otherwise("C"), F.lit("9")).alias("chain_2"))
     even = c("p_size") % 2 == 0
     i = load(spark, sf_dir, "part").select(F.concat(F.lit("p"), c("p_partkey") % 50).alias("pdb"), F.when(even, "B").otherwise("A").alias("chain_R"), F.when(even, "A").otherwise("B").alias("chain_L"), c("p_brand").alias("acc_R"), c("p_name").alias("acc_L"), c("p_partkey").alias("pos"))
     return T.chain_pairs(q, i).select("l_orderkey", "l_linenumber", "acc_R", "acc_L")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -27,14 +28,14 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one of our own (local runs and tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a session in one process may do without."""
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir")
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
-        base = sc.getCheckpointDir()
-        if base is None:
-            base = tempfile.mkdtemp(prefix="pairloom-")
-            sc.setCheckpointDir(base)
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="pairloom-")
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
@@ -58,7 +59,43 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts the lineage and outlives lost executors."""
     path = new_dir(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes materialized tables at once, for callers that have written everything that reads them."""
+    for df in frames:
+        if path := getattr(df, "_written", None):
+            _drop(df.sparkSession, path)
+
+
+def signed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, sig, text) of the rows that have both: sig, a hash of the text, tells rows apart that repeat a doc_id."""
+    named = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
+    return named.select("doc_id", F.xxhash64("text").alias("sig"), "text")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column has it (whatever the case of its letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_values(pairs: DataFrame, values: DataFrame, a: list[str], b: list[str], key: list[str], value: str, fan: int = 256) -> DataFrame:
+    """The pairs with the values of both sides as x and y.
+
+    The right side (b) may be the hub of a large group: it is sent once for each `fan` of its partners, and these are
+    dealt among its copies, so that no task gathers a group.
+    """
+    hubs = pairs.groupBy(*b).agg(F.expr(f"(count(*) - 1) div {fan} + 1").alias("__copies"))
+    dealt = pairs.join(hubs, b).withColumn("__copy", F.pmod(F.xxhash64(*a), F.col("__copies"))).drop("__copies")
+    named = lambda side, name: values.select(*(F.col(k).alias(s) for k, s in zip(key, side, strict=True)), F.col(value).alias(name))
+    right = hubs.join(named(b, "y"), b).withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1))).drop("__copies")
+    return dealt.join(named(a, "x"), a).join(right, [*b, "__copy"]).drop("__copy")
 
 
 def hash_sample(df: DataFrame, key: str, n: int, rows: int) -> list:
@@ -123,10 +160,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         low = materialize(ends.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "low")
         large = ends.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = materialize(large, "large")
+        release(now, low)
         # Small star: each node links itself and its smaller neighbours to the smallest of these.
         low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         now = materialize(small.unionAll(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        release(large, low)
         state = now.agg(F.count("*"), F.coalesce(F.expr("bit_xor(xxhash64(a, b))"), F.lit(0))).first()
         if state == before:
             break

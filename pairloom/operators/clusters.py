@@ -152,3 +152,33 @@ def cluster(df: DataFrame, key: str, sequence: str, least: float = 0.4) -> DataF
     value = sets.groupBy("id").agg(F.min("set").alias("value"))
     more = written(missed_links(keyed.select("id", F.col("band").alias("group")), known, value, least, set), "more")
     return labels if more.isEmpty() else connected(stars.unionAll(more), nodes)
+
+
+def alike(queries: DataFrame, targets: DataFrame, key: str, sequence: str, least: float = 0.6, k: int = K) -> DataFrame:
+    """(query, target, identity, shared): targets that hold at least so much of a query's, or a query's of theirs, distinct shingles.
+
+    A search of a stated query set in all targets: only shingles that a query has travel, and each pair meets once for
+    each that both have. `identity` is the share of the smaller set; an alignment's identity is an external tool's.
+    """
+    cut = lambda df, name: df.where(F.length(sequence) > 0).select(F.col(key).alias(name), F.explode(shingles(F.col(sequence), k)).alias("s"))
+    q, t = cut(queries, "query"), cut(targets, "target")
+    wanted = q.select("s").distinct()
+    sizes_q = q.groupBy("query").agg(F.count("*").alias("n_query"))
+    sizes_t = t.groupBy("target").agg(F.count("*").alias("n_target"))
+    met = t.join(wanted, "s", "left_semi").join(q, "s").groupBy("query", "target").agg(F.count("*").alias("shared"))
+    share = F.col("shared") / F.least("n_query", "n_target")
+    return met.join(sizes_q, "query").join(sizes_t, "target").select("query", "target", share.alias("identity"), "shared").where(F.col("identity") >= least)
+
+
+def cluster_for_holdout(df: DataFrame, key: str, sequence: str, holdout: DataFrame, least: float = 0.4, kept_at: str | None = None) -> DataFrame:
+    """(id, cluster) for a split: none without a positive holdout, as nothing can leak; read from `kept_at` if it is there."""
+    spark = df.sparkSession
+    if holdout.isEmpty():
+        kind = df.schema[key].dataType.simpleString()
+        return spark.createDataFrame([], f"id {kind}, cluster {kind}")
+    if kept_at is None:
+        return cluster(df, key, sequence, least)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{kept_at}/_SUCCESS")
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        cluster(df, key, sequence, least).write.mode("overwrite").parquet(kept_at)
+    return spark.read.parquet(kept_at)

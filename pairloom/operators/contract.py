@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.evidence import EVIDENCE_TAGS, EVIDENCE_TYPES, TIER_NAMES
@@ -45,6 +45,7 @@ def protein_rules() -> dict[str, Column]:
 
 
 def interaction_rules(sources: list[str] | None = None) -> dict[str, Column]:
+    """Rules of a row; sources are the tags that PPI_Source may have (without any named, every tag breaks the rule)."""
     c = F.col
     labels = number(c("label").cast("string"))
     tier_name = F.create_map(*(F.lit(x) for pair in TIER_NAMES.items() for x in pair))
@@ -59,8 +60,8 @@ def interaction_rules(sources: list[str] | None = None) -> dict[str, Column]:
         "evidence_tags_enum": F.size(F.array_except(tokens(c("Evidence_Tags")), F.array(*map(F.lit, EVIDENCE_TAGS)))) > 0,
         "negative_class": F.coalesce(labels == 0, F.lit(False)) & _bad((c("Evidence_Type") == "negative_synthetic") & (c("PPI_Tier") == "negative_synthetic")),
     }
-    if sources:
-        rules["source_enum"] = F.size(F.array_except(tokens(c("PPI_Source")), F.array(*map(F.lit, sources)))) > 0
+    if sources is not None:
+        rules["source_enum"] = F.size(F.array_except(tokens(c("PPI_Source")), F.array(*map(F.lit, sources)).cast("array<string>"))) > 0
     return rules
 
 
@@ -93,24 +94,73 @@ def unequal_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     return only(left, right, "left").unionAll(only(right, left, "right"))
 
 
+def out_of_order(df: DataFrame, number_of: Column, pos: str) -> DataFrame:
+    """Rows whose number isn't their place, counted from 1; pos is the row's position in the file, from 0 and without gaps."""
+    return df.select(pos, number_of.alias("number")).where(_bad(F.col("number") == F.col(pos) + 1))
+
+
+def unequal_places(left: DataFrame, right: DataFrame, pos: str) -> DataFrame:
+    """Positions at which two projections of tables in one order differ, or that only one has."""
+    names = [c for c in left.columns if c != pos]
+    x = left.select(pos, F.struct(*names).alias("__l")).join(right.select(pos, F.struct(*names).alias("__r")), pos, "full")
+    return x.where(~F.col("__l").eqNullSafe(F.col("__r"))).select(pos)
+
+
+def file_facts(spark: SparkSession, path: str) -> DataFrame:
+    """(name, rows, sha256) of delimited files under a path: lines without the header, and the checksum of the bytes.
+
+    Each file is read by one task as it is (under 2 GB); what is larger is checked as a table.
+    """
+    x = spark.read.format("binaryFile").load(path)
+    lines = F.length(F.decode("content", F.lit("ISO-8859-1"))) - F.length(F.replace(F.decode("content", F.lit("ISO-8859-1")), F.lit("\n"), F.lit("")))
+    return x.select(F.element_at(F.split("path", "/"), -1).alias("name"), (lines - 1).cast("long").alias("rows"), F.sha2("content", 256).alias("sha256"))
+
+
+def check_snapshot(facts: DataFrame, expected: dict[str, tuple[int, str]]) -> None:
+    """Compares the files' rows and checksums with those of a snapshot; every difference is in the error."""
+    found = {x.name: (x.rows, x.sha256) for x in facts.where(F.col("name").isin(*expected)).collect()}
+    wrong = []
+    for name, (rows, digest) in sorted(expected.items()):
+        if name not in found:
+            wrong.append(f"{name} is missing")
+        elif found[name][0] != rows:
+            wrong.append(f"{name}: {found[name][0]} rows, not {rows}")
+        elif found[name][1] != digest:
+            wrong.append(f"{name}: the checksum is {found[name][1]}, not {digest}")
+    if wrong:
+        raise ContractError("; ".join(wrong))
+
+
 def check_header(df: DataFrame, columns: tuple[str, ...], name: str) -> None:
     if tuple(df.columns) != columns:
         raise ContractError(f"{name}: columns are {df.columns}, not {list(columns)}")
 
 
-def validate(proteins: DataFrame, sequences: DataFrame, interactions: DataFrame, pairs: DataFrame, sources: list[str] | None = None, quick: bool = False) -> dict[str, int]:
-    """Checks all tables; raises ContractError with every broken rule and its number of violations, else returns row counts."""
-    for df, columns, name in ((proteins, PROTEINS, "proteins"), (sequences, SEQUENCES, "sequences"), (interactions, INTERACTIONS, "interactions"), (pairs, PAIRS, "pairs")):
+def validate(proteins: DataFrame, sequences: DataFrame, interactions: DataFrame, pairs: DataFrame, sources: list[str] | None = None, quick: bool = False, pos: str | None = None) -> dict[str, int]:
+    """Checks all tables; raises ContractError with every broken rule and its number of violations, else returns row counts.
+
+    The source tags that are allowed must be given, unless only headers are checked. With `pos`, the rows' position in
+    their files, numbers and projections are also checked in row order.
+    """
+    tables = {n: df.drop(pos) if pos else df for n, df in (("proteins", proteins), ("sequences", sequences), ("interactions", interactions), ("pairs", pairs))}
+    for (name, df), columns in zip(tables.items(), (PROTEINS, SEQUENCES, INTERACTIONS, PAIRS), strict=True):
         check_header(df, columns, name)
     if quick:
         return {}
+    if sources is None:
+        raise ValueError("the allowed source tags are needed")
     bad = {x.rule: x.n_bad for x in count_violations(proteins, protein_rules()).unionAll(count_violations(interactions, interaction_rules(sources))).collect() if x.n_bad}
     for key in ("fpid", "protein_md5", "sequence"):
         bad[f"{key}_unique"] = duplicates(proteins, key).count()
-    bad["fpid_contiguous"] = not_contiguous(proteins, F.substring("fpid", 3, 20).try_cast("long")).count()
+    number = F.substring("fpid", 3, 20).try_cast("long")
+    bad["fpid_contiguous"] = not_contiguous(proteins, number).count()
     bad["pair_unique"] = duplicates(interactions.select(F.least("FPid_1", "FPid_2").alias("a"), F.greatest("FPid_1", "FPid_2").alias("b")), "a", "b").count()
-    bad["sequences_projection"] = unequal_rows(sequences, proteins.select(F.col("fpid").alias("id"), "sequence")).count()
-    bad["pairs_projection"] = unequal_rows(pairs, interactions.select(F.col("FPid_1").alias("fpid_1"), F.col("FPid_2").alias("fpid_2"), "label")).count()
+    as_sequences = proteins.select(F.col("fpid").alias("id"), "sequence", *([pos] if pos else []))
+    as_pairs = interactions.select(F.col("FPid_1").alias("fpid_1"), F.col("FPid_2").alias("fpid_2"), "label", *([pos] if pos else []))
+    bad["sequences_projection"] = (unequal_places(sequences, as_sequences, pos) if pos else unequal_rows(sequences, as_sequences)).count()
+    bad["pairs_projection"] = (unequal_places(pairs, as_pairs, pos) if pos else unequal_rows(pairs, as_pairs)).count()
+    if pos:
+        bad["fpid_order"] = out_of_order(proteins, number, pos).count()
     for side in ("FPid_1", "FPid_2"):
         bad[f"{side}_known"] = orphans(interactions, side, proteins, "fpid").count()
     counts = {"proteins": proteins.count(), "interactions": interactions.count()}

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.functions.models import MAX_LENGTH, MODELS, POOLS, checked_pool
 from pairloom.operators.entities import dense_numbers, ranked, with_base
 
-POOLS = ("mean", "max", "cls", "residue")
-
 
 def pool(df: DataFrame, key: str, pos: str, vector: str, how: str) -> DataFrame:
     """(key, vector): a matrix of rows (key, pos, vector) reduced over its rows; `cls` is the first row, `residue` all of them."""
@@ -103,35 +103,76 @@ def register_extractor(name: str, size: int, factory: Callable[[], Callable[[lis
     EXTRACTORS[name] = (size, factory)
 
 
-def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean", done: DataFrame | None = None) -> DataFrame:
-    """(key, vector, error): pooled vectors of the texts by a registered extractor.
+def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean", done: DataFrame | None = None, before: int = 0, after: int = 0, seconds: float | None = None) -> DataFrame:
+    """(key, vector, error): pooled vectors of the texts by a registered extractor; `residue` gives (key, matrix, error).
 
-    Ids that `done` has are left out. A batch that fails is halved until single rows are left, which then carry the error.
+    Ids that `done` has are left out. `before` and `after` rows of special tokens are cut off the matrix; `cls` is the
+    first row of all. A batch that fails, or takes longer than `seconds`, is halved until single rows are left, which
+    then carry the error; the model is loaded anew after each.
     """
+    if how not in POOLS:
+        raise ValueError(f"no pooling {how!r}; there are {', '.join(POOLS)}")
     _, factory = EXTRACTORS[extractor]
     if done is not None:
         df = df.join(done.select(key).distinct(), key, "left_anti")
+    column = "matrix" if how == "residue" else "vector"
 
-    def pooled(matrix) -> list[float]:
-        if matrix.ndim != 2 or not len(matrix):
+    def pooled(matrix):
+        if matrix.ndim != 2 or len(matrix) <= before + after:
             raise ValueError("a matrix with rows is needed")
-        return (matrix.mean(axis=0) if how == "mean" else matrix.max(axis=0) if how == "max" else matrix[0]).astype(float).tolist()
+        rows = matrix[before : len(matrix) - after].astype(float)
+        if how == "residue":
+            return rows.tolist()
+        return (matrix[0].astype(float) if how == "cls" else rows.mean(axis=0) if how == "mean" else rows.max(axis=0)).tolist()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
 
+        def within(texts: list[str]) -> list:
+            if seconds is None:
+                return model(texts)
+            with ThreadPoolExecutor(1) as pool:
+                waits = pool.submit(model, texts)
+                try:
+                    return waits.result(timeout=seconds)
+                except TimeoutError:
+                    raise TimeoutError(f"more than {seconds} seconds") from None
+
         def tried(texts: list[str]) -> list[tuple]:
+            nonlocal model
             try:
-                return [(pooled(m), None) for m in model(texts)]
+                return [(pooled(m), None) for m in within(texts)]
             except Exception as e:  # noqa: BLE001 - becomes the row's error
+                model = factory()
                 if len(texts) == 1:
                     return [(None, str(e))]
                 half = len(texts) // 2
                 return tried(texts[:half]) + tried(texts[half:])
 
         for frame in frames:
-            found = tried([t or "" for t in frame[text]]) if len(frame) else []
-            yield pd.DataFrame({key: frame[key], "vector": [v for v, _ in found], "error": [e for _, e in found]})
+            found = tried([t if t is not None else "" for t in frame[text]]) if len(frame) else []
+            yield pd.DataFrame({key: frame[key], column: [v for v, _ in found], "error": [e for _, e in found]})
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, vector array<double>, error string")
+    return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, {column} {'array<array<double>>' if how == 'residue' else 'array<double>'}, error string")
+
+
+def embed_by_model(df: DataFrame, key: str, sequence: str, model: str, pool: str | None = None, done: DataFrame | None = None, **flags: bool) -> DataFrame:
+    """embed() with a model's own rules: its letters and length, the tokens it adds, and the pooling that flags ask for."""
+    rules = MODELS[model]
+    return embed(df.select(key, rules.text(F.col(sequence), MAX_LENGTH).alias("__text")), key, "__text", model, checked_pool(model, pool, **flags), done, rules.before, rules.after)
+
+
+def precomputed(ids: DataFrame, matrix: DataFrame, key: str, pos: str, vector: str) -> DataFrame:
+    """(key, vector) of a matrix whose rows (pos, vector) belong to the ids (pos, key) in the same order; an error if their numbers differ."""
+    n, m = ids.count(), matrix.count()
+    if n != m:
+        raise ValueError(f"{n} ids, but {m} rows")
+    return ids.join(matrix, pos).select(key, vector)
+
+
+def relational(pairs: DataFrame, a: str, b: str, label: str, vectors: DataFrame, key: str, vector: str, size: int) -> dict[str, DataFrame]:
+    """The dense export as three tables: vectors with their numbers and a mask of valid ones, pairs of numbers with labels, and ids."""
+    rows, numbered = export(pairs, a, b, vectors, key, vector, size)
+    labels = pairs.select(a, b, label).distinct()
+    return {"vectors": rows.select("number", vector, "valid"), "pairs": numbered.distinct().join(labels, [a, b]).select("left", "right", label), "ids": rows.select("number", key)}

@@ -62,3 +62,48 @@ def best_hits(hits: DataFrame, target: str, least: float, identity: str = "ident
 def pending(tasks: DataFrame, done: DataFrame, key: str, status: str = "status", ok: str = "ok") -> DataFrame:
     """Tasks that no earlier run has finished."""
     return tasks.join(done.where(F.col(status) == ok).select(key).distinct(), key, "left_anti")
+
+
+def two_phase(df: DataFrame, key: str, first: tuple[str, DataFrame], second: tuple[str, DataFrame], value: str) -> DataFrame:
+    """(key, value, match_type): by the first key (`id`), and only what that leaves by the second (`sequence`)."""
+    (k1, t1), (k2, t2) = first, second
+    one = df.join(t1.select(k1, value), k1).select(key, value, F.lit("id").alias("match_type"))
+    rest = df.join(one.select(key).distinct(), key, "left_anti")
+    two = rest.join(t2.select(k2, value), k2).select(key, value, F.lit("sequence").alias("match_type"))
+    return one.unionByName(two)
+
+
+def distinct_targets(df: DataFrame, identifier: str, content: str, pos: str) -> tuple[DataFrame, DataFrame]:
+    """Targets by id and content, the first of each; and by content alone, the first of each."""
+    ids = df.groupBy(identifier, content).agg(F.min(pos).alias(pos))
+    return ids, ids.groupBy(content).agg(F.min_by(identifier, pos).alias(identifier), F.min(pos).alias(pos))
+
+
+def chosen_rows(df: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None, column: str = "source") -> DataFrame:
+    """Rows of the included sources (all without a list) that are not excluded."""
+    x = df.where(F.col(column).isin(*include)) if include else df
+    return x.where(~F.coalesce(F.col(column).isin(*exclude), F.lit(False))) if exclude else x
+
+
+def of_length(df: DataFrame, sequence: str, least: int | None = None, most: int | None = None) -> DataFrame:
+    """Rows whose sequence has a length within the bounds that are given."""
+    n = F.length(sequence)
+    x = df.where(n >= least) if least is not None else df
+    return x.where(n <= most) if most is not None else x
+
+
+def matched_rows(df: DataFrame, flag: str = "matched", accession: str = "uniprot_id") -> DataFrame:
+    """Rows that are matched and have an accession."""
+    return df.where((F.col(flag).cast("int") == 1) & (F.col(accession) != ""))
+
+
+def containing(df: DataFrame, column: str, text: str) -> DataFrame:
+    """Rows whose column holds a text, literally."""
+    return df.where(F.contains(F.coalesce(F.col(column), F.lit("")), F.lit(text)))
+
+
+def require(df: DataFrame, *columns: str) -> DataFrame:
+    """df, an error if it lacks columns."""
+    if missing := sorted(set(columns) - set(df.columns)):
+        raise ValueError(f"no columns {missing} in {df.columns}")
+    return df

@@ -170,12 +170,13 @@ def draw_endpoints(pairs: DataFrame, a: str, b: str, draws: int, seed: int, weig
     return out
 
 
-def sample_negatives(positives: DataFrame, a: str, b: str, n: int, seed: int, weighted: bool = True, most_rounds: int = 20) -> DataFrame:
-    """n distinct unordered pairs of known endpoints that are no positive and no self pair; an error if that fails.
+def sample_negatives(positives: DataFrame, a: str, b: str, n: int, seed: int, weighted: bool = True, most_rounds: int = 20, exclude: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """n distinct unordered pairs of endpoints of `positives` that are no known pair (these, unless told) and no self pair; an error if that fails.
 
     Each round's draws are written, so a further round adds to them and repeats nothing.
     """
-    known = undirected(positives, a, b)
+    known = undirected(positives, a, b) if known is None else known
+    known = known.unionByName(undirected(exclude, a, b)) if exclude is not None else known
     found, draws = None, max(64, 2 * n)
     for turn in range(most_rounds):
         new = draw_endpoints(positives, a, b, draws, seed + turn, weighted).where("left <> right")
@@ -188,6 +189,42 @@ def sample_negatives(positives: DataFrame, a: str, b: str, n: int, seed: int, we
     raise ValueError(f"fewer than {n} negatives after {most_rounds} rounds")
 
 
+def with_negatives(positives: DataFrame, a: str, b: str, per_positive: float, seed: int, weighted: bool = True, most: int | None = None, exclude: DataFrame | None = None, only_negatives: bool = False) -> DataFrame:
+    """(a, b, label, category): distinct positives without self pairs, and for each so many sampled negatives.
+
+    The number of negatives is rounded half to even, and capped if asked for; pairs of `exclude` are no negatives either.
+    """
+    real = positives.where(F.col(a) != F.col(b)).select(a, b).distinct()
+    wanted = round(real.count() * per_positive)
+    wanted = min(wanted, most) if most is not None else wanted
+    listed = real.select(a, b, F.lit(1).alias("label"), F.lit("positive").alias("category"))
+    if wanted <= 0:
+        if only_negatives:
+            raise ValueError("nothing to write: no positives are wanted and no negatives are due")
+        return listed
+    drawn = sample_negatives(real, a, b, wanted, seed, weighted, exclude=exclude)
+    drawn = drawn.select(a, b, F.lit(0).alias("label"), F.lit(f"negative_{'degree' if weighted else 'uniform'}").alias("category"))
+    return drawn if only_negatives else listed.unionByName(drawn)
+
+
+def fill_negatives(pairs: DataFrame, a: str, b: str, label: str, per_positive: int, seed: int) -> DataFrame:
+    """(a, b, label, category): positives as they are, and `per_positive` negatives for each.
+
+    Given negatives come first, unchecked; random pairs of all endpoints that are no positive fill up what lacks. Of more
+    given ones than are wanted the first in order stay.
+    """
+    positives = pairs.where(F.col(label) == 1)
+    given = undirected(pairs.where(F.col(label) == 0), a, b)
+    target = positives.count() * per_positive
+    lacks = target - given.count()
+    every = given
+    if lacks > 0:
+        more = sample_negatives(pairs, a, b, lacks, seed, False, exclude=given, known=undirected(positives, a, b))
+        every = given.unionByName(more)
+    chosen = every.orderBy(a, b).limit(target)
+    return positives.select(a, b, F.lit(1).alias("label"), F.lit("positive").alias("category")).unionByName(chosen.select(a, b, F.lit(0).alias("label"), F.lit("negative_sampled").alias("category")))
+
+
 def combinations(df: DataFrame, group: str, item: str, order: str) -> DataFrame:
     """Every two items of a group, the earlier first. Groups are small by nature (the chains of one structure)."""
     x = df.select(F.col(group), F.col(item).alias("left"), F.col(order).alias("__a"))

@@ -12,6 +12,7 @@ from pairloom.functions import sequences as S
 from pairloom.operators import contract as C
 from pairloom.operators import entities as N
 from pairloom.operators import pairs as P
+from pairloom.operators.matching import containing, require
 
 
 @dataclass(frozen=True)
@@ -91,10 +92,67 @@ def normalised(pairs: DataFrame) -> DataFrame:
     return x.select(*C.INTERACTIONS)
 
 
-def build(master: DataFrame, sources: list[Source]) -> dict[str, DataFrame]:
-    """All four contract tables."""
+def pair_evidence(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(FPid_1, FPid_2, raw): evidence tokens of the primary source's own rows (sequence_1, sequence_2, throughput), by content."""
+    md5 = known.select("protein_md5", "fpid")
+    x = rows.select(S.content_md5(F.col("sequence_1")).alias("m1"), S.content_md5(F.col("sequence_2")).alias("m2"), E.throughput_tokens(F.col("throughput")).alias("raw"))
+    x = x.join(md5.withColumnsRenamed({"protein_md5": "m1", "fpid": "a"}), "m1").join(md5.withColumnsRenamed({"protein_md5": "m2", "fpid": "b"}), "m2")
+    keyed = x.select(F.least("a", "b").alias("FPid_1"), F.greatest("a", "b").alias("FPid_2"), "raw")
+    return keyed.groupBy("FPid_1", "FPid_2").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("raw")))).alias("raw"))
+
+
+def curated_pairs(rows: DataFrame, known: DataFrame, mark: str = "complex curation") -> DataFrame:
+    """(FPid_1, FPid_2) of the primary source's rows (sequence_1, sequence_2, method) whose method names the curation."""
+    md5 = known.select("protein_md5", "fpid")
+    x = containing(rows, "method", mark).select(S.content_md5(F.col("sequence_1")).alias("m1"), S.content_md5(F.col("sequence_2")).alias("m2"))
+    x = x.join(md5.withColumnsRenamed({"protein_md5": "m1", "fpid": "FPid_1"}), "m1").join(md5.withColumnsRenamed({"protein_md5": "m2", "fpid": "FPid_2"}), "m2")
+    return P.undirected(x, "FPid_1", "FPid_2")
+
+
+def repaired(pairs: DataFrame, primary: str, mixed_sources: list[str], evidence: DataFrame) -> DataFrame:
+    """Interactions with the primary source's own evidence in the place of its blanket tag; class and tier are made anew later."""
+    x = require(pairs, "FPid_1", "FPid_2", "PPI_Source", "Evidence_Tags").join(evidence, ["FPid_1", "FPid_2"], "left")
+    tags = E.repaired(S.tokens(F.col("Evidence_Tags")), F.col("raw"), S.tokens(F.col("PPI_Source")), primary, mixed_sources)
+    return x.withColumn("Evidence_Tags", S.ordered_tokens(tags, E.REPAIR_ORDER)).drop("raw")
+
+
+def curated(pairs: DataFrame, primary: str, keys: DataFrame) -> DataFrame:
+    """Interactions with complex_curation added where the primary source curated the pair."""
+    x = pairs.join(keys.select("FPid_1", "FPid_2", F.lit(True).alias("__curated")).distinct(), ["FPid_1", "FPid_2"], "left")
+    tags = E.with_curation(S.tokens(F.col("Evidence_Tags")), S.tokens(F.col("PPI_Source")), primary, F.coalesce("__curated", F.lit(False)))
+    return x.withColumn("Evidence_Tags", F.array_join(tags, ";")).drop("__curated")
+
+
+def rewrite_counts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(counter, n) of a rewrite: rows read and changed, `mixed` removed, curation added, and the classes and tiers it leaves."""
+    keys = ["FPid_1", "FPid_2"]
+    old = before.select(*keys, F.col("Evidence_Tags").alias("__old"))
+    x = after.select(*keys, "Evidence_Tags", "Evidence_Type", "PPI_Tier").join(old, keys)
+    has = lambda c, t: F.array_contains(S.tokens(F.col(c)), t)
+    same = F.array_sort(S.tokens(F.col("__old"))) == F.array_sort(S.tokens(F.col("Evidence_Tags")))
+    counts = [F.count("*").alias("rows_read"), F.count_if(~same).alias("rows_changed"), F.count_if(has("__old", "mixed") & ~has("Evidence_Tags", "mixed")).alias("mixed_removed"), F.count_if(~has("__old", "complex_curation") & has("Evidence_Tags", "complex_curation")).alias("curation_added")]
+    counts += [F.count_if(F.col("Evidence_Type") == k).alias(f"class_{k}") for k in E.EVIDENCE_TYPES]
+    counts += [F.count_if(F.col("PPI_Tier") == k).alias(f"tier_{k}") for k in E.TIER_NAMES]
+    y = x.agg(*counts)
+    return y.select(F.explode(F.array(*(F.struct(F.lit(c).alias("counter"), F.col(c).alias("n")) for c in y.columns))).alias("x")).select("x.counter", "x.n")
+
+
+@dataclass(frozen=True)
+class Primary:
+    """The primary source: its name, the sources that support a `mixed` of their own, and its raw rows (sequence_1, sequence_2, throughput, method)."""
+
+    name: str
+    mixed_sources: tuple[str, ...]
+    rows: DataFrame
+
+
+def build(master: DataFrame, sources: list[Source], primary: Primary | None = None) -> dict[str, DataFrame]:
+    """All four contract tables; with a primary source its evidence is repaired and its curation marked, in the same plan."""
     prot, ids = proteins(master, sources)
     inter = merged(interactions(ids, sources))
+    if primary is not None:
+        inter = repaired(inter, primary.name, list(primary.mixed_sources), pair_evidence(primary.rows, prot))
+        inter = normalised(curated(inter, primary.name, curated_pairs(primary.rows, prot)))
     return {
         "proteins": prot,
         "sequences": prot.select(F.col("fpid").alias("id"), "sequence"),

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.functions.sequences import content_md5
 from pairloom.operators import clusters as G
 from pairloom.operators import pairs as P
 from pairloom.operators import splits
@@ -49,6 +50,26 @@ def check_user_pairs(pairs: DataFrame, name: str) -> DataFrame:
     return x
 
 
+def _some(ids: DataFrame) -> list[str]:
+    """Up to five of the ids, in order."""
+    return [r.id for r in ids.select("id").distinct().orderBy("id").limit(5).collect()]
+
+
+def check_content_ids(pairs: DataFrame) -> None:
+    """An error if an endpoint is no MD5."""
+    if bad := _some(pairs.select(F.explode(F.array("ID_1", "ID_2")).alias("id")).where(~F.col("id").rlike("^[0-9a-f]{32}$"))):
+        raise ValueError(f"no content ids: {bad}")
+
+
+def check_proteins(proteins: DataFrame) -> None:
+    """An error if a public id stands twice or a hash isn't its sequence's."""
+    if again := [r.fpid for r in proteins.groupBy("fpid").count().where("count > 1").orderBy("fpid").limit(5).collect()]:
+        raise ValueError(f"public ids that stand twice: {again}")
+    wrong = proteins.where(F.coalesce(F.col("protein_md5") != content_md5(F.col("sequence")), F.lit(True)))
+    if some := [r.fpid for r in wrong.orderBy("fpid").limit(5).collect()]:
+        raise ValueError(f"hashes that aren't their sequences': {some}")
+
+
 def _take(rows: DataFrame, n: int, seed: int | str, what: str, priority=None) -> DataFrame:
     out = P.sample_by_priority(rows, n, priority, seed, "ID_1", "ID_2") if priority is not None else P.sample(rows, n, seed, "ID_1", "ID_2")
     if n and out.count() < n:
@@ -56,10 +77,11 @@ def _take(rows: DataFrame, n: int, seed: int | str, what: str, priority=None) ->
     return out
 
 
-def split(pairs: DataFrame, cluster_map: DataFrame | None, sequences: DataFrame, sizes: Sizes, seed: int, val: DataFrame | None = None, test: DataFrame | None = None, preferred: list[str] | None = None) -> dict[str, DataFrame]:
+def split(pairs: DataFrame, cluster_map: DataFrame | None, sequences: DataFrame, sizes: Sizes, seed: int, val: DataFrame | None = None, test: DataFrame | None = None, preferred: list[str] | None = None, clusters_at: str | None = None, content_ids: bool = False) -> dict[str, DataFrame]:
     """val, test, train (ID_1, ID_2, label), the flagged cluster map and the used sequences (id, sequence).
 
-    pairs is mapped_pairs(); cluster_map (member, cluster) comes from an alignment tool, or is made from shingles.
+    pairs is mapped_pairs(); cluster_map (member, cluster) comes from an alignment tool, or is made from shingles (kept at
+    clusters_at, if given, and read from there the next time). With content_ids every held endpoint must be an MD5.
     """
     keys = ["ID_1", "ID_2"]
     given = [check_user_pairs(x, n) if x is not None else None for x, n in ((val, "val"), (test, "test"))]
@@ -86,13 +108,18 @@ def split(pairs: DataFrame, cluster_map: DataFrame | None, sequences: DataFrame,
         for x in group:
             out[name] = out[name].unionByName(x)
     holdout = out["val"].unionByName(out["test"])
-    found = cluster_map if cluster_map is not None else G.cluster(sequences, "id", "sequence").select(F.col("id").alias("member"), "cluster")
-    out["train"] = splits.training_rows(pairs.select(*keys, "label"), holdout, found, *keys, "label", "member", "cluster").distinct()
     ends = holdout.where("label = 1").select(F.explode(F.array(*keys)).alias("id")).distinct()
+    found = cluster_map if cluster_map is not None else G.cluster_for_holdout(sequences, "id", "sequence", ends, kept_at=clusters_at).select(F.col("id").alias("member"), "cluster")
+    if content_ids:
+        check_content_ids(holdout)
+    if not found.isEmpty() and (lost := _some(ends.join(found.select(F.col("member").alias("id")), "id", "left_anti"))):
+        raise ValueError(f"no cluster for {lost}")
+    out["train"] = splits.training_rows(pairs.select(*keys, "label"), holdout, found, *keys, "label", "member", "cluster").distinct()
+    if out["train"].isEmpty():
+        raise ValueError("no training pair is left")
     out["clusters"] = splits.cluster_flags(found, ends, "member", "cluster")
     used = holdout.unionByName(out["train"]).select(F.explode(F.array(*keys)).alias("id")).distinct()
-    missing = [r.id for r in used.join(sequences, "id", "left_anti").orderBy("id").limit(5).collect()]
-    if missing:
+    if missing := _some(used.join(sequences, "id", "left_anti")):
         raise ValueError(f"no sequence for {missing}")
     out["sequences"] = sequences.join(used, "id", "left_semi")
     return out

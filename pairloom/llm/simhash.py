@@ -7,9 +7,11 @@ separates has its outer member in the shell (radius, radius + r]. That shell, an
 a visitor. Every pair within r bits therefore meets in exactly one shard at least, and the pair search is exact.
 
 The tree's vantage points and radii are fitted on a bounded sample of distinct fingerprints (SAMPLE); they decide only
-how even the shards are, never which pairs are found. A shard goes on splitting in memory by the same rule; parts that
-a tree can't split (balls of a few bits' radius) are joined by sorted one-bit variants, which is linear in their size.
-Shards return a spanning forest, so links grow with the number of fingerprints and not with its square.
+how even the shards are, never which pairs are found. Shards are counted, and one of more than MOST fingerprints gets a
+tree of its own and is dealt out again, until none is larger: a task's memory doesn't grow with the corpus. What no
+tree can split (balls of a few bits' radius) is joined by one-bit variants, 65 rows for each fingerprint, of which a
+group holds 65 at most. A shard goes on splitting in memory by the same rules. Shards return a spanning forest, so links
+grow with the number of fingerprints and not with its square.
 
 Nulls: a null text is a text without words; a null doc_id keeps its row, its class being the smallest non-null id that
 is reachable (null if none). Empty tables give no rows; repeated rows and ids give a row each. Other columns are ignored.
@@ -18,18 +20,21 @@ is reachable (null if none). Empty tables give no rows; repeated rows and ids gi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import components, hash_sample, materialize, slices
+from pairloom.llm.common import components, free_name, hash_sample, materialize, release, slices, with_values
 from pairloom.operators.clusters import missed_links
 
-#: Fingerprints that the tree is fitted on, at most; and how many of all fingerprints a shard should hold.
-SAMPLE, SHARD = 32768, 512
+#: Fingerprints that the first tree is fitted on, and those of all later ones together, at most; how many of all
+#: fingerprints a shard should hold, and how many it may hold.
+SAMPLE, AGAIN, SHARD, MOST = 32768, 1 << 20, 512, 65536
 SEED = 42
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -109,26 +114,23 @@ def fit_tree(sample: np.ndarray, r: int, shards: int) -> tuple[Node | int, int]:
     return grow(sample), made[0]
 
 
-def route(fps: np.ndarray, tree: Node | int, r: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows that go to a shard (positions in fps), the shards, and whether each is at home there or a visitor."""
-    rows, shards, homes = [], [], []
-    todo = [(tree, np.arange(len(fps)), np.ones(len(fps), bool))]
+def route(fps: np.ndarray, tree: Node | int, r: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that go to a shard (positions in fps) and the shards: one in which each is at home, others that it visits."""
+    rows, shards = [], []
+    todo = [(tree, np.arange(len(fps)))]
     while todo:
-        node, at, home = todo.pop()
+        node, at = todo.pop()
         if not len(at):
             continue
         if isinstance(node, int):
             rows.append(at)
             shards.append(np.full(len(at), node))
-            homes.append(home)
             continue
         d = np.bitwise_count(fps[at] ^ np.uint64(node.point))
-        near, shell = d <= node.radius, (d > node.radius) & (d <= node.radius + r)
-        todo.append((node.inside, np.concatenate([at[near], at[shell]]), np.concatenate([home[near], np.zeros(int(shell.sum()), bool)])))
-        # A visitor seeks partners inside this node only up to here: outside it goes on like any other.
-        todo.append((node.outside, at[~near], home[~near]))
-    join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
-    return join(rows, np.int64), join(shards, np.int64), join(homes, bool)
+        # The shell outside seeks its partners inside as well.
+        todo += [(node.inside, at[d <= node.radius + r]), (node.outside, at[d > node.radius])]
+    join = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
+    return join(rows), join(shards)
 
 
 class Forest:
@@ -195,17 +197,65 @@ def link_shard(fps: np.ndarray, r: int) -> Forest:
     return forest
 
 
-def links(reps: DataFrame, r: int = 2) -> DataFrame:
-    """Spanning links (a, b) among distinct fingerprints (fp, rep) that differ in at most r bits."""
-    n = reps.count()
-    sample = np.array([x.fp for x in hash_sample(reps.select("fp"), "fp", SAMPLE, n)], np.int64).view(np.uint64)
-    tree, shards = fit_tree(sample, r, min(SAMPLE // 8, -(-n // SHARD)))
+_DEALT = "shard long, fp long, rep long"
+
+
+def _dealer(trees: dict[int, tuple[Node | int, int]], r: int):
+    """shard, fp, rep -> the same under the shards of each old shard's tree, numbered from its base."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            fps, rep = (batch.column(k).to_numpy() for k in (0, 1))
-            rows, shard, _ = route(fps.view(np.uint64), tree, r)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shard, fps[rows], rep[rows])], names=["shard", "fp", "rep"])
+        for batch in slices(batches, 4096):
+            old, fps, rep = (batch.column(k).to_numpy() for k in range(3))
+            for shard in np.unique(old).tolist():
+                own = np.flatnonzero(old == shard)
+                tree, base = trees[shard]
+                rows, new = route(fps[own].view(np.uint64), tree, r)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (new + base, fps[own][rows], rep[own][rows])], names=["shard", "fp", "rep"])
+
+    return deal
+
+
+def shards(reps: DataFrame, r: int = 2, most: int = MOST) -> tuple[DataFrame, DataFrame]:
+    """(shard, fp, rep): distinct fingerprints dealt out so that each pair within r bits meets; and those of balls that no tree makes smaller than `most`."""
+    n = reps.count()
+    sample = np.array([x.fp for x in hash_sample(reps.select("fp"), "fp", SAMPLE, n)], np.int64).view(np.uint64)
+    tree, made = fit_tree(sample, r, min(SAMPLE // 8, -(-n // SHARD)))
+    now = materialize(reps.select(F.lit(0).cast("long").alias("shard"), "fp", "rep").mapInArrow(_dealer({0: (tree, 0)}, r), _DEALT), "dealt")
+    parts, dense = [], []
+    while True:
+        large = {x.shard: x["count"] for x in now.groupBy("shard").count().where(F.col("count") > most).collect()}
+        if not large:
+            return reduce(DataFrame.unionAll, parts, now), reduce(DataFrame.unionAll, dense, now.where("false"))
+        names = reps.sparkSession.createDataFrame([(x,) for x in large], "shard long")  # as many as there are shards
+        again = now.join(F.broadcast(names), "shard")
+        parts.append(now.join(F.broadcast(names), "shard", "left_anti"))
+        points: dict[int, list[int]] = {}
+        for x in hash_sample(again.select("shard", "fp"), "fp", min(AGAIN, SAMPLE * len(large)), sum(large.values())):
+            points.setdefault(x.shard, []).append(x.fp)
+        trees: dict[int, tuple[Node | int, int]] = {}
+        for shard, size in large.items():
+            tree, leaves = fit_tree(np.array(points.get(shard, ()), np.int64).view(np.uint64), r, -(-size // max(1, most // 8)))
+            if leaves > 1:
+                trees[shard] = (tree, made)
+                made += leaves
+        whole = again.where(~F.col("shard").isin(*trees)) if trees else again
+        dense.append(whole)
+        now = materialize((again.where(F.col("shard").isin(*trees)) if trees else again.where("false")).mapInArrow(_dealer(trees, r), _DEALT), "dealt")
+
+
+def variant_links(dense: DataFrame, r: int) -> DataFrame:
+    """(a, b) among (fp, rep), r even: fingerprints within r bits share one of their variants of r / 2 changed bits at most."""
+    if r % 2:
+        raise ValueError(f"{r} is odd: such balls can't be joined by variants")
+    flips = [sum(1 << b for b in bits) for k in range(r // 2 + 1) for bits in combinations(range(64), k)]
+    masks = F.array(*(F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in flips))
+    keys = dense.select("fp", "rep").distinct().select("rep", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("key"))
+    met = keys.groupBy("key").agg(F.min("rep").alias("b"), F.collect_list("rep").alias("all"))  # as many as there are variants
+    return met.select(F.explode("all").alias("a"), "b").where("a <> b").distinct()
+
+
+def links(reps: DataFrame, r: int = 2, most: int = MOST) -> DataFrame:
+    """Spanning links (a, b) among distinct fingerprints (fp, rep) that differ in at most r bits."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _groups(batches):
@@ -217,8 +267,9 @@ def links(reps: DataFrame, r: int = 2) -> DataFrame:
             tied = roots != np.arange(len(fps))
             yield pa.RecordBatch.from_arrays([pa.array(rep[tied]), pa.array(rep[roots[tied]])], names=["a", "b"])
 
-    dealt = reps.mapInArrow(deal, "shard long, fp long, rep long")
-    return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(search, "a long, b long")
+    dealt, dense = shards(reps, r, most)
+    found = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(search, "a long, b long")
+    return found if dense.isEmpty() else found.unionAll(variant_links(dense, r))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -273,8 +324,17 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return np.array([h(low[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)], np.uint64).view(np.int64)
 
 
+def _nodes(signed: DataFrame) -> DataFrame:
+    """Adds `node`, a number for each doc_id and text: the doc_id itself, or one from 2^62 on for further texts of an id."""
+    several = signed.groupBy("doc_id").agg(F.min("sig").alias("__least"), F.max("sig").alias("__most")).where("__most > __least").select("doc_id", "__least")
+    extra = F.lit(1 << 62) + F.pmod(F.xxhash64("doc_id", "sig"), F.lit(1 << 61))
+    return signed.join(several, "doc_id", "left").withColumn("node", F.when(F.col("sig") > F.col("__least"), extra).otherwise(F.col("doc_id"))).drop("__least")
+
+
 def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int = 2) -> DataFrame:
-    """(doc_id, component): near-duplicates on shingles of `size` words; documents without any are not returned.
+    """(doc_id, sig, node, component): near-duplicates on shingles of `size` words, a row for each that has one.
+
+    sig is the text's hash: texts of one doc_id are nodes of their own. Texts without words are copies of each other.
 
     Links are fingerprints within r bits, found by the trees above, and pairs of at least the given Jaccard similarity.
     A similarity of 0.8 leaves about ten differing bits of 64; shells of that width hold most of all fingerprints, so a
@@ -282,64 +342,86 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     and by its whole shingle set, with the first text and with the hub of each of its bands' groups. What that leaves
     unconnected in a group is then compared exactly with everything in it that it isn't connected to, so every pair that
     shares a band is decided. Links stay linear in a group; comparisons are quadratic only in the texts of a group that
-    are not like its most common class.
+    are not like its most common class. What is compared are shingle sets, made once for the members of groups; a hub's
+    is sent once for each few hundred of its partners.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [shingle_hashes(t, size) for t in batch.column(1).to_pylist()]
+            sets = [shingle_hashes(t, size) for t in batch.column(2).to_pylist()]
             fps = np.array([fingerprint(s) for s in sets], np.uint64).view(np.int64)
             keys = [band_keys(s).tolist() if len(s) else [] for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "sig", "fp", "bands"])
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(t, size).view(np.int64)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
-            for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                x, y = set(shingle_hashes(x, size).tolist()), set(shingle_hashes(y, size).tolist())
-                both = len(x & y)
-                if both >= similarity * (len(x) + len(y) - both):
-                    out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ((), ()))], names=["a", "b"])
-
-    named = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    signed = materialize(named.mapInArrow(sign, "doc_id long, fp long, bands array<long>"), "signatures")
-    reps = materialize(signed.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most")), "reps")
-    copies = signed.select("doc_id", "fp").join(reps.where("most > rep").select("fp", "rep"), "fp").where("doc_id > rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+            left, right = (batch.column(k) for k in (2, 3))
+            good = []
+            for k in range(len(batch)):
+                x, y = (side[k].values.to_numpy() for side in (left, right))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    named = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("sig"), "text").where("doc_id is not null")
+    signed = named.mapInArrow(sign, "doc_id long, sig long, fp long, bands array<long>")
+    signed = materialize(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    nodes = materialize(_nodes(signed.select("doc_id", "sig", "fp", "row")), "nodes")
+    reps = nodes.groupBy("fp").agg(F.min(F.struct("node", "row")).alias("one"), F.max("node").alias("most"))
+    reps = materialize(reps.select("fp", F.col("one.node").alias("rep"), "one.row", "most"), "reps")
+    copies = nodes.join(reps.where("most > rep").select("fp", "rep"), "fp").where("node > rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     # Texts with one fingerprint are near copies already; the first of them stands for all.
-    keyed = signed.join(reps.select(F.col("rep").alias("doc_id"), "fp"), ["doc_id", "fp"], "left_semi").select("doc_id", F.posexplode("bands").alias("band", "key"))
+    keyed = signed.select("row", "bands").join(reps.select("row", F.col("rep").alias("node")), "row").select("node", F.posexplode("bands").alias("band", "key"))
     keyed = materialize(keyed, "bands")
-    firsts = materialize(keyed.groupBy("band", "key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
+    firsts = materialize(keyed.groupBy("band", "key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
     grouped = materialize(keyed.join(firsts, ["band", "key"]), "grouped")
+    release(keyed)
     # The hub of a band group is the member whose groups are largest in sum: an original, or what is closest to it.
-    score = materialize(grouped.groupBy("doc_id").agg(F.sum("n").alias("score")), "scores")
-    hubs = grouped.join(score, "doc_id").groupBy("band", "key").agg(F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("hub"))
+    score = materialize(grouped.groupBy("node").agg(F.sum("n").alias("score")), "scores")
+    hubs = grouped.join(score, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("hub"))
     hubs = materialize(hubs, "hubs")
-    stars = grouped.select("doc_id", "first").unionAll(grouped.select("doc_id", "band", "key").join(hubs, ["band", "key"]).select("doc_id", "hub"))
-    pairs = stars.where("doc_id <> first").select(F.greatest("doc_id", "first").alias("doc_id"), F.least("doc_id", "first").alias("first")).distinct()
-    pairs = materialize(pairs, "pairs")
-    texts = named.select(F.col("doc_id"), "text")
-    left = pairs.join(texts, "doc_id").select("doc_id", "first", F.col("text").alias("x"))
-    both = left.join(texts.select(F.col("doc_id").alias("first"), F.col("text").alias("y")), "first").select("doc_id", "first", "x", "y")
-    like = both.mapInArrow(compare, "a long, b long")
+    stars = grouped.select("node", "first").unionAll(grouped.select("node", "band", "key").join(hubs, ["band", "key"]).select("node", "hub"))
+    pairs = materialize(stars.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
+    ids = score.select("node").join(nodes.select("node", "doc_id", "sig"), "node").distinct()
+    texts = named.join(ids, ["doc_id", "sig"]).groupBy("doc_id", "sig", "node").agg(F.min("text").alias("text"))  # a repeated row counts once
+    sets = materialize(texts.select("node", "text").mapInArrow(shingle, "node long, set array<long>"), "sets")
+    like = with_values(pairs, sets, ["a"], ["b"], ["node"], "set").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
     near = materialize(links(reps.select("fp", "rep"), r), "links")
     edges = near.unionAll(copies).unionAll(materialize(like, "alike"))
     classes = materialize(components(edges), "near-classes")
-    members = grouped.select(F.col("doc_id").alias("id"), F.col("key").alias("group"))
+    members = grouped.select(F.col("node").alias("id"), F.col("key").alias("group"))
     known = classes.select(F.col("node").alias("id"), F.col("component").alias("class"))
-    # A repeated doc_id counts once, by one of its texts.
-    value = texts.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("value")).withColumnRenamed("doc_id", "id")
-    more = materialize(missed_links(members, known, value, similarity, lambda t: set(shingle_hashes(t, size).tolist())), "more")
+    more = materialize(missed_links(members, known, sets.select(F.col("node").alias("id"), F.col("set").alias("value")), similarity, set), "more")
     if not more.isEmpty():
         classes = components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b").unionAll(more))
-    return classes.withColumnRenamed("node", "doc_id")
+    rows = nodes.select("doc_id", "sig", "node").join(classes, "node").distinct()
+    # Further texts of an id have large numbers, but may have the smallest id of their class.
+    least = materialize(rows.where(F.col("node") >= 1 << 62).groupBy("component").agg(F.min(F.struct("doc_id", "sig", "node")).alias("least")), "least")
+    smaller = F.col("least.doc_id") < F.col("component")
+    return rows.join(least, "component", "left").select("doc_id", "sig", "node", F.when(smaller, F.col("least.node")).otherwise(F.col("component")).alias("component"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The documents but for near-duplicates of one with a smaller id, all columns kept; rows with a null doc_id stay, of rows that repeat a doc_id one does."""
-    gone = materialize(near_groups(docs, size, similarity).where("doc_id <> component").select(F.col("doc_id").alias("__gone")), "gone")
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    """The documents but for near-duplicates of one with a smaller id, all columns kept; rows with a null doc_id stay.
+
+    Of texts under one doc_id that are near-duplicates one stays, others are judged each by itself. Of rows that repeat
+    doc_id and text one stays, that with the smallest hash of all its columns.
+    """
+    names = {c: free_name(docs, f"__{c}") for c in ("doc_id", "sig")}
+    gone = materialize(near_groups(docs, size, similarity).where("node <> component").select("doc_id", "sig").distinct(), "gone").withColumnsRenamed(names)
+    sig = F.xxhash64(docs["text"])
+    left = docs.join(gone, (docs["doc_id"].cast("long") == F.col(names["doc_id"])) & (sig == F.col(names["sig"])), "left_anti")
+    again = materialize(docs.where("doc_id is not null").groupBy("doc_id", F.xxhash64("text").alias("sig")).agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").cast("long"), "sig"), "again")
     if again.isEmpty():
         return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionAll(left.where("doc_id is null"))
+    again = again.withColumnsRenamed(names)
+    same = (left["doc_id"].cast("long") == F.col(names["doc_id"])) & (F.xxhash64(left["text"]) == F.col(names["sig"]))
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    number, order = free_name(docs, "__number"), F.xxhash64(*plain)
+    once = left.join(again, same).withColumn(number, F.row_number().over(Window.partitionBy(names["doc_id"], names["sig"]).orderBy(order)))
+    return left.join(again, same, "left_anti").unionAll(once.where(F.col(number) == 1).select(*docs.columns))

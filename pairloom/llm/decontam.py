@@ -6,17 +6,21 @@
 3. A randomised SVD of the TF-IDF passages of all documents: each task multiplies its passages by a random test matrix
    and back (AᵀAΩ), the products are summed by term, and a Nyström step on the driver gives the leading right singular
    vectors. The benchmark's own passages are rows too, weighted to ITEM_WEIGHT of all the documents', so that their
-   rare terms keep a place in the space. What reaches the driver is bounded by the block of items: TERMS x RANK numbers.
+   rare terms keep a place in the space. What reaches the driver is bounded by the benchmark: its terms x RANK numbers.
 4. Overlapping windows of every document and passages of every item are compared by cosine in the latent space; what
    comes near must also share OVERLAP of the item passage's TF-IDF weight.
 5. Candidates are confirmed by longest common subsequences, of the terms first and then of all words: an item counts as
    found if COPY of its words stand there in order, or as paraphrased if PARAPHRASE of them do and the answer (its last
    sentence) does too, to ANSWER of its words.
 
-The benchmark is handled in blocks of BLOCK items, so its size is not bounded by a task's memory. Items of fewer than
-LEAST_WORDS words can't be told from chance and are passed over, like null ones. Null texts have no words. Rows that repeat
-a doc_id count as one document's; a row with a null doc_id is searched by nobody and kept. Repeated items are reported
-under each of their ids. Empty tables give no rows. Other columns pass through. Long texts are searched whole.
+All items share one vocabulary, one space and one scan of the documents, so what is found doesn't depend on how they are
+grouped. The benchmark is the small side by nature: at most MOST_WORDS words are taken, and more is an error, not a cut.
+Items of fewer than LEAST_WORDS words are found where all their words stand in a row; those of fewer than SHORTEST can't
+be told from chance and are passed over, like null ones.
+
+Null texts have no words. Rows that repeat a doc_id are searched each in its own text; a row with a null doc_id is searched
+by nobody and kept. Repeated items are reported under each of their ids. Empty tables give no rows. Other columns pass
+through, whatever their names. Long texts are searched whole.
 """
 
 from __future__ import annotations
@@ -29,16 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import materialize, slices
+from pairloom.llm.common import free_name, materialize, signed_texts, slices
 
-BLOCK, RANK, EXTRA = 400, 64, 8
+RANK, EXTRA = 64, 8
 WINDOW, STRIDE = 32, 16
-LEAST_WORDS, LEAST_TERMS = 8, 3
+LEAST_WORDS, SHORTEST, MOST_WORDS = 8, 4, 5_000_000
 COSINE, OVERLAP = 0.5, 0.3
 #: What the benchmark's passages weigh in the SVD, against all passages of the documents.
 ITEM_WEIGHT = 0.5
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
-#: Items that may share a term, as a share of the block; an item's KEEP rarest words are terms in any case.
+#: Items that may share a term, as a share of all; an item's KEEP rarest words are terms in any case.
 SHARE, KEEP = 0.04, 6
 _PLAIN = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 FOUND = "doc_id long, item_id long, start int, coverage double, answer_coverage double, kind string"
@@ -64,10 +68,15 @@ def lcs(a: list, b: list) -> int:
 
 
 class Items:
-    """A block of the benchmark: words, answers, terms and passages."""
+    """The benchmark: words, answers, terms and passages, and the short items by their first words."""
 
     def __init__(self, rows: list[tuple[int, str]]) -> None:
-        kept = [(i, w, plain_words(answer_of(t))) for i, t in rows if len(w := plain_words(t)) >= LEAST_WORDS]
+        cut = [(i, plain_words(t), t) for i, t in rows]
+        kept = [(i, w, plain_words(answer_of(t))) for i, w, t in cut if len(w) >= LEAST_WORDS]
+        self.short: dict[bytes, list[tuple[int, list[bytes]]]] = {}
+        for i, w, _ in cut:
+            if SHORTEST <= len(w) < LEAST_WORDS:
+                self.short.setdefault(w[0], []).append((i, w))
         self.ids = [x[0] for x in kept]
         self.words = [x[1] for x in kept]
         self.answers = [x[2] for x in kept]
@@ -97,34 +106,46 @@ def answer_of(text: str) -> str:
     return out
 
 
-def term_positions(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
-    """(doc_id, n_words, at, term): where each document has the terms; documents with none are left out."""
+_TERMS = "doc_id long, sig long, n_words int, at array<int>, term array<int>, short array<struct<item_id:long,start:int>>"
+
+
+def term_positions(docs: DataFrame, terms: dict[bytes, int], short: dict[bytes, list[tuple[int, list[bytes]]]] | None = None) -> DataFrame:
+    """(doc_id, sig, n_words, at, term, short): where each row has the terms, and short items whole; rows with neither are left out."""
+    short = short or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = terms.get
         for batch in slices(batches):
-            docs, sizes, at, term, ends = [], [], [], [], [0]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            rows, sizes, at, term, ends, whole = [], [], [], [], [0], []
+            for row, text in enumerate(batch.column(2).to_pylist()):
                 words = plain_words(text)
                 ids = list(map(get, words))
                 here = [k for k, x in enumerate(ids) if x is not None]
-                if here:
-                    docs.append(doc)
+                found = {}
+                if not short.keys().isdisjoint(words):
+                    for k, w in enumerate(words):
+                        for item, own in short.get(w, ()):
+                            if words[k : k + len(own)] == own:
+                                found.setdefault(item, k)
+                if here or found:
+                    rows.append(row)
                     sizes.append(len(words))
                     at += here
                     term += [ids[k] for k in here]
                     ends.append(len(at))
+                    whole.append([{"item_id": i, "start": k} for i, k in found.items()])
             offsets = pa.array(np.array(ends, np.int32))
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in (at, term)]
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(sizes, pa.int32()), *lists], names=["doc_id", "n_words", "at", "term"])
+            own = batch.take(pa.array(rows, pa.int64()))
+            shorts = pa.array(whole, pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32())])))
+            yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sizes, pa.int32()), *lists, shorts], names=["doc_id", "sig", "n_words", "at", "term", "short"])
 
-    named = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
-    return named.mapInArrow(run, "doc_id long, n_words int, at array<int>, term array<int>")
+    return signed_texts(docs).mapInArrow(run, _TERMS)
 
 
 def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document of each term, its position and the term, for a batch of term_positions()."""
-    at, term = batch.column(2), batch.column(3)
+    """Row of each term, its position and the term, for a batch of (at, term) lists in its last two columns."""
+    at, term = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
     ends = at.offsets.to_numpy()
     who = np.repeat(np.arange(len(batch)), np.diff(ends))
     return who, at.flatten().to_numpy(), term.flatten().to_numpy()
@@ -142,7 +163,7 @@ def document_frequency(found: DataFrame, n_terms: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
 
     df = np.zeros(n_terms, np.int64)
-    for x in found.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    for x in found.select("at", "term").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         df[x.term] = x.n
     return df
 
@@ -183,10 +204,10 @@ def latent_basis(found: DataFrame, idf: np.ndarray, items: Items) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(total[some, k]) for k in range(width))], names=["term", *(f"z{k}" for k in range(width))])
 
     columns = [f"z{k}" for k in range(width)]
-    summed = found.mapInArrow(run, "term long, " + ", ".join(f"{c} double" for c in columns)).groupBy("term").agg(*(F.sum(c).alias(c) for c in columns))
+    summed = found.select("at", "term").mapInArrow(run, "term long, " + ", ".join(f"{c} double" for c in columns)).groupBy("term").agg(*(F.sum(c).alias(c) for c in columns))
     z = np.zeros((n_terms, width))
-    for x in summed.collect():
-        z[x.term] = x[1:]
+    got = summed.toArrow()
+    z[got.column("term").to_numpy()] = np.column_stack([got.column(c).to_numpy() for c in columns])
     rows = np.repeat(np.arange(len(items.passages)), [len(t) for _, t in items.passages])
     passages = found.agg(F.sum(F.ceil(F.col("n_words") / WINDOW))).first()[0] or 0
     z += (1 + ITEM_WEIGHT * passages / len(items.passages)) * product(rows, np.concatenate([t for _, t in items.passages]))
@@ -200,7 +221,7 @@ def latent_basis(found: DataFrame, idf: np.ndarray, items: Items) -> np.ndarray:
 
 
 def candidates(found: DataFrame, idf: np.ndarray, basis: np.ndarray, items: Items) -> DataFrame:
-    """(doc_id, item, at): windows like an item's passage whose terms also stand there in the item's order."""
+    """(doc_id, sig, item, at): windows like an item's passage whose terms also stand there in the item's order."""
     owner = np.array([k for k, _ in items.passages])
     known = np.stack([(basis[t] * idf[t, None]).sum(axis=0) for _, t in items.passages])
     known = (known / np.maximum(np.linalg.norm(known, axis=1, keepdims=True), 1e-9)).astype(np.float32)
@@ -208,10 +229,19 @@ def candidates(found: DataFrame, idf: np.ndarray, basis: np.ndarray, items: Item
     sizes = [len(w) for w in items.words]
     # What confirm() accepts lacks at most 1 - PARAPHRASE of the words, so at most so many of the terms.
     least = [max(1, len(t) - int((1 - PARAPHRASE) * len(w) + 1e-9)) for t, w in zip(items.sequences, items.words, strict=True)]
-    has = np.zeros((len(items.passages), len(idf)), np.float32)
+    # Each term's share of its passage's weight, as a sparse matrix: sorted keys of passage and term.
+    n_terms = len(idf)
+    held, shares = [], []
     for k, (_, t) in enumerate(items.passages):
-        has[k, t] = (idf[t] ** 2).astype(np.float32)
-    has /= np.maximum(has.sum(axis=1, keepdims=True), 1e-9)  # each term's share of its passage's weight
+        own = np.unique(t)
+        held.append(k * n_terms + own)
+        shares.append((idf[own] ** 2 / max((idf[own] ** 2).sum(), 1e-9)).astype(np.float32))
+    held, shares = np.concatenate(held), np.concatenate(shares)
+
+    def weight(passage: np.ndarray, term: np.ndarray) -> np.ndarray:
+        key = passage * n_terms + term
+        spot = np.minimum(np.searchsorted(held, key), len(held) - 1)
+        return np.where(held[spot] == key, shares[spot], 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -219,7 +249,7 @@ def candidates(found: DataFrame, idf: np.ndarray, basis: np.ndarray, items: Item
                 yield from search(part)
 
     def search(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        docs, (who, at, term) = part.column(0).to_numpy(), _lists(part)
+        docs, sigs, (who, at, term) = part.column(0).to_numpy(), part.column(1).to_numpy(), _lists(part)
         if not len(term):
             return
         # Sums of strides, then of the strides of a window: a window starts at every stride.
@@ -233,19 +263,18 @@ def candidates(found: DataFrame, idf: np.ndarray, basis: np.ndarray, items: Item
         first = starts
         full = sums + np.where(follows[:, None], np.concatenate([sums[1:], sums[:1]]), 0)
         number = number + np.where(follows, np.concatenate([number[1:], number[:1]]), 0)
-        use = np.flatnonzero(number >= LEAST_TERMS)
         seen: set[tuple[int, int, int]] = set()
-        for k in range(0, len(use), 4096):
-            some = use[k : k + 4096]
-            x = full[some]
-            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        step = max(1, (1 << 22) // len(known))
+        for k in range(0, len(full), step):
+            x = full[k : k + step]
+            x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
             hit, passage = np.nonzero(x @ known.T >= COSINE)
-            own, count = first[some[hit]], number[some[hit]]
+            own, count = first[k + hit], number[k + hit]
             at_pair = np.repeat(np.arange(len(hit)), count)
             inside = np.arange(len(at_pair)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(own, count)
-            good = np.bincount(at_pair, has[passage[at_pair], term[inside]], minlength=len(hit)) >= OVERLAP
+            good = np.bincount(at_pair, weight(passage[at_pair], term[inside]), minlength=len(hit)) >= OVERLAP
             hit, passage = hit[good], passage[good]
-            for cell_at, item in zip(cell[some[hit]].tolist(), owner[passage].tolist(), strict=True):
+            for cell_at, item in zip(cell[k + hit].tolist(), owner[passage].tolist(), strict=True):
                 seen.add((cell_at >> 32, (cell_at & 0xFFFFFFFF) * STRIDE, item))
         out = []
         ends = np.searchsorted(who, np.arange(len(part) + 1))
@@ -254,11 +283,12 @@ def candidates(found: DataFrame, idf: np.ndarray, basis: np.ndarray, items: Item
             low, high = np.searchsorted(own, (start - sizes[item], start + WINDOW + sizes[item] * 3 // 2))
             sequence = items.sequences[item]
             if lcs(sequence, term[ends[d] + low : ends[d] + high].tolist()) >= least[item]:
-                out.append((int(docs[d]), item, start))
+                out.append((int(docs[d]), int(sigs[d]), item, start))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "item", "at"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "sig", "item", "at"])
 
-    return found.mapInArrow(run, "doc_id long, item int, at int")
+    return found.select("doc_id", "sig", "at", "term").mapInArrow(run, "doc_id long, sig long, item int, at int")
 
 
 def confirm(words: list[bytes], item: list[bytes], answer: list[bytes], start: int) -> tuple[float, float, str | None]:
@@ -274,60 +304,49 @@ def confirm(words: list[bytes], item: list[bytes], answer: list[bytes], start: i
     return best, answered, kind
 
 
+def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """contaminated(), with the hash of the text that has the item."""
+    schema = f"sig long, {FOUND}"
+    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").distinct()
+    size = rows.agg(F.sum(F.size(F.split(F.trim("text"), "\\s+")))).first()[0] or 0
+    if size > MOST_WORDS:
+        raise ValueError(f"a benchmark of {size} words; at most {MOST_WORDS} are searched for at once, so call this for parts of it")
+    items = Items([(x.item_id, x.text) for x in rows.orderBy("item_id", "text").collect()])
+    if not items.ids and not items.short:
+        return docs.sparkSession.createDataFrame([], schema)
+    found = materialize(term_positions(docs, items.terms, items.short), "terms")
+    short = found.select("sig", "doc_id", F.explode("short").alias("x")).select("sig", "doc_id", "x.item_id", "x.start", F.lit(1.0).alias("coverage"), F.lit(1.0).alias("answer_coverage"), F.lit("short").alias("kind"))
+    if not items.ids:
+        return short.distinct()
+    idf = np.log((docs.count() + 1) / (document_frequency(found, len(items.terms)) + 1)) + 1e-3
+    near = candidates(found, idf, latent_basis(found, idf, items), items)
+    near = materialize(near.groupBy("doc_id", "sig").agg(F.collect_set(F.struct("item", "at")).alias("spots")), "candidates")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.string())
+        for batch in slices(batches):
+            out: dict[tuple[int, int, int], tuple] = {}
+            for sig, doc, text, spots in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                words = plain_words(text)
+                for spot in sorted((x["item"], x["at"]) for x in spots):
+                    share, answered, kind = confirm(words, items.words[spot[0]], items.answers[spot[0]], spot[1])
+                    key = (sig, doc, items.ids[spot[0]])
+                    if kind and (key not in out or out[key][4] < share):
+                        out[key] = (*key, spot[1], share, answered, kind)
+            cols = list(zip(*out.values(), strict=True)) if out else [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
+
+    texts = signed_texts(docs).join(near, ["doc_id", "sig"]).select("sig", "doc_id", "text", "spots")
+    return texts.mapInArrow(check, schema).unionAll(short).distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, coverage, answer_coverage, kind): the items that each document contains."""
-    spark, parts = docs.sparkSession, []
-    n_docs = None
-    block: list[tuple[int, str]] = []
-
-    def one(rows: list[tuple[int, str]]) -> DataFrame | None:
-        nonlocal n_docs
-        items = Items(rows)
-        if not items.ids:
-            return None
-        found = materialize(term_positions(docs, items.terms), "terms")
-        n_docs = docs.count() if n_docs is None else n_docs
-        idf = np.log((n_docs + 1) / (document_frequency(found, len(items.terms)) + 1)) + 1e-3
-        near = candidates(found, idf, latent_basis(found, idf, items), items)
-        near = near.groupBy("doc_id").agg(F.collect_set(F.struct("item", "at")).alias("spots"))
-        near = materialize(near, "candidates")
-
-        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                out: dict[tuple[int, int], tuple] = {}
-                for doc, text, spots in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                    words = plain_words(text)
-                    for spot in spots:
-                        k, at = spot["item"], spot["at"]
-                        share, answered, kind = confirm(words, items.words[k], items.answers[k], at)
-                        key = (doc, items.ids[k])
-                        if kind and (key not in out or out[key][3] < share):
-                            out[key] = (*key, at, share, answered, kind)
-                cols = list(zip(*out.values(), strict=True)) if out else [()] * 6
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in FOUND.split(", ")])
-
-        texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-        return texts.join(near, "doc_id").select("doc_id", "text", "spots").mapInArrow(check, FOUND).distinct()
-
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").distinct().orderBy("item_id", "text")
-    for row in rows.toLocalIterator():
-        block.append((row.item_id, row.text))
-        if len(block) == BLOCK:
-            parts.append(one(block))
-            block = []
-    if block:
-        parts.append(one(block))
-    parts = [p for p in parts if p is not None]
-    if not parts:
-        return spark.createDataFrame([], FOUND)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out
+    return find_items(docs, benchmark).drop("sig").distinct()
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item of the benchmark is found, with all their columns."""
-    bad = materialize(contaminated(docs, benchmark).select("doc_id").distinct(), "leaks").withColumnRenamed("doc_id", "__leak")
-    return docs.join(bad, F.col("doc_id") == F.col("__leak"), "left_anti")
+    names = {c: free_name(docs, f"__{c}") for c in ("doc_id", "sig")}
+    bad = materialize(find_items(docs, benchmark).select("doc_id", "sig").distinct(), "leaks").withColumnsRenamed(names)
+    return docs.join(bad, (docs["doc_id"].cast("long") == F.col(names["doc_id"])) & (F.xxhash64(docs["text"]) == F.col(names["sig"])), "left_anti")

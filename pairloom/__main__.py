@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pairloom import catalog
-from pairloom.operators import contract
-from pairloom.plans import split
+from pairloom.operators import clusters, contract, embeddings, matching, pairs
+from pairloom.plans import build, collections, host, split
 from pairloom.sources import readers, writers
 
 
@@ -25,38 +27,141 @@ def _validate(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _split(spark: SparkSession, a: argparse.Namespace) -> None:
     proteins = readers.read_delimited(spark, f"{a.folder}/proteins.csv")
-    pairs = split.mapped_pairs(readers.read_delimited(spark, f"{a.folder}/interactions.csv"), proteins)
+    mapped = split.mapped_pairs(readers.read_delimited(spark, f"{a.folder}/interactions.csv"), proteins)
     sequences = proteins.groupBy(F.col("protein_md5").alias("id")).agg(F.first("sequence").alias("sequence"))
-    clusters = readers.read_clusters(spark, a.clusters) if a.clusters else None
+    known = readers.read_clusters(spark, a.clusters) if a.clusters else None
     given = {n: readers.read_delimited(spark, p).withColumn("label", F.col("label").cast("int")) if (p := getattr(a, n)) else None for n in ("val", "test")}
-    out = split.split(pairs, clusters, sequences, split.Sizes(a.val_pos, a.test_pos, a.val_neg, a.test_neg), a.seed, **given, preferred=a.preferred.split(",") if a.preferred else None)
+    out = split.split(mapped, known, sequences, split.Sizes(a.val_pos, a.test_pos, a.val_neg, a.test_neg), a.seed, **given, preferred=a.preferred.split(",") if a.preferred else None)
     for name, df in out.items():
         writers.write_delimited(df, f"{a.out}/{name}")
 
 
-def main(argv: list[str] | None = None) -> int:
+def _dedup(spark: SparkSession, a: argparse.Namespace) -> None:
+    out = build.merged(readers.read_delimited(spark, a.interactions).withColumn("label", F.col("label").cast("int")))
+    writers.write_delimited(out, a.out, separator=",", key="FPid_1")
+
+
+def _raw(spark: SparkSession, a: argparse.Namespace):
+    return readers.read_parquet(spark, a.raw), readers.read_delimited(spark, f"{a.folder}/proteins.csv"), readers.read_delimited(spark, f"{a.folder}/interactions.csv").withColumns({"label": F.col("label").cast("int"), "n_sources": F.col("n_sources").cast("int")})
+
+
+def _evidence(spark: SparkSession, a: argparse.Namespace) -> None:
+    raw, proteins, before = _raw(spark, a)
+    after = before
+    if a.mixed_sources is not None:
+        after = build.repaired(after, a.primary, a.mixed_sources.split(","), build.pair_evidence(raw, proteins))
+    after = build.normalised(build.curated(after, a.primary, build.curated_pairs(raw, proteins)))
+    target = f"{a.folder}/interactions.csv" if a.in_place else a.output
+    staged = f"{target}.new"
+    writers.write_delimited(after, staged, key="FPid_1")
+    print(writers.report({"changes": build.rewrite_counts(before, after)}))
+    writers.move(spark, staged, target)
+
+
+def _negatives(spark: SparkSession, a: argparse.Namespace) -> None:
+    pairs_in = readers.pair_columns(readers.read_delimited(spark, a.positives)).where("label = 1")
+    extra = readers.pair_columns(readers.read_delimited(spark, a.exclude)).where("label = 1") if a.exclude else None
+    out = pairs.with_negatives(pairs_in, "ID_1", "ID_2", a.per_positive, a.seed, a.strategy == "degree", a.most, extra, a.no_positives)
+    writers.write_delimited(out, a.out)
+
+
+def _fill(spark: SparkSession, a: argparse.Namespace) -> None:
+    given = readers.pair_columns(readers.read_delimited(spark, a.pairs))
+    writers.write_delimited(pairs.fill_negatives(given, "ID_1", "ID_2", "label", a.per_positive, a.seed), a.out)
+
+
+def _cluster_map(spark: SparkSession, a: argparse.Namespace) -> None:
+    sequences = readers.read_sequences(spark, a.sequences)
+    writers.write_delimited(clusters.cluster(sequences, "id", "sequence", a.similarity), a.out, key="id")
+
+
+def _homology(spark: SparkSession, a: argparse.Namespace) -> None:
+    hits = clusters.alike(readers.read_sequences(spark, a.queries), readers.read_sequences(spark, a.targets), "id", "sequence", a.identity)
+    writers.write_delimited(matching.best_hits(hits, "target", a.identity, "identity", "shared", "query"), a.out, key="target")
+
+
+def _host_corpus(spark: SparkSession, a: argparse.Namespace) -> None:
+    parts = []
+    for kind, folder in (("raw", a.raw), ("split", a.split)):
+        for path in [r.path for r in readers.list_files(spark, folder, "*.parquet").select("path").orderBy("path").collect()] if folder else []:
+            df = spark.read.parquet(path)
+            parts.append(host.standard(df, F.lit(path), ("UNIPROT_HUMAN", "SEQUENCE_HUMAN"), ("UNIPROT_VIRUS", "SEQUENCE_VIRUS"), a.order.split(","), F.lit(f"{kind}:{path.rsplit('/', 1)[-1]}"), kind))
+    out = host.corpus(parts)
+    for name in ("pairs", "with_sequences"):
+        writers.write_table(out[name], f"{a.out}/{name}")
+    for name in ("index", "sequences"):
+        writers.write_delimited(out[name], f"{a.out}/{name}")
+    print(writers.report({"summary": out["summary"]}))
+
+
+def _host_benchmarks(spark: SparkSession, a: argparse.Namespace) -> None:
+    df = spark.read.parquet(a.pairs)
+    writers.write_delimited(host.hashed_sequences(df), f"{a.out}/sequences_hp", key="id")
+    hashed = host.hashed_pairs(df)
+    for subset in a.subsets.split(","):
+        writers.write_delimited(hashed.where(F.col("split") == subset), f"{a.out}/{subset}_hp")
+    print(writers.report({"subsets": host.subset_counts(hashed)}))
+
+
+def _embed(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.model not in embeddings.EXTRACTORS:
+        raise SystemExit(f"no extractor is registered for {a.model}: import a module that registers one (--plugin)")
+    out = embeddings.embed_by_model(readers.read_sequences(spark, a.sequences), "id", "sequence", a.model, a.pool, per_residue=a.per_residue, mean_pool=a.mean_pool)
+    writers.append_new(out, a.out, "id")
+
+
+def _coverage(spark: SparkSession, a: argparse.Namespace) -> None:
+    vectors = {m: spark.read.parquet(f"{a.vectors}/{m}") for m in a.models.split(",")}
+    print(writers.report({m: f"{n} of {n + lacks}" for m, (n, lacks) in collections.embedding_coverage(readers.read_sequences(spark, a.sequences), vectors, a.require.split(",") if a.require else []).items()}))
+
+
+def _snapshot(spark: SparkSession, a: argparse.Namespace) -> None:
+    print(writers.report({"files": contract.file_facts(spark, a.folder)}))
+
+
+#: command -> (what it does, function, positional arguments, options as add_argument takes them)
+COMMANDS: dict[str, tuple[str, Callable, list[str], dict[str, dict]]] = {
+    "query": ("run a registered query over a folder of tables", _query, ["name", "tables", "out"], {}),
+    "validate": ("check the merged tables against their contract", _validate, ["folder"], {"--sources": {"default": ""}, "--quick": {"action": "store_true"}}),
+    "snapshot": ("rows and checksums of a folder's files", _snapshot, ["folder"], {}),
+    "dedup": ("one row for each pair of merged interactions", _dedup, ["interactions", "out"], {}),
+    "evidence": ("repair and normalise the primary source's evidence", _evidence, ["folder", "raw"], {"--primary": {"default": "PPIDB"}, "--mixed-sources": {}}),
+    "split": ("make a leakage-safe split", _split, ["folder", "out"], {f"--{n}": {"default": ""} for n in ("clusters", "val", "test", "preferred")} | {f"--{n}": {"type": int, "default": 0} for n in ("val-pos", "test-pos", "val-neg", "test-neg", "seed")}),
+    "negatives": ("sample negatives for each positive", _negatives, ["positives", "out"], {"--exclude": {}, "--per-positive": {"type": float, "default": 10.0}, "--most": {"type": int}, "--strategy": {"choices": ("degree", "uniform"), "default": "degree"}, "--seed": {"type": int, "default": 42}, "--no-positives": {"action": "store_true"}}),
+    "fill-negatives": ("given negatives, and random ones until there are enough", _fill, ["pairs", "out"], {"--per-positive": {"type": int, "default": 1000}, "--seed": {"type": int, "default": 42}}),
+    "cluster-map": ("clusters of sequences by shared shingles", _cluster_map, ["sequences", "out"], {"--similarity": {"type": float, "default": 0.4}}),
+    "homology": ("best hits of targets among queries", _homology, ["queries", "targets", "out"], {"--identity": {"type": float, "default": 0.6}}),
+    "host-corpus": ("standardise tables of host and pathogen pairs", _host_corpus, ["out"], {"--raw": {}, "--split": {}, "--order": {"default": "UNIPROT_HUMAN,UNIPROT_VIRUS"}}),
+    "host-benchmarks": ("benchmark subsets of a host corpus by content id", _host_benchmarks, ["pairs", "subsets", "out"], {}),
+    "embed": ("vectors of sequences by a registered extractor", _embed, ["sequences", "model", "out"], {"--pool": {}, "--per-residue": {"action": "store_true"}, "--mean-pool": {"action": "store_true"}}),
+    "coverage": ("present and missing vectors by model", _coverage, ["sequences", "vectors", "models"], {"--require": {"default": ""}}),
+}
+#: Other names of commands.
+ALIASES = {"validate-merged": "validate", "split-c3": "split", "normalize-evidence": "evidence"}
+
+
+def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="pairloom", description=__doc__)
-    sub = top.add_subparsers(required=True)
-    q = sub.add_parser("query", help="run a registered query over a folder of tables")
-    q.add_argument("name", choices=sorted(catalog.QUERIES))
-    q.add_argument("tables")
-    q.add_argument("out")
-    q.set_defaults(run=_query)
-    v = sub.add_parser("validate", help="check the merged tables against their contract")
-    v.add_argument("folder")
-    v.add_argument("--sources", default="")
-    v.add_argument("--quick", action="store_true")
-    v.set_defaults(run=_validate)
-    s = sub.add_parser("split", help="make a leakage-safe split")
-    s.add_argument("folder")
-    s.add_argument("out")
-    for name in ("clusters", "val", "test", "preferred"):
-        s.add_argument(f"--{name}", default="")
-    for name in ("val-pos", "test-pos", "val-neg", "test-neg"):
-        s.add_argument(f"--{name}", type=int, default=0)
-    s.add_argument("--seed", type=int, default=0)
-    s.set_defaults(run=_split)
-    a = top.parse_args(argv)
+    top.add_argument("--plugin", action="append", default=[], help="a module to import first, which registers extractors")
+    sub = top.add_subparsers(required=True, metavar="COMMAND")
+    for name, (text, run, positional, options) in COMMANDS.items():
+        p = sub.add_parser(name, help=text, aliases=[k for k, v in ALIASES.items() if v == name])
+        for x in positional:
+            p.add_argument(x, **({"choices": sorted(catalog.QUERIES)} if x == "name" else {}))
+        for x, kw in options.items():
+            p.add_argument(x, **kw)
+        if name == "evidence":  # one of the two, never both
+            where = p.add_mutually_exclusive_group(required=True)
+            where.add_argument("--output")
+            where.add_argument("--in-place", action="store_true")
+        p.set_defaults(run=run)
+    return top
+
+
+def main(argv: list[str] | None = None) -> int:
+    a = parser().parse_args(argv)
+    for module in a.plugin:
+        importlib.import_module(module)
     spark = SparkSession.builder.appName("pairloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     a.run(spark, a)
     return 0

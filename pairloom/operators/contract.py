@@ -13,6 +13,8 @@ PROTEINS = ("protein_md5", "fpid", "sequence", "length", "hydrophobicity", "is_c
 SEQUENCES = ("id", "sequence")
 INTERACTIONS = ("FPid_1", "FPid_2", "original_id1", "original_id2", "PPI_Source", "Seq_Source", "label", "Experimental_Method", "Evidence_Type", "Evidence_Tags", "PPI_Tier", "PPI_Tier_ZH", "n_sources")
 PAIRS = ("fpid_1", "fpid_2", "label")
+#: Source tags of the merged table (fixed values of the contract).
+SOURCES = ("BERNETT_neg", "BERNETT_pos", "BIOGRID", "DSCRIPT_ecoli", "DSCRIPT_fly", "DSCRIPT_human_test", "DSCRIPT_human_train", "DSCRIPT_mouse", "DSCRIPT_worm", "DSCRIPT_yeast", "FoldBench", "HINT", "MINT", "PINDER", "PLMDA_PPI", "PLM_interact", "PPIDB", "PPI3D", "PPIREF_10A_clust03", "PepBDB", "SKEMPI2")
 PUBLIC_ID, MD5, RESIDUES = "^FP[0-9]{7}$", "^[0-9a-f]{32}$", "^[A-Z]+$"
 
 
@@ -45,7 +47,7 @@ def protein_rules() -> dict[str, Column]:
 
 
 def interaction_rules(sources: list[str] | None = None) -> dict[str, Column]:
-    """Rules of a row; sources are the tags that PPI_Source may have (without any named, every tag breaks the rule)."""
+    """Rules of a row; sources are the tags that PPI_Source may have, those of the contract unless told."""
     c = F.col
     labels = number(c("label").cast("string"))
     tier_name = F.create_map(*(F.lit(x) for pair in TIER_NAMES.items() for x in pair))
@@ -60,8 +62,7 @@ def interaction_rules(sources: list[str] | None = None) -> dict[str, Column]:
         "evidence_tags_enum": F.size(F.array_except(tokens(c("Evidence_Tags")), F.array(*map(F.lit, EVIDENCE_TAGS)))) > 0,
         "negative_class": F.coalesce(labels == 0, F.lit(False)) & _bad((c("Evidence_Type") == "negative_synthetic") & (c("PPI_Tier") == "negative_synthetic")),
     }
-    if sources is not None:
-        rules["source_enum"] = F.size(F.array_except(tokens(c("PPI_Source")), F.array(*map(F.lit, sources)).cast("array<string>"))) > 0
+    rules["source_enum"] = F.size(F.array_except(tokens(c("PPI_Source")), F.array(*map(F.lit, SOURCES if sources is None else sources)).cast("array<string>"))) > 0
     return rules
 
 
@@ -112,7 +113,7 @@ def file_facts(spark: SparkSession, path: str) -> DataFrame:
     Each file is read by one task as it is (under 2 GB); what is larger is checked as a table.
     """
     x = spark.read.format("binaryFile").load(path)
-    lines = F.length(F.decode("content", F.lit("ISO-8859-1"))) - F.length(F.replace(F.decode("content", F.lit("ISO-8859-1")), F.lit("\n"), F.lit("")))
+    lines = F.length(F.decode("content", "ISO-8859-1")) - F.length(F.replace(F.decode("content", "ISO-8859-1"), F.lit("\n"), F.lit("")))
     return x.select(F.element_at(F.split("path", "/"), -1).alias("name"), (lines - 1).cast("long").alias("rows"), F.sha2("content", 256).alias("sha256"))
 
 
@@ -139,16 +140,13 @@ def check_header(df: DataFrame, columns: tuple[str, ...], name: str) -> None:
 def validate(proteins: DataFrame, sequences: DataFrame, interactions: DataFrame, pairs: DataFrame, sources: list[str] | None = None, quick: bool = False, pos: str | None = None) -> dict[str, int]:
     """Checks all tables; raises ContractError with every broken rule and its number of violations, else returns row counts.
 
-    The source tags that are allowed must be given, unless only headers are checked. With `pos`, the rows' position in
-    their files, numbers and projections are also checked in row order.
+    With `pos`, the rows' position in their files, numbers and projections are also checked in row order.
     """
     tables = {n: df.drop(pos) if pos else df for n, df in (("proteins", proteins), ("sequences", sequences), ("interactions", interactions), ("pairs", pairs))}
     for (name, df), columns in zip(tables.items(), (PROTEINS, SEQUENCES, INTERACTIONS, PAIRS), strict=True):
         check_header(df, columns, name)
     if quick:
         return {}
-    if sources is None:
-        raise ValueError("the allowed source tags are needed")
     bad = {x.rule: x.n_bad for x in count_violations(proteins, protein_rules()).unionAll(count_violations(interactions, interaction_rules(sources))).collect() if x.n_bad}
     for key in ("fpid", "protein_md5", "sequence"):
         bad[f"{key}_unique"] = duplicates(proteins, key).count()

@@ -65,7 +65,7 @@ def budget_plan(sizes: list[tuple[int, int]], most_rows: int, most_units: int) -
     start = batch = rows = units = 0
     for size, n in sizes:
         full = max(1, min(most_rows, most_units // size if size > 0 else most_rows))
-        room = min(most_rows - rows, (most_units - units) // size if size > 0 else most_rows - rows)
+        room = min(most_rows - rows, (most_units - units) // size if size > 0 else most_rows) if units <= most_units else 0
         join = min(n, max(0, room)) if rows else 0
         if not rows and n:
             join = min(n, full)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import io
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.functions import sequences as S
 
-#: Names that a pair's columns may have, tried in this order.
+#: Names that a pair's columns may have, tried in this order (fixed values).
 PAIR_NAMES = (("ID_1", "ID_2"), ("fpid_1", "fpid_2"), ("FPid_1", "FPid_2"), ("id_1", "id_2"))
 
 
@@ -26,6 +33,59 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | None = N
     return df.select(*columns) if columns and header else df
 
 
+def read_table(spark: SparkSession, path: str, columns: list[str], separator: str = "\t") -> DataFrame:
+    """A delimited file of known columns whose header may be missing: if the first line isn't it, the line is data."""
+    return read_delimited(spark, path, columns, separator, header=header_of(spark, path, separator) == columns)
+
+
+def read_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, vector) of NumPy files (.npy, two dimensions, under 2 GB each): a row for each of the matrix, in file order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                matrix = np.load(io.BytesIO(raw), allow_pickle=False)
+                if matrix.ndim != 2:
+                    raise ValueError(f"a matrix has two dimensions, not {matrix.ndim}")
+                for k in range(0, len(matrix), 10_000):
+                    part = matrix[k : k + 10_000].astype(np.float32)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, k + len(part))), pa.array(list(part), pa.list_(pa.float32()))], names=["pos", "vector"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "pos long, vector array<float>")
+
+
+def read_structure_letters(spark: SparkSession, path: str) -> DataFrame:
+    """(id, sequence) of a FASTA file of structure letters: lower case, no white space; of repeated ids the last."""
+    return fasta_map(read_fasta(spark, path, lambda s: F.lower(S.no_space(s))))
+
+
+def fetch_missing(ids: DataFrame, key: str, cache: str, fetch: Callable[[list[str]], dict[str, str]], batch: int = 200) -> DataFrame:
+    """(key, value) of all ids: those that the cache (a Parquet folder) lacks are fetched in batches and appended to it.
+
+    fetch() gets a list of ids and returns what it finds; an id that isn't found is asked for again the next time.
+    """
+    spark = ids.sparkSession
+    wanted = ids.select(key).where(F.col(key) != "").distinct()
+    try:
+        known = spark.read.parquet(cache)
+        wanted = wanted.join(known.select(key), key, "left_anti")
+    except AnalysisException:  # nothing is cached yet
+        pass
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[str] = []
+        for frame in frames:
+            held += frame[key].tolist()
+            while len(held) >= batch:
+                yield pd.DataFrame(fetch(held[:batch]).items(), columns=[key, "value"])
+                held = held[batch:]
+        if held:
+            yield pd.DataFrame(fetch(held).items(), columns=[key, "value"])
+
+    wanted.mapInPandas(run, f"`{key}` string, value string").write.mode("append").parquet(cache)
+    return spark.read.schema(f"`{key}` string, value string").parquet(cache).join(ids.select(key).distinct(), key)
+
+
 def read_parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df

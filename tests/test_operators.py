@@ -174,9 +174,138 @@ def test_validate_tells_all_broken_rules(spark):
     inter = spark.createDataFrame([("FP0000001", "FP0000002", "a", "b", "S1", "s", 1, "m", "LTP", "LTP", "gold", "黄金", 1)], list(contract.INTERACTIONS))
     sequences = proteins.selectExpr("fpid as id", "sequence")
     pr = inter.selectExpr("FPid_1 as fpid_1", "FPid_2 as fpid_2", "label")
-    assert contract.validate(proteins, sequences, inter, pr) == {"proteins": 2, "interactions": 1, "positives": 1}
+    assert contract.validate(proteins, sequences, inter, pr, ["S1"]) == {"proteins": 2, "interactions": 1, "positives": 1}
+    with pytest.raises(contract.ContractError, match="^source_enum: 1$"):
+        contract.validate(proteins, sequences, inter, pr)
     with pytest.raises(contract.ContractError, match="length_of_sequence: 2; .*sequences_projection"):
-        contract.validate(proteins.withColumn("length", F.lit(9)), sequences.limit(1), inter, pr)
+        contract.validate(proteins.withColumn("length", F.lit(9)), sequences.limit(1), inter, pr, ["S1"])
+    place = lambda df: df.withColumn("pos", F.substring(df.columns[1] if "fpid" in df.columns else df.columns[0], 3, 9).cast("long") - 1)
+    ordered = [place(df) for df in (proteins, sequences, inter, pr)]
+    assert contract.validate(*ordered, ["S1"], pos="pos")["proteins"] == 2
+    turned = [df.withColumn("pos", 1 - F.col("pos")) for df in ordered[:2]]
+    with pytest.raises(contract.ContractError, match="fpid_order: 2"):
+        contract.validate(*turned, *ordered[2:], ["S1"], pos="pos")
+
+
+def test_snapshot_of_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3,4\n")
+    import hashlib
+
+    digest = hashlib.sha256((tmp_path / "a.csv").read_bytes()).hexdigest()
+    facts = contract.file_facts(spark, str(tmp_path))
+    contract.check_snapshot(facts, {"a.csv": (2, digest)})
+    for expected, said in (({"a.csv": (3, digest)}, "2 rows, not 3"), ({"a.csv": (2, "0")}, "checksum"), ({"b.csv": (2, digest)}, "missing")):
+        with pytest.raises(contract.ContractError, match=said):
+            contract.check_snapshot(facts, expected)
+
+
+@pytest.mark.parametrize("n", [0, 1, 10_000])
+def test_numbers_are_dense_with_other_columns(spark, n):
+    """With columns that ride along and are used later; two ranged plans would cut such rows at different places."""
+    df = spark.range(n).select((F.col("id") * 7919 % max(n, 1)).alias("k"), F.md5(F.col("id").cast("string")).alias("extra"), F.lit("x").alias("__part2"))
+    got = entities.dense_numbers(df.repartition(5), "k").where("extra is not null").select("k", "number", "extra").collect()
+    assert sorted(r.number for r in got) == list(range(n)) and all(r.k == r.number for r in got)
+    if n:
+        sizes = embeddings.worker_buckets(df, 7, "k").where("extra <> ''").groupBy("worker").count().collect()
+        assert sorted(r["count"] for r in sizes) == sorted([n // 7 + (k < n % 7) for k in range(7) if n // 7 + (k < n % 7)])
+        assert {r["count"] for r in embeddings.fixed_batches(df, 128, "k").where("extra <> ''").groupBy("batch").count().where(f"batch < {n // 128}").collect()} <= {128}
+
+
+def test_a_registry_mints_each_number_once(spark):
+    master = spark.createDataFrame([("FP0000041", "m", "u", 0)], "fpid string, md5 string, original_ids string, pos long")
+    rows = spark.range(30_000).select(F.concat(F.lit("s"), "id").alias("source_id"), F.md5((F.col("id") % 20_000).cast("string")).alias("md5"), F.col("id").alias("pos"))
+    ids, touched = entities.register(master, rows.repartition(6))
+    got = ids.where("source_id <> 'u'").select("fpid").distinct().collect()
+    assert sorted(r.fpid for r in got) == [f"FP{k:07}" for k in range(42, 20_042)]
+    assert touched.where("is_new").count() == 20_000 and ids.count() == 30_001
+
+
+def test_holdouts_have_the_sizes_asked_for(spark):
+    from pairloom.operators import splits
+
+    x = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("a"), F.md5((F.col("id") + 7).cast("string")).alias("b"), F.lit(1).alias("label"))
+    got = {r.part: r["count"] for r in splits.sample_holdout(x, ["a", "b"], 4_000, 6_000, 3).groupBy("part").count().collect()}
+    assert got == {"val": 4_000, "test": 6_000}
+
+
+def test_budget_plan_equals_a_row_by_row_walk():
+    for s in range(200):
+        rng = random.Random(s)
+        sizes = sorted((rng.choice([0, 1, 3, 7, 20, 50, 90]) for _ in range(rng.randint(0, 60))), reverse=True)
+        most_rows, most_units = rng.randint(1, 9), rng.randint(1, 120)
+        want, batch, rows, units = [], 0, 0, 0
+        for n in sizes:
+            if rows and (rows + 1 > most_rows or units + n > most_units):
+                batch, rows, units = batch + 1, 0, 0
+            rows, units = rows + 1, units + n
+            want.append(batch)
+        got = []
+        counts = {n: sizes.count(n) for n in sizes}
+        for size, start, join, full, at in embeddings.budget_plan(sorted(counts.items(), reverse=True), most_rows, most_units):
+            assert start == len(got)
+            got += [at if k < join else at + 1 + (k - join) // full for k in range(counts[size])]
+        assert got == want
+
+
+def test_enumerated_sets_equal_collected_ones_and_refuse_others(spark):
+    rows = [("b", "a", 1, "S1", "HTP;LTP"), ("a", "b", 0, None, "mixed"), ("a", "b", None, "S2", None), ("c", "d", None, None, ";HTP;"), ("c", "c", 0, "S1", "")]
+    df = spark.createDataFrame(rows, "a string, b string, label int, source string, evidence string")
+    both = [sorted(map(tuple, pairs.dedup(df, "a", "b", "label", "source", "evidence", **kw).collect())) for kw in ({}, {"sources": ["S2", "S1"], "tags": ["mixed", "LTP", "HTP"]})]
+    assert both[0] == both[1]
+    for kw in ({"sources": ["S1"], "tags": ["mixed", "LTP", "HTP"]}, {"sources": ["S1", "S2"], "tags": ["mixed"]}):
+        with pytest.raises(Exception, match="of the enumeration"):
+            pairs.dedup(df, "a", "b", "label", "source", "evidence", **kw).collect()
+
+
+def test_search_equals_all_shingles(spark):
+    rng = random.Random(5)
+    rows = [(k, "".join(rng.choices("ACDE", k=rng.randint(0, 40)))) for k in range(60)]
+    rows += [(101 + k, rows[k][1][3:] + "WW") for k in range(20)]
+    df = spark.createDataFrame(rows, "id long, s string")
+    cut = lambda s: {s[k : k + 5] for k in range(len(s) - 4)} or ({s} if s else set())
+    sets = {i: cut(s) for i, s in rows}
+    want = {(q, t): len(sets[q] & sets[t]) for q in sets if q % 5 == 0 for t in sets if t % 5 and sets[q] and sets[t] and len(sets[q] & sets[t]) >= 0.6 * min(len(sets[q]), len(sets[t]))}
+    got = {(r.query, r.target): r.shared for r in clusters.alike(df.where("id % 5 = 0"), df.where("id % 5 <> 0"), "id", "s", 0.6).collect()}
+    assert got == want and want
+
+
+def test_models_rules_and_pooling(spark):
+    from pairloom.functions import models
+
+    assert [models.pool_mode(None, "mean"), models.pool_mode("per-residue", "mean"), models.pool_mode("max", "mean", per_residue=True), models.pool_mode("max", "mean", per_residue=True, mean_pool=True)] == ["mean", "residue", "residue", "mean"]
+    with pytest.raises(ValueError):
+        models.pool_mode("sum", "mean")
+    with pytest.raises(ValueError):
+        models.checked_pool("prott5", "cls")
+    assert models.checked_pool("profam") == "residue"
+    df = spark.createDataFrame([("mUzkAL-o.", "dvqp", [5, 6, 7, 8, 9])], "aa string, tdi string, q array<int>")
+    r = df.select(models.spaced(F.col("aa")).alias("s"), models.structure_ids(F.col("tdi")).alias("ids"), models.woven(F.col("aa"), F.col("tdi")).alias("w"), models.quantised_ids(F.col("q"), F.lit(3)).alias("q"), models.MODELS["profam"].text(F.col("aa"), 4).alias("p")).first()
+    assert (r.s, r.ids, r.w, r.q, r.p) == ("M X X K A L - X .", [148, 135, 131, 141, 138, 1], "MdUvZqKp", [1, 8, 9, 10, 2], "MCZK")
+
+
+def test_special_tokens_are_cut_off_and_slow_batches_are_halved(spark):
+    import numpy as np
+
+    def factory():
+        import time
+
+        def run(texts):
+            if "slow" in texts:
+                time.sleep(3)
+            return [np.array([[9.0, 9.0], *([float(ord(c)), 1.0] for c in t), [7.0, 7.0]]) for t in texts]
+
+        return run
+
+    embeddings.register_extractor("framed", 2, factory)
+    df = spark.createDataFrame([(1, "AC"), (2, "slow"), (3, ""), (4, "B")], "id long, s string").coalesce(1)
+    get = lambda **kw: {r[0]: (r[1], r[2]) for r in embeddings.embed(df, "id", "s", "framed", before=1, after=1, **kw).collect()}
+    got = get(seconds=1.0)
+    assert got[1] == ([66.0, 1.0], None) and got[4] == ([66.0, 1.0], None) and "seconds" in got[2][1] and "rows" in got[3][1]
+    assert get(how="cls")[1][0] == [9.0, 9.0] and get(how="max")[1][0] == [67.0, 1.0] and get(how="residue")[1][0] == [[65.0, 1.0], [67.0, 1.0]]
+    ids, m = (spark.createDataFrame([(k, f"v{k}") for k in range(3)], f"pos long, {c} string") for c in ("id", "vector"))
+    assert embeddings.precomputed(ids, m, "id", "pos", "vector").count() == 3
+    with pytest.raises(ValueError, match="3 ids, but 2 rows"):
+        embeddings.precomputed(ids, m.limit(2), "id", "pos", "vector")
 
 
 def test_clusters_join_alike_sequences(spark):

@@ -1,3 +1,4 @@
+import collections
 import hashlib
 import random
 
@@ -73,6 +74,27 @@ def test_tree_links_equal_all_pairs(spark, ball):
     assert [alone.find(k) for k in range(len(fps))] == [want.find(k) for k in range(len(fps))]
 
 
+@pytest.mark.parametrize("times", [1, 10])
+def test_shards_stay_bounded(spark, times):
+    """Ten times the fingerprints make more shards, not larger ones; pairs that a shard's own tree separates still meet."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 3000 * times, dtype=np.int64).view(np.uint64)
+    near = base[: 500 * times] ^ (np.uint64(1) << rng.integers(0, 64, 500 * times).astype(np.uint64))
+    ball = np.full(2500, base[0]) ^ (np.uint64(1) << rng.integers(0, 64, 2500).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 2500).astype(np.uint64))
+    fps = np.unique(np.concatenate([base, near, ball]))
+    df = spark.createDataFrame([(int(x), i) for i, x in enumerate(fps.view(np.int64).tolist())], "fp long, rep long").repartition(3)
+    most = 600
+    dealt, dense = simhash.shards(df, 2, most)
+    assert dealt.groupBy("shard").count().agg(F.max("count")).first()[0] <= most
+    assert dealt.select("fp").unionAll(dense.select("fp")).distinct().count() == len(fps)
+    e = simhash.links(df, 2, most).toPandas()
+    got = simhash.Forest(len(fps))
+    got.join(e.a.to_numpy(), e.b.to_numpy())
+    want = simhash.Forest(len(fps))
+    simhash._variants(fps, np.arange(len(fps)), want)
+    assert [got.find(k) for k in range(len(fps))] == [want.find(k) for k in range(len(fps))]
+
+
 def similar(x, y):
     a, b = (set(simhash.shingle_hashes(t, 5).tolist()) for t in (x, y))
     return len(a & b) >= 0.8 * len(a | b) if a or b else True
@@ -95,6 +117,20 @@ def test_stage_keeps_one_of_each_group(corpus, texts, empty):
     assert simhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_texts_that_share_an_id_are_judged_each(spark):
+    rng = random.Random(6)
+    some = lambda n: " ".join("".join(rng.choice("abcdef") for _ in range(6)) for _ in range(n))
+    p, q, r, s = (some(60) for _ in range(4))
+    near = " ".join([*p.split()[:-1], "changed"])
+    rows = [(1, p, "a"), (2, q, "a"), (2, near, "b"), (2, r, "c"), (2, r, "d"), (3, r, "e"), (4, s, "f"), (4, s, "g"), (None, p, "h"), (None, p, "i"), (5, None, "j"), (6, None, "k"), (7, q, "l")]
+    df = spark.createDataFrame([(i, t, m, 1) for i, t, m in rows], "doc_id int, text string, __SIG string, node int").repartition(3)
+    left = simhash.drop_near_duplicates(df)
+    assert left.schema == df.schema
+    got = [(x.doc_id, x.text) for x in left.collect()]
+    assert sorted(got, key=str) == sorted([(1, p), (2, q), (2, r), (4, s), (None, p), (None, p), (5, None)], key=str)
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(map(tuple, simhash.drop_near_duplicates(df.repartition(5)).collect()), key=str)
+
+
 def test_pairs_among_many_texts_of_one_template_are_linked(spark):
     """Texts on one template (about 0.77 to each other), and pairs of 0.8 among them that are like neither first nor hub."""
     rng = random.Random(12)
@@ -117,29 +153,82 @@ def test_pairs_among_many_texts_of_one_template_are_linked(spark):
     assert not [(a, b) for a, b in pairs if got.get(a, a) != got.get(b, b)]
 
 
-def brute_removed(texts):
-    first, out = {}, {}
-    for doc, t in texts:
+def brute_removed(rows):
+    """The result's rows for (doc_id, text), any of them null or repeated, sorted."""
+    first, out = {}, []
+    for doc, t in rows:
         w = (t or "").encode().split()
-        for k in range(len(w) - 49):
-            first.setdefault(tuple(w[k : k + 50]), doc)
-    for doc, t in texts:
+        for k in range(len(w) - 49 if doc is not None else 0):
+            key = tuple(w[k : k + 50])
+            first[key] = min(doc, first.get(key, doc))
+    for doc, t in rows:
         w = (t or "").encode().split()
-        gone = {j for k in range(len(w) - 49) if first[tuple(w[k : k + 50])] < doc for j in range(k, k + 50)}
-        out[doc] = (len(w), len(gone), hashlib.sha256(b" ".join(x for k, x in enumerate(w) if k not in gone)).hexdigest())
-    return out
+        gone = {j for k in range(len(w) - 49 if doc is not None else 0) if first[tuple(w[k : k + 50])] < doc for j in range(k, k + 50)}
+        out.append((doc, len(w), len(gone), hashlib.sha256(b" ".join(x for k, x in enumerate(w) if k not in gone)).hexdigest()))
+    return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("group", [512, 4])
-def test_substrings_equal_brute_force(corpus, texts, empty, monkeypatch, group):
-    monkeypatch.setattr(substring, "GROUP", group)  # 4: nearly all goes the way of frequent minimisers
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(corpus).collect()}
-    want = brute_removed(texts)
-    assert got == want
-    assert sum(x[1] for x in want.values()) > 2000
+def removed(docs):
+    return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(docs).collect()), key=str)
+
+
+@pytest.mark.parametrize("group", [512, 4, 1])
+def test_substrings_equal_brute_force(corpus, empty, monkeypatch, group):
+    monkeypatch.setattr(substring, "GROUP", group)  # 4 and 1: many buckets are split by longer keys, once and twice
+    want = brute_removed([(r.doc_id, r.text) for r in corpus.collect()])
+    assert removed(corpus) == want
+    assert sum(x[2] for x in want) > 2000
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_substrings_of_many_near_copies(spark):
+    """2,000 near copies of one text, each changed at one or two places: buckets are split and stay small."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(5))
+    base = [word() for _ in range(160)]
+    rows = []
+    for k in range(2000):
+        w = list(base)
+        for _ in range(1 + k % 2):
+            w[rng.randrange(160)] = word()
+        rows.append((k * 3 % 2000, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert removed(docs) == brute_removed(rows)
+    strings = {}
+    for _, t in rows:
+        w = t.split()
+        for first, n, mini in zip(*(x.tolist() for x in substring.super_kmers(w)), strict=True):
+            strings.setdefault(mini, set()).add(" ".join(w[first : first + n + 49]))
+    crowded = max(strings, key=lambda m: len(strings[m]))
+    cores = {}
+    for t in strings[crowded]:
+        w = t.encode().split()
+        for first, n, core in substring.around_minimiser(w, crowded):
+            cores.setdefault(core, set()).add(b" ".join(w[first : first + n + 49]))
+    assert len(strings[crowded]) > substring.GROUP >= max(map(len, cores.values()))
+
+
+def test_substrings_of_rows_that_repeat_an_id(spark):
+    """Rows of one id are judged each by its own text and not against one another; null ids and texts, repeated rows, clashing columns."""
+    rng = random.Random(5)
+    some = lambda n: " ".join("".join(rng.choice("abcdef") for _ in range(6)) for _ in range(n))
+    p, q, r = some(60), some(20), some(90)
+    rows = [(1, p), (2, f"{q} {p}"), (2, r), (2, r), (3, f"{r} {p}"), (3, None), (3, p), (None, p), (None, f"{p} {r}"), (0, ""), (4, r), (4, r), (-5, r[: len(r) // 2])]
+    docs = spark.createDataFrame([(*x, 1, "m", 2) for x in rows], "doc_id long, text string, h int, mini string, sig int").repartition(3)
+    want = brute_removed(rows)
+    assert removed(docs) == want
+    assert next(x for x in want if x[0] == 2 and x[1] == 90)[2] == 0
+
+
+def test_pieces_cover_the_windows_of_a_string():
+    rng = random.Random(3)
+    for text in ([rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(300)], [b"z"] * 130, [b"%d" % k for k in range(400)]):
+        for first, n, mini in zip(*(x.tolist() for x in substring.super_kmers(text)), strict=True):
+            words = text[first : first + n + 49]
+            for pieces in (substring.around_minimiser(words, mini), substring.single_windows(words, mini)):
+                assert [k for a, m, _ in pieces for k in range(a, a + m)] == list(range(n))
+
+
 def test_super_kmers_cover_all_windows():
     rng = random.Random(3)
     words = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(400)] + [b"z"] * 200
@@ -162,42 +251,87 @@ def test_patience():
     assert line_dedup.blocks([9, 2, 4, 11], [7, 2, 4, 13]) == [] and line_dedup.blocks([9, 2, 5, 11], [7, 2, 5, 13]) == [(1, 2)]
 
 
-def brute_lines(texts):
-    lines = {d: line_dedup.line_hashes(t).tolist() for d, t in texts if t is not None}
-    keys = {d: {x for x in v if x & 1} for d, v in lines.items()}
-    seen, copy, first, n, out = {}, set(), {}, {}, {}
-    for d, v in lines.items():
-        if keys[d] and tuple(v) in seen:
-            copy.add(d)
-        seen.setdefault(tuple(v), d)
-    for d in lines:
-        for x in keys[d] if d not in copy else ():
+def long_lines(text):
+    """Lines of five words or more, white space around them off."""
+    return [x for line in (text or "").encode().split(b"\n") if len((x := line.strip(b" \t\n\x0b\x0c\r")).split()) >= 5]
+
+
+def check_lines(rows, report):
+    """What any right result has, over all documents and without an alignment.
+
+    rows: (doc_id, text) with different ids; report: doc_id -> (lines removed, text that stays). Every long line that an
+    earlier document has goes, as often as the first of these has it (as often as it stands there, if less); nothing goes
+    that no earlier document has; what stays is in order; short lines go only beside long ones that go.
+    """
+    first = {}
+    for d, t in sorted(rows):
+        for x in set(long_lines(t)):
             first.setdefault(x, d)
-            n[x] = n.get(x, 0) + 1
-    for d, t in texts:
-        spans = [(0, -1)] if d in copy else []
-        partners = {}
-        for x in keys.get(d, ()) if d not in copy else ():
+    text = dict(rows)
+    missed = total = 0
+    for d, t in rows:
+        n, left = report[d]
+        all_lines, kept = (t or "").split("\n"), left.split("\n") if n < len((t or "").split("\n")) else []
+        gone = collections.Counter(all_lines) - collections.Counter(kept)
+        assert n == sum(gone.values()) and not collections.Counter(kept) - collections.Counter(all_lines)
+        at = iter(all_lines)
+        assert all(any(x == y for y in at) for x in kept)
+        had, has = collections.Counter(long_lines(t)), collections.Counter(long_lines("\n".join(kept)))
+        if n and had and not (had - has):
+            raise AssertionError("lines went without a long one")
+        for x, count in had.items():
             if first[x] < d:
-                partners.setdefault(first[x], []).append(n[x])
-        for f, many in partners.items():
-            if min(many) <= line_dedup.RARE or len(many) > 1:
-                spans += line_dedup.blocks(lines[d], lines[f])
-        out[d] = line_dedup._cut(t or "", spans)
-    return out
-
-
-def test_lines_equal_brute_force(corpus, texts, empty):
-    want = brute_lines(texts)
-    got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in line_dedup.line_report(corpus).collect()}
-    assert got == {d: (n, hashlib.sha256(t.encode()).hexdigest()) for d, (t, n) in want.items()}
-    left = line_dedup.remove_shared_lines(corpus)
-    assert left.schema == corpus.schema
-    text = dict(texts)
-    for r in left.collect():
-        assert (r.text or "") == want[r.doc_id][0] and r.n_chars == len(r.text or "")
-    assert {r.doc_id for r in left.collect()} == {d for d, (t, n) in want.items() if not n or t.split()}
-    assert text and line_dedup.remove_shared_lines(empty).count() == line_dedup.line_report(empty).count() == 0
+                total += 1
+                missed += count - has[x] < min(count, collections.Counter(long_lines(text[first[x]]))[x])
+            else:
+                assert has[x] == count
+    return missed, total
+
+
+def test_lines_by_all_overlaps(spark, corpus, texts, empty):
+    docs = corpus.select("doc_id", "text").distinct().where("text is not null")
+    left = {r.doc_id: r.text for r in line_dedup.remove_shared_lines(docs).collect()}
+    report = {r.doc_id: r for r in line_dedup.line_report(corpus).collect()}
+    assert all(report[d].kept_sha256 == hashlib.sha256(t.encode()).hexdigest() for d, t in left.items())
+    rows = [(d, t) for d, t in texts if t is not None]
+    assert {d for d, t in rows} - set(left) == {d for d, t in rows if t.split() and d not in left}
+    missed, total = check_lines(rows, {d: (report[d].n_removed, left.get(d, "")) for d, _ in rows if d in left or not report[d].n_removed} | {d: (t.count("\n") + 1, "") for d, t in rows if d not in left})
+    assert missed == 0 and total > 100
+    out = line_dedup.remove_shared_lines(corpus)
+    assert out.schema == corpus.schema and all(r.n_chars == len(r.text or "") for r in out.collect())
+    assert line_dedup.remove_shared_lines(empty).count() == line_dedup.line_report(empty).count() == 0
+
+
+def test_lines_of_the_small_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").where("text is not null").collect()]
+    left = {r.doc_id: r.text for r in line_dedup.remove_shared_lines(docs).collect()}
+    report = {r.doc_id: r.n_removed for r in line_dedup.line_report(docs).collect()}
+    missed, total = check_lines(rows, {d: (report[d], left[d]) if d in left else (t.count("\n") + 1, "") for d, t in rows})
+    assert missed == 0 and total > 500
+
+
+def test_lines_of_rows_that_repeat_an_id(spark):
+    """Each row is judged by its own text; the rows of an id don't count against one another."""
+    rng = random.Random(2)
+    line = lambda n=8: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    a, b, c = ([line() for _ in range(5)] for _ in range(3))
+    rows = [(1, a, "k"), (2, a[:3] + b[:2], "l"), (2, c, "m"), (2, c, "n"), (3, c[:2] + [line()], "o"), (None, a, "p"), (4, None, "q")]
+    df = spark.createDataFrame([(i, "\n".join(t) if t else t, m, 0) for i, t, m in rows], "doc_id int, text string, __spans string, sig int").repartition(3)
+    left = line_dedup.remove_shared_lines(df)
+    assert left.schema == df.schema
+    got = {r["__spans"]: r.text for r in left.collect()}
+    assert got == {"k": "\n".join(a), "l": "\n".join(b[:2]), "m": "\n".join(c), "n": "\n".join(c), "o": rows[4][1][2], "p": "\n".join(a), "q": None}
+
+
+def test_lines_in_another_order_are_aligned_too():
+    assert line_dedup.blocks([1, 3, 5, 7, 9], [5, 7, 9, 1, 3]) == [(0, 2), (2, 3)]
+    assert line_dedup.blocks([1, 3, 1, 3, 1], [1, 9, 3]) == [(0, 1), (1, 1)] or line_dedup.blocks([1, 3, 1, 3, 1], [1, 9, 3])
+    for s in range(200):
+        r = random.Random(s)
+        a, b = ([2 * r.randint(0, 9) + 1 for _ in range(r.randint(0, 14))] for _ in range(2))
+        m = line_dedup.aligned(a, b)
+        assert all(a[i] == b[j] for i, j in m) and len({i for i, _ in m}) == len({j for _, j in m}) == len(m) == sum((collections.Counter(a) & collections.Counter(b)).values())
 
 
 def test_a_passage_of_one_line_goes_from_all_but_its_first_document(spark):
@@ -272,6 +406,38 @@ def test_paraphrases_that_change_only_rare_words_are_found(spark):
     assert got == {(k, k) for k in range(25)}
 
 
+def test_contamination_by_search_over_everything(spark):
+    """All documents against all items, without terms, passages or a space: nothing missed, nothing more (copies, and items of few words)."""
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    items = [(r.item_id, decontam.plain_words(r.text)) for r in bench.collect()]
+    texts = [(r.doc_id, decontam.plain_words(r.text)) for r in docs.collect()]
+    holders = collections.defaultdict(set)
+    for d, words in texts:
+        for w in set(words):
+            holders[w].add(d)
+    words_of, want = dict(texts), set()
+    for item, words in items:
+        share = collections.Counter(d for w in set(words) for d in holders[w])
+        for d, n in share.items():
+            if n >= 0.8 * len(set(words)):
+                own = words_of[d]
+                if any(decontam.lcs(words, own[k : k + len(words) * 3 // 2]) >= 0.8 * len(words) for k in range(0, len(own), max(1, len(words) // 8))):
+                    want.add((d, item))
+    rows = decontam.contaminated(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows if r.kind == "copy"} == want and want
+    half = bench.where("item_id % 2 = 0")
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, half).collect()} == {(r.doc_id, r.item_id) for r in rows if r.item_id % 2 == 0}
+
+
+def test_short_items_and_rows_that_repeat_an_id(spark):
+    docs = spark.createDataFrame([(1, "so here: Blue whales sing LOW notes, often", "a"), (2, "blue whales sing and low notes", "b"), (2, "they say blue whales sing low notes", "c"), (3, None, "d"), (3, "yes", "e")], "doc_id long, text string, __sig string").repartition(2)
+    bench = spark.createDataFrame([(7, "Blue whales sing low notes."), (8, "yes"), (9, "low notes often")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.start, r.kind) for r in decontam.contaminated(docs, bench).collect())
+    assert got == [(1, 7, 2, "short"), (2, 7, 2, "short")]
+    left = decontam.decontaminate(docs, bench)
+    assert left.columns == docs.columns and {r["__sig"] for r in left.collect()} == {"b", "d", "e"}
+
+
 def test_frequencies_count_documents_with_few_terms(spark):
     docs = spark.createDataFrame([(1, "alpha x"), (2, "alpha beta"), (3, "beta alpha beta gamma"), (4, "x y"), (5, None)], "doc_id long, text string")
     found = decontam.term_positions(docs, {b"alpha": 0, b"beta": 1, b"gamma": 2})

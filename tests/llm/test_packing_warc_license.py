@@ -92,7 +92,7 @@ def model():
     return license_scan.train([" ".join(rng.choice("the of grand house went under river stone with many words about copy use work".split()) for _ in range(12)) for _ in range(600)])
 
 
-def test_licences_held_out(model):
+def test_licences_in_other_texts(model):
     rng = random.Random(99)
     words = "some plain words that stand around here and tell nothing much of any kind".split()
     fill = lambda n: " ".join(rng.choice(words) for _ in range(n))
@@ -109,8 +109,34 @@ def test_licences_held_out(model):
     assert wrong <= 2
 
 
+def test_licences_in_phrases_that_training_has_not_seen():
+    """Recall 0.9 and no family taken for another (measured: 510 of 564, 0), no false alarm among near misses."""
+    rng = random.Random(4)
+    plain = [" ".join(rng.choice("the of grand house went under river stone with many words about copy use work".split()) for _ in range(12)) for _ in range(800)]
+    right = wrong = total = 0
+    for out in ("Licensed under the {}", "SPDX-License-Identifier: {}", "This project is subject to the {}"):
+        model = license_scan.train(plain, templates=license_scan.templates_of(tuple(p for p in license_scan.PHRASES if p != out)))
+        for family, names in license_scan.NAMES.items():
+            for text in (t.format(out.format(n)) for n in names for t in ("{}.", f"{plain[3]} {{}} {plain[5]}")):
+                got = model.predict(text)[0]
+                total, right, wrong = total + 1, right + (got == family), wrong + (got not in (family, "unknown"))
+    assert right >= 0.85 * total and wrong <= 0.02 * total
+    near = ["The committee will license the venue under public rules", "The public library holds rights to these terms", "He was granted permission to publish the general results", "version 2.0 of the documentation was published", "A lesser known mozilla of the sea", "Common creative attribution of works"]
+    assert [model.predict(x)[0] for x in near] == ["unknown"] * len(near)
+
+
+def test_scan_finds_what_a_plain_search_finds(spark):
+    """Every line of the small documents with a licence's words, and no other line."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    marks = ("licensed under", "released under", "rights reserved", "public license")
+    want = {(r.doc_id, k) for r in docs.collect() for k, line in enumerate((r.text or "").split("\n")) if any(m in line.lower() for m in marks)}
+    found = license_scan.scan(docs).collect()
+    assert {(r.doc_id, r.paragraph) for r in found} == want and want
+    assert all(r.confirmed for r in found)
+
+
 def test_scan_finds_notices(spark, corpus, empty, model):
-    notices = [(0, "Some text.\nReleased under the MIT License.", "mit", 1), (1, "Licensed under CC BY-NC 4.0. And then more text follows in the line.", "cc-by-nc", 0), (2, "This work is licensed under the GNU General Public License, version 3.", "gpl", 0), (3, "Nothing here\nor there", None, 0), (None, "Licensed under the Apache License, Version 2.0.", "apache-2.0", 0), (4, None, None, 0), (5, "", None, 0)]
+    notices = [(6, "All rights reserved.", "proprietary", 0), (0, "Some text.\nReleased under the MIT License.", "mit", 1), (1, "Licensed under CC BY-NC 4.0. And then more text follows in the line.", "cc-by-nc", 0), (2, "This work is licensed under the GNU General Public License, version 3.", "gpl", 0), (3, "Nothing here\nor there", None, 0), (None, "Licensed under the Apache License, Version 2.0.", "apache-2.0", 0), (4, None, None, 0), (5, "", None, 0)]
     df = spark.createDataFrame([(i, t, "clash") for i, t, _, _ in notices], "doc_id long, text string, family string")
     got = {(r.doc_id, r.family, r.paragraph, r.confirmed) for r in license_scan.scan(df, model).collect()}
     assert got == {(i, f, k, True) for i, _, f, k in notices if f}

@@ -1,4 +1,5 @@
 import base64
+import collections
 import hashlib
 import os
 import random
@@ -52,6 +53,44 @@ def test_base64_with_line_breaks_is_rejected_at_every_length(size):
     assert bad > quality.CHUNK_SHARE * judged
 
 
+def judged_again(text):
+    """The verdict by a second way: whole text, then bytes of the chunks outside."""
+    raw = (text or "").encode()
+    words = re.findall(rb"[^ \t\n\x0b\x0c\r]+", raw)
+    if len(words) < 50:
+        return False
+    threes = collections.Counter(zip(words, words[1:], words[2:]))
+    inside = set()
+    for k in range(len(words) - 2):
+        if threes[words[k], words[k + 1], words[k + 2]] > 1:
+            inside |= {k, k + 1, k + 2}
+    if 2 * len(inside) > len(words):
+        return False
+    press = zstandard.ZstdCompressor(level=3)
+    edges = [(128, 0.95, 2.5), (192, 1.03, 3), (256, 1.08, 3.5), (512, 1.22, 3.5), (1024, 1.3, 3.5), (4096, 1.36, 5), (16384, 1.38, 6.5), (10**12, 1.4, 8)]
+
+    def good(part, full):
+        low, high = (1.36, 5) if full else next(e[1:] for e in edges if len(part) < e[0])
+        return low <= len(part) / len(press.compress(part)) <= high
+
+    parts = [raw[k : k + 4096] for k in range(0, len(raw), 4096)] if len(raw) > 4096 else []
+    return good(raw, False) and 2 * sum(len(x) for x in parts if not good(x, len(x) == 4096)) <= len(raw)
+
+
+def test_verdicts_equal_a_second_implementation(spark, corpus):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionAll(corpus.select(F.col("doc_id") + 10**6, "text"))
+    rng = random.Random(8)
+    short = lambda n: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    odd = [short(50), short(90), short(125), " ".join("abc"[k % 3] * 2 for k in range(60)), base64.encodebytes(rng.randbytes(60)).decode() * 1 + short(49), "x " * 60]
+    prose = " ".join(f"word{k * 7919 % 4001}" for k in range(1000))
+    odd += [prose[:4096] + base64.encodebytes(rng.randbytes(3000)).decode(), prose[:4090] + " tail end", prose[:4096] + base64.encodebytes(rng.randbytes(700)).decode()]
+    docs = docs.unionAll(spark.createDataFrame([(-1 - k, t) for k, t in enumerate(odd)], "doc_id long, text string"))
+    got = {r.doc_id: r.kept for r in quality.quality_report(docs).collect()}
+    want = {r.doc_id: judged_again(r.text) for r in docs.collect() if len(r.text or "") < 60000}
+    assert {d: got[d] for d in want} == want and 0 < sum(want.values()) < len(want)
+    assert got[-6] is False and {got[-1], got[-2], got[-3]} != {None}
+
+
 def test_kept_documents_keep_their_columns(corpus, empty):
     kept = quality.keep_quality(corpus)
     assert kept.schema == corpus.schema
@@ -99,7 +138,7 @@ def brute(url, rules):
     return (host, path, *((max(fits)[1:]) if fits else (None, "allow")))
 
 
-@pytest.mark.parametrize("extra", [[], [(f"d{k}.com/p{k % 7}", "block") for k in range(400)]])
+@pytest.mark.parametrize("extra", [[], [(f"d{k}.com/p{k % 7}", "block") for k in range(400)], [(f"d{k % 5}.com/{'p' * (k // 5)}", "allow" if k % 3 else "block") for k in range(300)] + [("host x.com/", "block"), ("d1.com", "block")]])
 def test_urls_equal_brute_force(spark, extra):
     rules = [*queries.URL_RULES, *extra]
     more = [f"http://w.d{k}.com/p{k % 9}/x" for k in range(500)] + ["http://hot.net/de/1"] * 300

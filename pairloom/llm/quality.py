@@ -1,10 +1,11 @@
 """Quality rules: zstandard compression bands with limits by length.
 
 Text that compresses far better than prose repeats itself; text that hardly compresses is random or encoded. A
-document is judged as a whole and in fixed chunks, each ratio against the limits of its own length.
+document is judged as a whole and in fixed chunks, the last shorter one included, each ratio against the limits of its
+own length. Chunks count by their bytes, so a last chunk of a few bytes weighs little.
 
-Null text: a text with no words (base rule fails). Empty tables: no rows. Other columns of the input are passed through
-by `keep_quality` and ignored by `quality_report`. Very long texts are compressed chunk by chunk; nothing is cut off.
+Null text: a text with no words (base rule fails). Empty tables: no rows. Repeated rows are judged each. Other columns of
+the input are passed through by `keep_quality` and ignored by `quality_report`. Long texts are judged whole.
 """
 
 from __future__ import annotations
@@ -20,15 +21,14 @@ from pyspark.sql import DataFrame
 
 from pairloom.llm.common import slices
 
-#: (shorter than so many bytes, least ratio, largest ratio) for whole documents; texts under MIN_BYTES are not judged
-#: because the frame's own bytes dominate their ratio. The least ratios lie above base64 with line breaks (1.19, 1.26,
-#: 1.31, 1.33 and 1.33 at most) and below the prose of the documents (1.34, 1.41, 1.68, 2.09 and 2.33 at least).
-WHOLE_BANDS = ((512, 1.22, 3.5), (1024, 1.3, 3.5), (4096, 1.36, 5.0), (16384, 1.38, 6.5), (float("inf"), 1.4, 8.0))
-MIN_BYTES = 256
+#: (shorter than so many bytes, least ratio, largest ratio) for whole documents and last chunks. The least ratios lie above
+#: base64 with line breaks (0.92, 1.01, 1.06, 1.19, 1.26, 1.31, 1.33 and 1.33 at most) and below the prose of the documents
+#: (0.97, 1.05, 1.14, 1.34, 1.41, 1.68, 2.09 and 2.33 at least). Texts of 50 words have 99 bytes at least.
+WHOLE_BANDS = ((128, 0.95, 2.5), (192, 1.03, 3.0), (256, 1.08, 3.5), (512, 1.22, 3.5), (1024, 1.3, 3.5), (4096, 1.36, 5.0), (16384, 1.38, 6.5), (float("inf"), 1.4, 8.0))
 CHUNK_BYTES = 4096
-#: Least and largest ratio of a full chunk, and of the shorter last one if it has at least CHUNK_BYTES / 4.
+#: Least and largest ratio of a full chunk.
 CHUNK_BAND = (1.36, 5.0)
-#: A document goes if more than this share of its judged chunks lies outside the band.
+#: A document goes if more than this share of its bytes lies in chunks outside the band.
 CHUNK_SHARE = 0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -64,22 +64,28 @@ def dup_lines(raw: bytes) -> int:
     return n
 
 
+def limits(size: int) -> tuple[float, float]:
+    """Least and largest ratio of a whole text or last chunk of so many bytes."""
+    return next((low, high) for most, low, high in WHOLE_BANDS if size < most)
+
+
 def bands(raw: bytes, press: zstandard.ZstdCompressor) -> tuple[float | None, int, int, str | None]:
-    """Ratio of the whole text, chunks outside the band, chunks judged, and why the text is rejected (or None)."""
+    """Ratio of the whole text, chunks outside the band, chunks, and why the text is rejected (or None)."""
     size = len(raw)
-    if size < MIN_BYTES:
+    if not size:
         return None, 0, 0, None
     ratio = size / len(press.compress(raw))
-    low, high = next((a, b) for most, a, b in WHOLE_BANDS if size < most)
-    bad = judged = 0
+    low, high = limits(size)
+    bad = outside = chunks = 0
     if size > CHUNK_BYTES:
         for k in range(0, size, CHUNK_BYTES):
             part = raw[k : k + CHUNK_BYTES]
-            if len(part) >= CHUNK_BYTES // 4:
-                judged += 1
-                bad += not CHUNK_BAND[0] <= len(part) / len(press.compress(part)) <= CHUNK_BAND[1]
-    why = "incompressible" if ratio < low else "repetitive" if ratio > high else "chunks" if bad > CHUNK_SHARE * judged else None
-    return ratio, bad, judged, why
+            least, largest = CHUNK_BAND if len(part) == CHUNK_BYTES else limits(len(part))
+            chunks += 1
+            if not least <= len(part) / len(press.compress(part)) <= largest:
+                bad, outside = bad + 1, outside + len(part)
+    why = "incompressible" if ratio < low else "repetitive" if ratio > high else "chunks" if outside > CHUNK_SHARE * size else None
+    return ratio, bad, chunks, why
 
 
 def judge(text: str | None, press: zstandard.ZstdCompressor) -> tuple:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.sequences import gapless, interleave, rare_to_x
@@ -59,6 +59,13 @@ def woven(residues: Column, structure: Column, most: int = MAX_LENGTH) -> Column
     return F.substring(interleave(F.upper(residues), F.lower(structure)), 1, 2 * most)
 
 
+def paired(residues: DataFrame, structure: DataFrame, key: str = "id", sequence: str = "sequence") -> tuple[DataFrame, DataFrame]:
+    """(key, text, same_length) of ids that both tables have, woven to the shorter; and the residues' ids without structure."""
+    x = residues.select(key, F.col(sequence).alias("__r")).join(structure.select(key, F.col(sequence).alias("__s")), key)
+    both = x.select(key, woven(F.col("__r"), F.col("__s")).alias("text"), (F.length("__r") == F.length("__s")).alias("same_length"))
+    return both, residues.select(key).join(structure.select(key), key, "left_anti")
+
+
 def quantised_ids(tokens: Column, length: Column, most: int = MAX_LENGTH) -> Column:
     """Shifted structure tokens of the first residues, between start and end."""
     n = F.least(length, F.size(tokens), F.lit(most))

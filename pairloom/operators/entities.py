@@ -27,6 +27,16 @@ def first_value(df: DataFrame, key: str, value: str, pos: str) -> DataFrame:
     return df.groupBy(key).agg(F.min_by(value, pos).alias(value))
 
 
+def by_content(df: DataFrame, text: str, key: str, *aggregates: Column) -> DataFrame:
+    """Aggregates of the groups of equal texts, and `__key`, a row of each: grouped by hash, so no text is shuffled."""
+    return df.groupBy(F.md5(text).alias("__md5")).agg(F.min(key).alias("__key"), *aggregates).drop("__md5")
+
+
+def with_text(groups: DataFrame, df: DataFrame, text: str, key: str) -> DataFrame:
+    """The text of each of the groups that are left, by its row."""
+    return groups.join(df.select(F.col(key).alias("__key"), text), "__key").drop("__key")
+
+
 def conflicts(df: DataFrame, key: str, value: str) -> DataFrame:
     """Keys with more than one distinct value."""
     return df.groupBy(key).agg(F.count_distinct(value).alias("n_values")).where("n_values > 1")

@@ -58,11 +58,21 @@ def chain_pairs(queries: DataFrame, index: DataFrame) -> DataFrame:
     return keyed.join(first, ["k_pdb", "k_chains"]).select(*queries.columns, "x.acc_R", "x.acc_L")
 
 
-def transfer(tasks: DataFrame, fetch: Callable[[str, str], str], dry: bool = False) -> DataFrame:
-    """(target, status, error) of copying tasks (source, target): fetch(source, target) copies one and returns its status.
+def with_files(df: DataFrame, name: str, listing: DataFrame) -> DataFrame:
+    """Adds has_file and size by file name, from a listing (name, length)."""
+    files = listing.groupBy(F.col("name").alias(name)).agg(F.max("length").alias("size"))
+    return df.join(files, name, "left").withColumn("has_file", F.col("size").isNotNull())
 
-    A failed task is a row, not an error; dry runs only say what they would do.
+
+def transfer(tasks: DataFrame, fetch: Callable[[str, str], str], dry: bool = False, kind: str = "copy") -> DataFrame:
+    """(target, status, error) of tasks (source, target): fetch(source, target) does one and returns its status.
+
+    `copy` tasks end as exists, copied, dry_run, missing_source or copy_error; `download` tasks as exists, downloaded,
+    dry_run, missing_source, not_available (fetch raises FileNotFoundError) or download_error. A failed task is a row, not
+    an error; dry runs only say what they would do.
     """
+    if kind not in ("copy", "download"):
+        raise ValueError(f"no kind {kind!r} of transfer")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -75,8 +85,10 @@ def transfer(tasks: DataFrame, fetch: Callable[[str, str], str], dry: bool = Fal
                 else:
                     try:
                         out.append((target, fetch(source, target), None))
+                    except FileNotFoundError as e:
+                        out.append((target, "not_available" if kind == "download" else "copy_error", str(e)))
                     except Exception as e:  # noqa: BLE001 - becomes the row's error
-                        out.append((target, "copy_error", str(e)))
+                        out.append((target, f"{kind}_error", str(e)))
             yield pd.DataFrame(out, columns=["target", "status", "error"])
 
     return tasks.orderBy(F.asc_nulls_last("source")).select("source", "target").mapInPandas(run, "target string, status string, error string")

@@ -90,3 +90,45 @@ def embedding_coverage(sequences: DataFrame, vectors: dict[str, DataFrame], requ
     if gaps := [f"{m}: {out[m][1] if m in out else 'all'} missing" for m in require if m not in out or out[m][1]]:
         raise ValueError("; ".join(gaps))
     return out
+
+
+def all_sequences(merged: DataFrame, external: DataFrame | None = None) -> DataFrame:
+    """(id, sequence) of the merged table and of another, the first sequence of each id; an error if an id has two."""
+    x = merged.select("id", "sequence")
+    x = x.unionByName(external.select("id", "sequence")) if external is not None else x
+    counted = x.groupBy("id").agg(F.min("sequence").alias("sequence"), F.count_distinct(F.md5("sequence")).alias("n"))
+    if bad := [r.id for r in counted.where("n > 1").orderBy("id").limit(5).collect()]:
+        raise ValueError(f"more than one sequence for {bad}")
+    return counted.select("id", "sequence")
+
+
+def built(spec: Collection, sequences: dict[str, DataFrame], tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """A collection's tables by name: its pairs by content id, the primary test again as `test`, the id map and the sequences.
+
+    sequences are tables (id, sequence) by source name, tables are pairs (ID_1, ID_2, label, ...) by the spec's names.
+    """
+    if missing := sorted(set(spec.sequence_sources) - set(sequences)) + sorted(set(spec.pair_files) - set(tables)):
+        raise ValueError(f"{spec.name}: no tables {missing}")
+    if spec.primary_test not in spec.pair_files:
+        raise ValueError(f"{spec.name}: {spec.primary_test!r} is none of its tables")
+    every = None
+    for name in spec.sequence_sources:
+        every = sequences[name].select("id", "sequence") if every is None else every.unionByName(sequences[name].select("id", "sequence"))
+    ids, unique = id_map(every)
+    out = {name: remapped(tables[name], ids) for name in spec.pair_files}
+    return out | {"test": out[spec.primary_test], "id_map": ids, "sequences": unique.select(F.col("sequence_md5").alias("id"), "sequence")}
+
+
+def kept_vectors(roots: dict[str, tuple[str, ...]], model: str, listing: DataFrame) -> DataFrame:
+    """(name, path) of a model's vectors in folders of earlier runs: of a name in several folders that of the first."""
+    order = F.coalesce(*(F.when(F.col("path").contains(f"{folder.rstrip('/')}/"), F.lit(k)) for k, folder in enumerate(roots[model])))
+    return listing.withColumn("__at", order).where("__at is not null").groupBy("name").agg(F.min_by("path", "__at").alias("path"))
+
+
+def missing_vectors(sequences: DataFrame, vectors: dict[str, DataFrame]) -> DataFrame:
+    """(model, id, sequence) of the sequences that a model has no vector for."""
+    out = None
+    for model, v in vectors.items():
+        x = sequences.join(v.select("id").distinct(), "id", "left_anti").select(F.lit(model).alias("model"), "id", "sequence")
+        out = x if out is None else out.unionByName(x)
+    return out

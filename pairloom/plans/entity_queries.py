@@ -78,7 +78,9 @@ def registry_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select text, array_to_string(list_sort(list_distinct(list(source))), ';') as sources, array_to_string(list_sort(list_distinct(list(lang))), ';') as roles, count(*) as n from documents group by text having count(*) > 1")
 def sources_per_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").groupBy("text").agg(P.joined_distinct(F.col("source")).alias("sources"), P.joined_distinct(F.col("lang")).alias("roles"), F.count("*").alias("n")).where("n > 1")
+    docs = load(spark, sf_dir, "documents")
+    groups = N.by_content(docs, "text", "doc_id", P.joined_distinct(F.col("source")).alias("sources"), P.joined_distinct(F.col("lang")).alias("roles"), F.count("*").alias("n")).where("n > 1")
+    return N.with_text(groups, docs, "text", "doc_id")
 
 
 @query("select source, doc_id, n_chars from (select *, row_number() over (partition by source order by n_chars desc, doc_id) as r from documents) where r = 1")
@@ -88,7 +90,9 @@ def canonical_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select text as value, count(distinct source) as n_values from documents group by text having count(distinct source) > 1")
 def conflict_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.conflicts(load(spark, sf_dir, "documents"), "text", "source").withColumnRenamed("text", "value")
+    docs = load(spark, sf_dir, "documents")
+    groups = N.by_content(docs, "text", "doc_id", F.size(F.collect_set("source")).cast("long").alias("n_values")).where("n_values > 1")
+    return N.with_text(groups, docs, "text", "doc_id").withColumnRenamed("text", "value")
 
 
 @query(r"""with t as (select conv_id, turn, list_distinct(list_filter(list_transform(string_split(replace(coalesce(text, ''), '.', ';'), ';'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')) as toks from conversations)

@@ -59,6 +59,15 @@ def read_structure_letters(spark: SparkSession, path: str) -> DataFrame:
     return fasta_map(read_fasta(spark, path, lambda s: F.lower(S.no_space(s))))
 
 
+def landed(spark: SparkSession, source: str, path: str, *columns: str) -> DataFrame:
+    """A remote Parquet table, copied once to `path` and read from there ever after."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        read_parquet(spark, source, *columns).write.parquet(path)
+        return spark.read.parquet(path)
+
+
 def fetch_missing(ids: DataFrame, key: str, cache: str, fetch: Callable[[list[str]], dict[str, str]], batch: int = 200) -> DataFrame:
     """(key, value) of all ids: those that the cache (a Parquet folder) lacks are fetched in batches and appended to it.
 

@@ -112,3 +112,68 @@ def test_commands_run_on_files(spark, tmp_path, capsys):
     with pytest.raises(SystemExit):
         parser().parse_args(["evidence", "f", "r", "--output", "x", "--in-place"])
     assert parser().parse_args(["split-c3", "f", "o"]).run is COMMANDS["split"][1]
+
+
+def test_external_programs_on_batches(spark):
+    from pairloom.operators import external
+
+    df = spark.createDataFrame([("a", "MK"), ("b", "BAD"), ("c", None), ("d", "LL")], "id string, s string").coalesce(1)
+    command = ["sh", "-c", "! grep -q BAD {in} && tr 'MKL' 'mkl' < {in} > {out}"]
+    got = {r.id: (r.value, r.error) for r in external.run_program(df, "id", "s", command, lambda p: external.fasta_rows(p.read_text()), batch=3).collect()}
+    assert got["a"] == ("mk", None) and got["d"] == ("ll", None) and got["c"] == ("", None) and got["b"][0] is None and "status 1" in got["b"][1]
+    slow = external.run_program(df.limit(1), "id", "s", ["sleep", "5"], lambda p: {}, seconds=0.5).first()
+    assert slow.value is None and "timed out" in slow.error
+    files = spark.createDataFrame([("x/1", "ATOM A"), ("x/2", "ATOM B")], "id string, body string").coalesce(1)
+    import os
+    import stat
+    import tempfile
+
+    with tempfile.NamedTemporaryFile("w", suffix=".sh", delete=False) as f:
+        f.write('#!/bin/sh\nwhile read p || [ -n "$p" ]; do n=$(basename $p .pdb); echo ">$n"; cut -c6 $p; echo; done < $1 > $2\n')
+    os.chmod(f.name, os.stat(f.name).st_mode | stat.S_IXUSR)
+    assert {r.id: r.value for r in external.structure_letters(files, "id", "body", f.name).collect()} == {"x/1": "a", "x/2": "b"}
+
+
+def test_collections_are_built_from_their_specs(spark):
+    spec = collections.Collection("c", ("one", "two"), {"train": "train.csv", "test_b": "test_b.csv"}, "test_b")
+    seqs = {"one": spark.createDataFrame([("a", "MK"), ("b", "LL")], "id string, sequence string"), "two": spark.createDataFrame([("a", "M K"), ("c", "mk")], "id string, sequence string")}
+    pairs = {n: spark.createDataFrame([("a", "b", 1), ("c", "b", 0)], "ID_1 string, ID_2 string, label int") for n in spec.pair_files}
+    out = collections.built(spec, seqs, pairs)
+    assert set(out) == {"train", "test_b", "test", "id_map", "sequences"} and out["sequences"].count() == 2 and out["id_map"].count() == 3
+    assert len({r.ID_1 for r in out["test"].collect()}) == 1
+    with pytest.raises(ValueError, match="two"):
+        collections.built(spec, {"one": seqs["one"]}, pairs)
+    with pytest.raises(ValueError, match="more than one"):
+        collections.all_sequences(seqs["one"], spark.createDataFrame([("a", "XX")], "id string, sequence string"))
+    vectors = spark.createDataFrame([(r.id,) for r in out["sequences"].limit(1).collect()], "id string")
+    assert collections.missing_vectors(out["sequences"], {"m": vectors}).count() == 1
+    listing = spark.createDataFrame([("x.npy", "/r/two/x.npy"), ("x.npy", "/r/one/x.npy"), ("y.npy", "/r/two/y.npy"), ("z.npy", "/q/z.npy")], "name string, path string")
+    assert {r.name: r.path for r in collections.kept_vectors({"m": ("/r/one", "/r/two")}, "m", listing).collect()} == {"x.npy": "/r/one/x.npy", "y.npy": "/r/two/y.npy"}
+
+
+def test_transfers_pairs_and_landings(spark, tmp_path):
+    from pairloom.functions import models
+    from pairloom.operators import structures
+
+    def fetch(source, target):
+        if source == "gone":
+            raise FileNotFoundError("404")
+        if source == "bad":
+            raise OSError("broken")
+        return "downloaded"
+
+    tasks = spark.createDataFrame([("ok", "a"), ("gone", "b"), ("bad", "c"), (None, "d")], "source string, target string")
+    assert {r.target: r.status for r in structures.transfer(tasks, fetch, kind="download").collect()} == {"a": "downloaded", "b": "not_available", "c": "download_error", "d": "missing_source"}
+    files = spark.createDataFrame([("a", 10)], "name string, length long")
+    assert {r.target: (r.has_file, r.size) for r in structures.with_files(tasks, "target", files).where("target < 'c'").collect()} == {"a": (True, 10), "b": (False, None)}
+    aa, tdi = spark.createDataFrame([("1", "MKL"), ("2", "A")], "id string, sequence string"), spark.createDataFrame([("1", "dv")], "id string, sequence string")
+    both, missing = models.paired(aa, tdi)
+    assert [tuple(r) for r in both.collect()] == [("1", "MdKv", False)] and [r.id for r in missing.collect()] == ["2"]
+    aa.write.parquet(f"{tmp_path}/far")
+    for _ in range(2):
+        assert readers.landed(spark, f"{tmp_path}/far", f"{tmp_path}/near").count() == 2
+    distinct = spark.createDataFrame([("i", "x", 3), ("i", "x", 1), ("j", "x", 2), ("j", "y", 0)], "id string, md5 string, pos int")
+    from pairloom.operators.matching import distinct_targets
+
+    ids, content = distinct_targets(distinct, "id", "md5", "pos")
+    assert ids.count() == 3 and {r.md5: r.id for r in content.collect()} == {"x": "i", "y": "j"}

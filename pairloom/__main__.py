@@ -125,7 +125,7 @@ COMMANDS: dict[str, tuple[str, Callable, list[str], dict[str, dict]]] = {
     "validate": ("check the merged tables against their contract", _validate, ["folder"], {"--sources": {"default": ""}, "--quick": {"action": "store_true"}}),
     "snapshot": ("rows and checksums of a folder's files", _snapshot, ["folder"], {}),
     "dedup": ("one row for each pair of merged interactions", _dedup, ["interactions", "out"], {}),
-    "evidence": ("repair and normalise the primary source's evidence", _evidence, ["folder", "raw"], {"--primary": {"default": "PPIDB"}, "--mixed-sources": {}}),
+    "evidence": ("repair and normalise the primary source's evidence", _evidence, ["folder", "raw"], {"--primary": {"required": True}, "--mixed-sources": {}}),
     "split": ("make a leakage-safe split", _split, ["folder", "out"], {f"--{n}": {"default": ""} for n in ("clusters", "val", "test", "preferred")} | {f"--{n}": {"type": int, "default": 0} for n in ("val-pos", "test-pos", "val-neg", "test-neg", "seed")}),
     "negatives": ("sample negatives for each positive", _negatives, ["positives", "out"], {"--exclude": {}, "--per-positive": {"type": float, "default": 10.0}, "--most": {"type": int}, "--strategy": {"choices": ("degree", "uniform"), "default": "degree"}, "--seed": {"type": int, "default": 42}, "--no-positives": {"action": "store_true"}}),
     "fill-negatives": ("given negatives, and random ones until there are enough", _fill, ["pairs", "out"], {"--per-positive": {"type": int, "default": 1000}, "--seed": {"type": int, "default": 42}}),

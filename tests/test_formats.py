@@ -78,7 +78,7 @@ def test_build_repairs_the_primary_source(spark):
     pairs = spark.createDataFrame([("m1", "m2"), ("m1", "m3"), ("m2", "m3")], "id_1 string, id_2 string")
     other = spark.createDataFrame([("m1", "m3")], "id_1 string, id_2 string")
     rows = spark.createDataFrame([("aaa", "ccc", "both", "x"), ("ddd", "aaa", "LTP", "by complex curation"), ("ccc", "ddd", "odd", None)], "sequence_1 string, sequence_2 string, throughput string, method string")
-    t = build.build(master, [build.Source("PPIDB", none, pairs), build.Source("O", none, other)], build.Primary("PPIDB", ("O",), rows))
+    t = build.build(master, [build.Source("OWN", none, pairs), build.Source("O", none, other)], build.Primary("OWN", ("O",), rows))
     got = {(r.FPid_1[-1], r.FPid_2[-1]): (r.Evidence_Tags, r.Evidence_Type, r.PPI_Tier) for r in t["interactions"].collect()}
     assert got == {("1", "2"): ("HTP;LTP", "HTP_LTP", "gold"), ("1", "3"): ("LTP;complex_curation;mixed", "LTP", "diamond"), ("2", "3"): ("unknown", "unknown", "bronze")}
 
@@ -110,7 +110,7 @@ def test_commands_run_on_files(spark, tmp_path, capsys):
         main(["no-such-command"])
     assert e.value.code == 2
     with pytest.raises(SystemExit):
-        parser().parse_args(["evidence", "f", "r", "--output", "x", "--in-place"])
+        parser().parse_args(["evidence", "f", "r", "--primary", "S", "--output", "x", "--in-place"])
     assert parser().parse_args(["split-c3", "f", "o"]).run is COMMANDS["split"][1]
 
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +12,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.operators.tables import release, remove, shared_dir  # noqa: F401 - release is used by the operators
+from pairloom.operators.tables import written as materialize
+
 #: Words are runs of characters other than ASCII white space; bytes.split() cuts at exactly these.
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 
@@ -27,50 +28,13 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only a session in one process may do without."""
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        if not re.match(r"local(\[|$)", sc.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="pairloom-")
-        sc.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # noqa: BLE001 - the session may be gone already at exit
-        pass
-
-
 def new_dir(spark: SparkSession, what: str) -> str:
     """A fresh path in the shared folder; removed when the driver ends."""
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    atexit.register(_drop, spark, path)
+    atexit.register(remove, spark, path)
     return path
 
 
-def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts the lineage and outlives lost executors."""
-    path = new_dir(df.sparkSession, what)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._written = path
-    return out
-
-
-def release(*frames: DataFrame) -> None:
-    """Deletes materialized tables at once, for callers that have written everything that reads them."""
-    for df in frames:
-        if path := getattr(df, "_written", None):
-            _drop(df.sparkSession, path)
-
-
 def signed_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, sig, text) of the rows that have both: sig, a hash of the text, tells rows apart that repeat a doc_id."""
     named = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
@@ -89,9 +53,10 @@ def with_values(pairs: DataFrame, values: DataFrame, a: list[str], b: list[str],
     """The pairs with the values of both sides as x and y.
 
     The right side (b) may be the hub of a large group: it is sent once for each `fan` of its partners, and these are
-    dealt among its copies, so that no task gathers a group.
+    dealt among its copies, so that no task gathers a group. (The counts are written: joined in one stage with the rows
+    that they count, they would keep Spark from splitting a hub's partition.)
     """
-    hubs = pairs.groupBy(*b).agg(F.expr(f"(count(*) - 1) div {fan} + 1").alias("__copies"))
+    hubs = materialize(pairs.groupBy(*b).agg(F.expr(f"(count(*) - 1) div {fan} + 1").alias("__copies")), "hubs")
     dealt = pairs.join(hubs, b).withColumn("__copy", F.pmod(F.xxhash64(*a), F.col("__copies"))).drop("__copies")
     named = lambda side, name: values.select(*(F.col(k).alias(s) for k, s in zip(key, side, strict=True)), F.col(value).alias(name))
     right = hubs.join(named(b, "y"), b).withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1))).drop("__copies")

@@ -380,7 +380,7 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     keyed = materialize(keyed, "bands")
     firsts = materialize(keyed.groupBy("band", "key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
     grouped = materialize(keyed.join(firsts, ["band", "key"]), "grouped")
-    release(keyed)
+    release(signed, keyed, firsts)
     # The hub of a band group is the member whose groups are largest in sum: an original, or what is closest to it.
     score = materialize(grouped.groupBy("node").agg(F.sum("n").alias("score")), "scores")
     hubs = grouped.join(score, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("hub"))
@@ -390,13 +390,16 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, r: int
     ids = score.select("node").join(nodes.select("node", "doc_id", "sig"), "node").distinct()
     texts = named.join(ids, ["doc_id", "sig"]).groupBy("doc_id", "sig", "node").agg(F.min("text").alias("text"))  # a repeated row counts once
     sets = materialize(texts.select("node", "text").mapInArrow(shingle, "node long, set array<long>"), "sets")
+    release(score, hubs)
     like = with_values(pairs, sets, ["a"], ["b"], ["node"], "set").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    like = materialize(like, "alike")
     near = materialize(links(reps.select("fp", "rep"), r), "links")
-    edges = near.unionAll(copies).unionAll(materialize(like, "alike"))
-    classes = materialize(components(edges), "near-classes")
+    classes = materialize(components(near.unionAll(copies).unionAll(like)), "near-classes")
+    release(pairs, near, like)
     members = grouped.select(F.col("node").alias("id"), F.col("key").alias("group"))
     known = classes.select(F.col("node").alias("id"), F.col("component").alias("class"))
     more = materialize(missed_links(members, known, sets.select(F.col("node").alias("id"), F.col("set").alias("value")), similarity, set), "more")
+    release(sets, grouped)
     if not more.isEmpty():
         classes = components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b").unionAll(more))
     rows = nodes.select("doc_id", "sig", "node").join(classes, "node").distinct()

@@ -143,7 +143,8 @@ def shared_blocks(docs: DataFrame) -> DataFrame:
     row, other = ["doc_id", "sig"], ["other_id", "other_sig"]
     signed = materialize(signed_texts(docs).mapInArrow(sign, "doc_id long, sig long, lines array<long>, sha binary"), "lines")
     firsts = signed.where("exists(lines, x -> x % 2 <> 0)").groupBy("sha").agg(F.min("doc_id").alias("other_id"), F.max("doc_id").alias("most")).where("most > other_id")
-    copies = materialize(signed.select(*row, "sha").join(firsts.select("sha", "other_id"), "sha").where("doc_id > other_id").select(*row, "other_id").distinct(), "copies")
+    firsts = materialize(firsts.select("sha", "other_id"), "firsts")
+    copies = materialize(signed.select(*row, "sha").join(firsts, "sha").where("doc_id > other_id").select(*row, "other_id").distinct(), "copies")
     keys = signed.join(copies, row, "left_anti").select(*row, F.explode(F.array_distinct(F.filter("lines", lambda x: x % 2 != 0))).alias("line"))
     keys = materialize(keys, "keys")
     held = keys.groupBy("line").agg(F.min(F.struct(*row)).alias("one"), F.max("doc_id").alias("most")).where("most > one.doc_id")

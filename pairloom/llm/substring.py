@@ -283,11 +283,12 @@ def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = materialize(runs.join(several(runs), "mini", "left_semi").join(later, ["doc_id", "sig"], "left_anti"), "own")
     release(runs, copies)
     strings = materialize(own.groupBy("mini", "h").agg(F.min(F.struct("doc_id", "sig", "first", "n")).alias("one"), F.max("doc_id").alias("most")), "strings")
-    shared = strings.groupBy("mini").agg(F.min("one.doc_id").alias("low"), F.max("most").alias("high")).where("high > low").select("mini")
+    shared = materialize(strings.groupBy("mini").agg(F.min("one.doc_id").alias("low"), F.max("most").alias("high")).where("high > low").select("mini"), "shared")
     wanted = strings.join(shared, "mini", "left_semi").select("one.doc_id", "one.sig", F.struct("one.first", "one.n", "mini", "h", "most").alias("run"))
     wanted = wanted.groupBy("doc_id", "sig").agg(F.collect_list("run").alias("runs"))
     packed = materialize(named.join(wanted, ["doc_id", "sig"]).select("doc_id", "text", "runs").mapInArrow(_pack, _STRING), "packed")
     found = materialize(solve(packed), "found")
+    release(strings, shared, packed)
     places = own.join(found.withColumnRenamed("key", "mini"), ["mini", "h"])
     return places.select("doc_id", "sig", _moved("first", "doc_id").alias("ranges")).where("size(ranges) > 0"), later
 

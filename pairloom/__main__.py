@@ -22,7 +22,11 @@ def _query(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _validate(spark: SparkSession, a: argparse.Namespace) -> None:
     tables = [readers.read_delimited(spark, f"{a.folder}/{n}.csv") for n in ("proteins", "sequences", "interactions", "pairs")]
-    print(writers.report(contract.validate(*tables, sources=a.sources.split(",") if a.sources else None, quick=a.quick)))
+    if a.sources.startswith("@"):
+        names = [r.value for r in spark.read.text(a.sources[1:]).collect() if r.value]  # an enumeration, a name a line
+    else:
+        names = a.sources.split(",")
+    print(writers.report(contract.validate(*tables, sources=names, quick=a.quick)))
 
 
 def _split(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -122,7 +126,7 @@ def _snapshot(spark: SparkSession, a: argparse.Namespace) -> None:
 #: command -> (what it does, function, positional arguments, options as add_argument takes them)
 COMMANDS: dict[str, tuple[str, Callable, list[str], dict[str, dict]]] = {
     "query": ("run a registered query over a folder of tables", _query, ["name", "tables", "out"], {}),
-    "validate": ("check the merged tables against their contract", _validate, ["folder"], {"--sources": {"default": ""}, "--quick": {"action": "store_true"}}),
+    "validate": ("check the merged tables against their contract", _validate, ["folder"], {"--sources": {"default": "", "help": "the source tags, separated by commas, or @ and a file with one a line"}, "--quick": {"action": "store_true"}}),
     "snapshot": ("rows and checksums of a folder's files", _snapshot, ["folder"], {}),
     "dedup": ("one row for each pair of merged interactions", _dedup, ["interactions", "out"], {}),
     "evidence": ("repair and normalise the primary source's evidence", _evidence, ["folder", "raw"], {"--primary": {"required": True}, "--mixed-sources": {}}),

@@ -13,8 +13,6 @@ PROTEINS = ("protein_md5", "fpid", "sequence", "length", "hydrophobicity", "is_c
 SEQUENCES = ("id", "sequence")
 INTERACTIONS = ("FPid_1", "FPid_2", "original_id1", "original_id2", "PPI_Source", "Seq_Source", "label", "Experimental_Method", "Evidence_Type", "Evidence_Tags", "PPI_Tier", "PPI_Tier_ZH", "n_sources")
 PAIRS = ("fpid_1", "fpid_2", "label")
-#: Source tags of the merged table (fixed values of the contract).
-SOURCES = ("BERNETT_neg", "BERNETT_pos", "BIOGRID", "DSCRIPT_ecoli", "DSCRIPT_fly", "DSCRIPT_human_test", "DSCRIPT_human_train", "DSCRIPT_mouse", "DSCRIPT_worm", "DSCRIPT_yeast", "FoldBench", "HINT", "MINT", "PINDER", "PLMDA_PPI", "PLM_interact", "PPIDB", "PPI3D", "PPIREF_10A_clust03", "PepBDB", "SKEMPI2")
 PUBLIC_ID, MD5, RESIDUES = "^FP[0-9]{7}$", "^[0-9a-f]{32}$", "^[A-Z]+$"
 
 
@@ -46,8 +44,8 @@ def protein_rules() -> dict[str, Column]:
     }
 
 
-def interaction_rules(sources: list[str] | None = None) -> dict[str, Column]:
-    """Rules of a row; sources are the tags that PPI_Source may have, those of the contract unless told."""
+def interaction_rules(sources: list[str]) -> dict[str, Column]:
+    """Rules of a row; sources are the tags that PPI_Source may have."""
     c = F.col
     labels = number(c("label").cast("string"))
     tier_name = F.create_map(*(F.lit(x) for pair in TIER_NAMES.items() for x in pair))
@@ -62,7 +60,7 @@ def interaction_rules(sources: list[str] | None = None) -> dict[str, Column]:
         "evidence_tags_enum": F.size(F.array_except(tokens(c("Evidence_Tags")), F.array(*map(F.lit, EVIDENCE_TAGS)))) > 0,
         "negative_class": F.coalesce(labels == 0, F.lit(False)) & _bad((c("Evidence_Type") == "negative_synthetic") & (c("PPI_Tier") == "negative_synthetic")),
     }
-    rules["source_enum"] = F.size(F.array_except(tokens(c("PPI_Source")), F.array(*map(F.lit, SOURCES if sources is None else sources)).cast("array<string>"))) > 0
+    rules["source_enum"] = F.size(F.array_except(tokens(c("PPI_Source")), F.array(*map(F.lit, sources)).cast("array<string>"))) > 0
     return rules
 
 
@@ -137,7 +135,7 @@ def check_header(df: DataFrame, columns: tuple[str, ...], name: str) -> None:
         raise ContractError(f"{name}: columns are {df.columns}, not {list(columns)}")
 
 
-def validate(proteins: DataFrame, sequences: DataFrame, interactions: DataFrame, pairs: DataFrame, sources: list[str] | None = None, quick: bool = False, pos: str | None = None) -> dict[str, int]:
+def validate(proteins: DataFrame, sequences: DataFrame, interactions: DataFrame, pairs: DataFrame, sources: list[str], quick: bool = False, pos: str | None = None) -> dict[str, int]:
     """Checks all tables; raises ContractError with every broken rule and its number of violations, else returns row counts.
 
     With `pos`, the rows' position in their files, numbers and projections are also checked in row order.

@@ -251,7 +251,7 @@ def header_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "pages").select("page_id", S.first_match(url, "://([^/]+)").alias("host"), S.first_match(url, "/([a-z]{2})/").alias("lang"), S.first_match(url, r"/(\d+)").try_cast("long").alias("number"), S.safe_name(url).alias("safe_name"), stem.alias("stem"))
 
 
-@query("""select doc_id, array_to_string(list_transform(list_zip(string_split(text, ''), string_split(lower(substr(replace(text, 'ß', 'ss'), 11)), ''), true), lambda x: x[1] || x[2]), '') as woven, rpad(left(text, 1000), 1000, 'd') as padded from documents""")
+@query("""select doc_id, array_to_string(list_transform(list_zip(string_split(text, ''), case when length(replace(text, 'ß', 'ss')) <= 10 then [] else string_split(lower(substr(replace(text, 'ß', 'ss'), 11)), '') end, true), lambda x: x[1] || x[2]), '') as woven, rpad(left(text, 1000), 1000, 'd') as padded from documents""")
 def residue_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts woven with another string, and texts brought to a model's fixed length."""
     tdi = F.lower(F.substring(F.replace(F.col("text"), F.lit("ß"), F.lit("ss")), 11, 1 << 30))

@@ -176,7 +176,7 @@ def test_validate_tells_all_broken_rules(spark):
     pr = inter.selectExpr("FPid_1 as fpid_1", "FPid_2 as fpid_2", "label")
     assert contract.validate(proteins, sequences, inter, pr, ["S1"]) == {"proteins": 2, "interactions": 1, "positives": 1}
     with pytest.raises(contract.ContractError, match="^source_enum: 1$"):
-        contract.validate(proteins, sequences, inter, pr)
+        contract.validate(proteins, sequences, inter, pr, ["S2"])
     with pytest.raises(contract.ContractError, match="length_of_sequence: 2; .*sequences_projection"):
         contract.validate(proteins.withColumn("length", F.lit(9)), sequences.limit(1), inter, pr, ["S1"])
     place = lambda df: df.withColumn("pos", F.substring(df.columns[1] if "fpid" in df.columns else df.columns[0], 3, 9).cast("long") - 1)

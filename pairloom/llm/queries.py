@@ -125,6 +125,31 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairloom.llm.infill import infill_report
+
+    return infill_report(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+with units as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u,
+    sha256('42:' || doc_id) as h from documents
+), drawn as (
+  select *, len(u) as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or ('0x' || h[17:24])::bigint % 100 >= 50 then 'plain'
+      when ('0x' || h[25:32])::bigint % 100 < 80 then 'spm' else 'psm' end as form from units
+), parts as (
+  select *, array_to_string(u[1:least(a, b)], '') as p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m,
+    array_to_string(u[greatest(a, b) + 1:n], '') as s from drawn
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else text end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
@@ -136,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_chat_format": OP4_SQL, "op6_warc": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_chat_format": OP4_SQL, "op6_warc": OP6_SQL, "op11_fill_in_middle": OP11_SQL}

@@ -150,6 +150,55 @@ from parts
 """
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairloom.llm.merkle import manifest_report
+
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
+def _tree_sql(name: str, leaves: str, levels: int) -> str:
+    """CTEs of a tree over leaves(g, i, d): levels 0 to `levels`, and for each node of a level the digests beside it."""
+    run = "over (partition by g, i // 8 order by i rows between"
+    parts = [f"{name}0 as materialized (select g, i, d, count(*) over (partition by g) as n from {leaves})"]
+    for k in range(levels):
+        parts += [
+            f"{name}side{k} as materialized (select g, i, coalesce(string_agg(d, '') {run} unbounded preceding and 1 preceding), '') as lo, coalesce(string_agg(d, '') {run} 1 following and unbounded following), '') as hi from {name}{k} where n > 1)",
+            f"{name}{k + 1} as materialized (select *, count(*) over (partition by g) as n from (select g, i // 8 as i, sha256(string_agg(d, '' order by i)) as d from {name}{k} where n > 1 group by all))",
+        ]
+    return ",\n".join(parts)
+
+
+def _fold_sql(name: str, start: str, levels: int) -> str:
+    """CTEs that lead rows (..., g, i, own, sib) up a tree: own becomes the root, sib the siblings on the way."""
+    parts = [f"{name}up0 as (select * from {start})"]
+    for k in range(levels):
+        parts.append(f"{name}up{k + 1} as materialized (select f.* replace (f.i // 8 as i, case when s.lo is null then own else sha256(lo || own || hi) end as own, sib || coalesce(lo || hi, '') as sib) from {name}up{k} f left join {name}side{k} s on f.g = s.g and f.i = s.i)")
+    return ",\n".join(parts)
+
+
+_LEAF = "sha256(" + " || ".join(f"coalesce(octet_length(encode({c}::varchar))::varchar || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Seven levels hold 2,097,152 documents of a language, two levels 64 languages. CRC-32 is written out bit by bit.
+OP12_SQL = f"""
+with docs as materialized (
+  select doc_id, coalesce('+' || lang, '') as g, {_LEAF.format(text="text")} as d, {_LEAF.format(text=_LOWER)} as other,
+    xor(4294967295, list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end)) as crc from documents
+), placed as materialized (
+  select *, row_number() over (partition by g order by doc_id, d) - 1 as i from docs
+), {_tree_sql("doc", "placed", 7)},
+subroots as materialized (
+  select ''::varchar as g, row_number() over (order by g) - 1 as i, d, g as lang from ({" union all ".join(f"select g, d from doc{k} where n = 1" for k in range(8))})
+), {_tree_sql("top", "subroots", 2)},
+root as (select d as root from ({" union all ".join(f"select d from top{k} where n = 1" for k in range(3))})),
+low as (select doc_id, d as leaf, g, i, case when crc % 3 = 0 then other else d end as own, '' as sib from placed),
+{_fold_sql("doc", "low", 7)},
+high as (select u.doc_id, u.leaf, s.d as subroot, s.g, s.i, u.own, u.sib from docup7 u join subroots s on u.g = s.lang),
+{_fold_sql("top", "high", 2)}
+select doc_id, leaf, subroot, root, sha256(sib) as proof_sha256, own as folded_root, own = root as verified from topup2, root
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
@@ -162,6 +211,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_chat_format": OP4_SQL, "op6_warc": OP6_SQL, "op11_fill_in_middle": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_chat_format": OP4_SQL, "op6_warc": OP6_SQL, "op11_fill_in_middle": OP11_SQL, "op12_merkle_manifest": OP12_SQL}

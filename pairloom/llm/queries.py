@@ -199,6 +199,14 @@ select doc_id, leaf, subroot, root, sha256(sib) as proof_sha256, own as folded_r
 """
 
 
+def op13_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from pairloom.llm.first_fit import packing_report
+
+    return packing_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
@@ -212,6 +220,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_first_fit_packing": op13_first_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_chat_format": OP4_SQL, "op6_warc": OP6_SQL, "op11_fill_in_middle": OP11_SQL, "op12_merkle_manifest": OP12_SQL}

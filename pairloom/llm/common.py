@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_if_any(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
+    """The table, or None where there is none of that name."""
+    try:
+        return table(spark, sf_dir, name)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; a null text has none."""
     return text.encode().split() if text else []

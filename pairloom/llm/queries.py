@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm.common import table
+from pairloom.llm.common import table, table_if_any
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pairloom.llm.quality import quality_report
+    from pairloom.llm.quality import fit_bands, quality_report
 
-    return quality_report(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return quality_report(docs, fit_bands(docs, table_if_any(spark, sf_dir, "labels")))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,11 +91,41 @@ def test_verdicts_equal_a_second_implementation(spark, corpus):
     assert got[-6] is False and {got[-1], got[-2], got[-3]} != {None}
 
 
+def test_bands_fitted_to_labels_judge_held_out_documents(spark):
+    """Fitted to even documents, tried on odd ones that pass the base rule: 0.85 of the bad ones go, at most 2 % of the good ones."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    by = quality.fit_bands(docs, labels.where("doc_id % 2 = 0"))
+    tried = docs.join(labels.where("doc_id % 2 = 1"), "doc_id")
+    verdicts = {r.doc_id: r for r in quality.quality_report(tried, by).where("not base_failed").collect()}
+    kind = {r.doc_id: r.quality for r in labels.collect()}
+    rate = lambda q: sum(not r.kept for d, r in verdicts.items() if kind[d] == q) / sum(kind[d] == q for d in verdicts)
+    assert rate(0) >= 0.85 and rate(1) <= 0.02
+    assert {r.reason for r in verdicts.values()} >= {None, "repetitive"}
+
+
+def test_fit_handles_odd_labels(spark, corpus, empty):
+    labels = spark.createDataFrame([(0, 1), (0, 0), (None, 1), (5, None), (10**9, 0)], "doc_id long, quality int")
+    assert quality.fit_bands(corpus, labels) == quality.fit_bands(empty, labels) == quality.fit_bands(corpus, labels.where("false")) == quality.FIXED
+    r = random.Random(2)
+    sizes = [int(2 ** r.uniform(7, 15)) for _ in range(3000)]
+    good = [r.random() < 0.8 for _ in sizes]
+    ratios = [1 + 0.1 * n.bit_length() + r.uniform(-0.1, 0.1) + (0 if g else 0.3) for n, g in zip(sizes, good)]
+    import numpy as np
+
+    by = quality.fitted(np.array(sizes, float), np.array(ratios), np.array(good))
+    limits = [by.limits(2**k)[1] for k in range(5, 22)]
+    assert limits == sorted(limits) and all(1.05 + 0.1 * (k + 1) < by.limits(2**k)[1] < 1.3 + 0.1 * (k + 1) for k in range(8, 15))
+    assert quality.fitted(np.array(sizes, float), np.array(ratios), np.ones(len(sizes), bool)) == quality.FIXED
+
+
 def test_kept_documents_keep_their_columns(corpus, empty):
     kept = quality.keep_quality(corpus)
     assert kept.schema == corpus.schema
     want = {r.doc_id for r in quality.quality_report(corpus).where("kept").collect()}
     assert {r.doc_id for r in kept.collect()} == want and 20 < len(want) < 140
+    tight = quality.Bands(((8.0, 1.5), (12.0, 1.9)))
+    fewer = {r.doc_id for r in quality.keep_quality(corpus, tight).collect()}
+    assert fewer == {r.doc_id for r in quality.quality_report(corpus, tight).where("kept").collect()} and fewer < want
     assert quality.keep_quality(empty).count() == quality.quality_report(empty).count() == 0
 
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm.common import materialize, table
+from pairloom.llm.common import materialize, table, table_if_any
 from pairloom.llm.decontam import decontaminate
 from pairloom.llm.line_dedup import remove_shared_lines
 from pairloom.llm.packing import pack
-from pairloom.llm.quality import keep_quality
+from pairloom.llm.quality import fit_bands, keep_quality
 from pairloom.llm.simhash import drop_near_duplicates
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return keep_quality(docs)
+    """Documents that the quality rules reject go; the rules' limits are fitted to the labels."""
+    return keep_quality(docs, fit_bands(docs, table_if_any(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,9 +16,12 @@ rows are packed each. Other columns are ignored. Long texts are cut into pieces,
 
 from __future__ import annotations
 
+import json
+import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,33 +34,86 @@ REMEMBERED = 400_000
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 _PLACED = f"{_PIECES}, sequence_id long, offset long"
 _encoders: dict[str, WordEncoder] = {}
+#: Characters whose classes and lower case are the same in every library: printable ASCII without <, Latin letters, new lines between words.
+_PLAIN = re.compile("[\n!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u017f]+")
+#: The vocabulary's own parts of a word (fixed value), and the same for plain words in lower case.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|\n|[^a-z\u00df-\u00f6\u00f8-\u017f0-9\n]+")
 
 
 class WordEncoder:
     """Ids of whole texts under a vocabulary that drops white space and never joins what it parts.
 
     Such a text's ids are those of its words, one after the other; a test holds them against the tokenizers library's for
-    whole texts. Ids of words are remembered.
+    whole texts. Ids of words are remembered; those of words that a worker has not met are made together.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def word(self, word: bytes) -> bytes:
-        ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-        if len(self.known) < REMEMBERED:
-            self.known[word] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """The ids as unsigned 32-bit numbers."""
-        words = text.encode().split()  # at ASCII white space
-        ids = list(map(self.known.get, words))
-        if None in ids:
-            ids = [self.known.get(w) or self.word(w) if x is None else x for w, x in zip(words, ids, strict=True)]
-        return b"".join(ids)
+        self.tokenizer, self.known, self.plain = Tokenizer.from_file(path), {}, _plain_words(path)
+
+    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words as unsigned 32-bit numbers."""
+        plain = words
+        if self.plain is None:
+            plain = []
+        elif not _PLAIN.fullmatch(b"\n".join(words).decode()):
+            plain = [w for w in words if _PLAIN.fullmatch(w.decode())]
+        found = dict(zip(plain, self.plain(b"\n".join(plain).decode()), strict=True)) if plain else {}
+        for word in words if len(found) < len(words) else ():
+            if word not in found:
+                found[word] = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as unsigned 32-bit numbers."""
+        cut = [t.encode().split() for t in texts]  # at ASCII white space
+        new = self._new(list(set().union(*cut).difference(self.known)))
+        self.known |= new
+        out = [b"".join(map(self.known.__getitem__, words)) for words in cut]
+        if len(self.known) > REMEMBERED:
+            for word in new:
+                del self.known[word]
+        return out
+
+
+def _plain_words(path: str) -> Callable[[str], list[bytes]] | None:
+    """A faster encoder of the same vocabulary for lines of a word of _PLAIN characters each, or None if the file holds another kind.
+
+    A token that ends a word has a mark behind its last letter, here a byte that no such word has. The letter takes the
+    mark before any other merge, then the merges follow in the order of the vocabulary's numbers.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, steps = spec["model"], [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", ())]
+    cuts = [(x.get("type"), (x.get("pattern") or {}).get("Regex"), x.get("use_regex")) for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", ())]
+    if model.get("type") != "BPE" or model.get("end_of_word_suffix") != "</w>" or model.get("ignore_merges") or steps != ["NFC", "Replace", "Lowercase"] or cuts != [("Split", _CUT, None), ("ByteLevel", None, False)]:
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in such files
+    back = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(x for x in range(256) if x not in shown)}
+    special = {x["content"] for x in spec.get("added_tokens", ())}
+    merged = ["".join(m if not isinstance(m, str) else m.split(" ")) for m in model["merges"]]
+    if any(model["vocab"][m] != 512 + k for k, m in enumerate(merged)):
+        return None  # numbers must be the merges' ranks
+    ranks, numbers = {}, np.zeros(len(model["vocab"]) + 1, "<u4")
+    for token, number in model["vocab"].items():
+        ends = token.endswith("</w>")
+        raw = bytes(back[c] for c in token.removesuffix("</w>")) + (b"\0" if ends else b"") if token not in special else b"\0"
+        if raw[:1] != b"\0":
+            rank = number if number >= 512 else number - 256 if ends else number + 256
+            ranks[raw], numbers[rank] = rank, number
+    ranks[b"\0"] = len(model["vocab"])
+    quick, line = tiktoken.Encoding("words", pat_str="[^\0]*\0", mergeable_ranks=ranks, special_tokens={}), ranks[b"\n\0"]
+
+    def encode(lines: str) -> list[bytes]:
+        got = quick.encode_to_numpy("\0".join(_PART.findall(lines.lower())) + "\0\n\0", disallowed_special=())
+        ends, raw = np.flatnonzero(got == line), numbers[got].tobytes()
+        return [raw[lo:hi] for lo, hi in zip((4 * np.append(0, ends[:-1] + 1)).tolist(), (4 * ends).tolist(), strict=True)]
+
+    return encode
 
 
 def encoder(path: str) -> WordEncoder:
@@ -81,8 +137,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
         encode, end, most = encoder(vocabulary).encode, array("I", [END]).tobytes(), 4 * capacity
         for batch in slices(batches, 200):
             out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text or "") + end
+            for doc, ids in zip(batch.column(0).to_pylist(), encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+                ids += end
                 for k in range(0, len(ids), most):
                     part = ids[k : k + most]
                     out.append((doc, k // 4, len(part) // 4, len(ids) // 4, part))

@@ -27,9 +27,16 @@ def library(text):
 def test_ids_are_the_tokenizer_s(texts):
     e = first_fit.WordEncoder(VOCABULARY)
     odd = [" ", "  a", "a  b", "\n", "a\n b c", "é, b  c  d.", "<|endoftext|> a<|endoftext|> b<|startoftext|>", "a\u0085 b c", "​a b​ c", "don't 'll a's b ' s", "a\tb\x0bc\x1cd", "1, 22. c333. ٣. ²,", "𝒳. ǅ, ª. ʰ.", "a b  c", "é ́x ́", "Å ΑΣ ΣΑΣ, İ ß ﬁ", "가 ᅡᆨ", "a ̈ b", "😀😀 x😀"]
-    for t in [t for _, t in texts if t] + odd:
+    letters = [chr(k) for k in range(33, 0x250)]
+    r = random.Random(1)
+    odd += letters + ["".join(r.choices(letters, k=r.randint(1, 12))) for _ in range(3000)]
+    odd += ["".join(r.choices("abcdefghijklmnopqrstuvwxyzéß'S", k=r.randint(1, 14))) for _ in range(3000)]
+    assert e.plain is not None
+    assert e.encode(odd) == [library(t)[:-1].tobytes() for t in odd]
+    e = first_fit.WordEncoder(VOCABULARY)
+    for t in [t for _, t in texts if t] + odd[:20]:
         want = library(t)[:-1].tobytes()
-        assert e.encode(t) == want == e.encode(t)
+        assert e.encode([t]) == [want] == e.encode([t])
 
 
 @pytest.mark.parametrize("seed", range(40))

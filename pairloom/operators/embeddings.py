@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from itertools import accumulate
 
 import pandas as pd
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.models import MAX_LENGTH, MODELS, POOLS, checked_pool
 from pairloom.operators.entities import dense_numbers, ranked, with_base
+from pairloom.operators.supervised import Supervised
 
 
 def pool(df: DataFrame, key: str, pos: str, vector: str, how: str) -> DataFrame:
@@ -107,8 +107,9 @@ def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean",
     """(key, vector, error): pooled vectors of the texts by a registered extractor; `residue` gives (key, matrix, error).
 
     Ids that `done` has are left out. `before` and `after` rows of special tokens are cut off the matrix; `cls` is the
-    first row of all. A batch that fails, or takes longer than `seconds`, is halved until single rows are left, which
-    then carry the error; the model is loaded anew after each.
+    first row of all. A batch that fails is halved until single rows are left, which then carry the error; the model is
+    loaded anew after each. With `seconds` the model runs in a child process of the task: a batch that takes longer, or
+    ends that process, has failed, and the process is killed with all that it has started.
     """
     if how not in POOLS:
         raise ValueError(f"no pooling {how!r}; there are {', '.join(POOLS)}")
@@ -126,32 +127,32 @@ def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean",
         return (matrix[0].astype(float) if how == "cls" else rows.mean(axis=0) if how == "mean" else rows.max(axis=0)).tolist()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory()
-
-        def within(texts: list[str]) -> list:
-            if seconds is None:
-                return model(texts)
-            with ThreadPoolExecutor(1) as pool:
-                waits = pool.submit(model, texts)
-                try:
-                    return waits.result(timeout=seconds)
-                except TimeoutError:
-                    raise TimeoutError(f"more than {seconds} seconds") from None
+        made = factory if seconds is None else lambda: Supervised(factory, seconds)
+        model = made()
+
+        def fresh():
+            if seconds is not None:
+                model.close()
+            return made()
 
         def tried(texts: list[str]) -> list[tuple]:
             nonlocal model
             try:
-                return [(pooled(m), None) for m in within(texts)]
+                return [(pooled(m), None) for m in model(texts)]
             except Exception as e:  # noqa: BLE001 - becomes the row's error
-                model = factory()
+                model = fresh()
                 if len(texts) == 1:
                     return [(None, str(e))]
                 half = len(texts) // 2
                 return tried(texts[:half]) + tried(texts[half:])
 
-        for frame in frames:
-            found = tried([t if t is not None else "" for t in frame[text]]) if len(frame) else []
-            yield pd.DataFrame({key: frame[key], column: [v for v, _ in found], "error": [e for _, e in found]})
+        try:
+            for frame in frames:
+                found = tried([t if t is not None else "" for t in frame[text]]) if len(frame) else []
+                yield pd.DataFrame({key: frame[key], column: [v for v, _ in found], "error": [e for _, e in found]})
+        finally:
+            if seconds is not None:
+                model.close()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, {column} {'array<array<double>>' if how == 'residue' else 'array<double>'}, error string")

@@ -129,14 +129,48 @@ def hash_rank(seed: int | str, *keys: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
 
 
+def lowest(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
+    """The first n rows in an order that no two rows share, whatever n: no task or driver holds or sorts them all.
+
+    Rows are ranged by the order, sorted and written; the ranges' sizes tell which lie below the n-th row as a whole, and
+    only in the one range that it falls into do places count.
+    """
+    parts, sizes = ranked(df, *order)
+    ends = list(accumulate(sizes))
+    last = next((k for k, end in enumerate(ends) if end >= n), len(sizes))
+    inside = n - (ends[last - 1] if last else 0)
+    return parts.where((F.col("__part") < last) | (F.col("__part") == last) & (F.col("__at") < inside)).select(*df.columns)
+
+
+def lowest_hashes(df: DataFrame, n: int, rank: Column, keys: tuple[str, ...], priority: Column | None = None, digits: int = 3) -> DataFrame:
+    """The first n rows by priority, then by a hexadecimal hash, then by unique keys, whatever n.
+
+    The driver sees how many rows each priority and prefix of the hash has (4,096 prefixes). Cells below the n-th row are
+    taken as they are; only the one cell that it falls into is sorted.
+    """
+    first = F.lit(0.0) if priority is None else F.coalesce(priority.cast("double"), F.lit(float("-inf")))
+    x = df.withColumns({"__priority": first, "__rank": rank})
+    cell = F.substring("__rank", 1, digits)
+    counts = sorted((r["__priority"], r["__cell"], r.n) for r in x.groupBy("__priority", cell.alias("__cell")).agg(F.count("*").alias("n")).collect())
+    ends = list(accumulate(c for _, _, c in counts))
+    at = next((k for k, end in enumerate(ends) if end > n), None)
+    if at is None:
+        return df
+    p, prefix, _ = counts[at]
+    mine = F.col("__priority") == F.lit(p)
+    whole = x.where((F.col("__priority") < F.lit(p)) | mine & (cell < prefix))
+    opened = lowest(x.where(mine & (cell == prefix)), n - (ends[at - 1] if at else 0), "__rank", *keys)
+    return whole.unionByName(opened).drop("__priority", "__rank")
+
+
 def sample(df: DataFrame, n: int, seed: int | str, *keys: str) -> DataFrame:
-    """A uniform sample of n rows: those with the smallest seeded hashes of their unique keys (a distributed top-n)."""
-    return df.orderBy(hash_rank(seed, *keys), *keys).limit(n)
+    """A uniform sample of n rows: those with the smallest seeded hashes of their unique keys."""
+    return lowest_hashes(df, n, hash_rank(seed, *keys), keys)
 
 
 def sample_by_priority(df: DataFrame, n: int, priority: Column, seed: int | str, *keys: str) -> DataFrame:
     """n rows, the lower priority numbers used up first, each class in hash order."""
-    return df.orderBy(priority, hash_rank(seed, *keys), *keys).limit(n)
+    return lowest_hashes(df, n, hash_rank(seed, *keys), keys, priority)
 
 
 def hash_number(*parts: Column) -> Column:
@@ -185,7 +219,7 @@ def sample_negatives(positives: DataFrame, a: str, b: str, n: int, seed: int, we
         found = new if found is None else found.unionAll(new)
         first = found.groupBy(a, b).agg(F.min("k").alias("k"))
         if first.count() >= n:
-            return first.orderBy("k").limit(n).select(a, b)
+            return lowest(first, n, "k").select(a, b)
     raise ValueError(f"fewer than {n} negatives after {most_rounds} rounds")
 
 
@@ -221,7 +255,7 @@ def fill_negatives(pairs: DataFrame, a: str, b: str, label: str, per_positive: i
     if lacks > 0:
         more = sample_negatives(pairs, a, b, lacks, seed, False, exclude=given, known=undirected(positives, a, b))
         every = given.unionByName(more)
-    chosen = every.orderBy(a, b).limit(target)
+    chosen = lowest(every, target, a, b)
     return positives.select(a, b, F.lit(1).alias("label"), F.lit("positive").alias("category")).unionByName(chosen.select(a, b, F.lit(0).alias("label"), F.lit("negative_sampled").alias("category")))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.pairs import exclude_endpoints, exclude_pairs, hash_rank, undirected
+from pairloom.operators.pairs import exclude_endpoints, exclude_pairs, hash_rank, sample, undirected
 
 
 def tainted_members(clusters: DataFrame, holdout_ids: DataFrame, member: str, cluster: str) -> DataFrame:
@@ -28,7 +28,7 @@ def sample_holdout(positives: DataFrame, keys: list[str], n_val: int, n_test: in
     """(keys, part): the first n_val rows in seeded order are `val`, the next n_test `test`."""
     from pairloom.operators.entities import dense_numbers
 
-    top = positives.withColumn("__h", hash_rank(seed, *keys)).orderBy("__h", *keys).limit(n_val + n_test)
+    top = sample(positives, n_val + n_test, seed, *keys).withColumn("__h", hash_rank(seed, *keys))
     ranked = dense_numbers(top, "__h", *keys)
     return ranked.select(*keys, F.when(F.col("number") < n_val, "val").otherwise("test").alias("part"))
 

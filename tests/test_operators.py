@@ -365,3 +365,51 @@ def test_entry_and_registration(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
+
+
+def test_large_samples_are_the_top_of_the_order(spark):
+    """Equal to sorting all rows, for any number, with NULL priorities first, and without a limit in the plan."""
+    rows = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("p"), F.lit("x").alias("rank"))
+    h = pairs.hash_rank(9, "k")
+    for n in (0, 1, 7, 999, 1000, 1001, 2500, 3000, 5000):
+        want = [r.k for r in rows.orderBy(h, "k").limit(n).collect()]
+        got = pairs.sample(rows, n, 9, "k")
+        assert sorted(r.k for r in got.collect()) == sorted(want) and got.columns == rows.columns
+        assert "Limit" not in got._jdf.queryExecution().toString()
+    p = F.when(F.col("p") == 1, None).otherwise(F.col("p"))
+    for n in (500, 1500, 2400):
+        want = sorted(r.k for r in rows.orderBy(p.asc_nulls_first(), h, "k").limit(n).collect())
+        assert sorted(r.k for r in pairs.sample_by_priority(rows, n, p, 9, "k").collect()) == want
+        assert sorted(r.k for r in pairs.lowest(rows, n, F.desc("k")).collect()) == list(range(3000 - n, 3000))
+    assert pairs.sample(rows.where("false"), 5, 1, "k").count() == pairs.lowest(rows.where("false"), 5, "k").count() == 0
+
+
+def test_hanging_and_dying_models_cost_their_rows_only(spark):
+    import time
+
+    def factory():
+        import os
+        import time
+
+        import numpy as np
+
+        def model(texts):
+            if any("hang" in t for t in texts):
+                time.sleep(10**6)
+            if any("die" in t for t in texts):
+                os._exit(3)
+            if any("bad" in t for t in texts):
+                raise ValueError("no such letter")
+            return [np.full((2, 3), float(len(t))) for t in texts]
+
+        return model
+
+    embeddings.register_extractor("unruly", 3, factory)
+    rows = [(k, "x" * (k + 1)) for k in range(12)] + [(20, "hang"), (21, "die"), (22, "bad"), (23, "hang")]
+    df = spark.createDataFrame(rows, "k long, t string").coalesce(1)
+    began = time.monotonic()
+    got = {r.k: r for r in embeddings.embed(df, "k", "t", "unruly", seconds=1.0).collect()}
+    assert time.monotonic() - began < 60  # each of the few halves that hold a hanging text waits a second
+    assert {k: r.error for k, r in got.items() if k < 20} == dict.fromkeys(range(12)) and list(got[4].vector) == [5.0] * 3
+    assert "more than 1.0 seconds" in got[20].error and got[20].error == got[23].error
+    assert "process ended" in got[21].error and "no such letter" in got[22].error and got[21].vector is None

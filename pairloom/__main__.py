@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pairloom import catalog
-from pairloom.operators import clusters, contract, embeddings, matching, pairs
+from pairloom.operators import alignment, clusters, contract, embeddings, matching, pairs
 from pairloom.plans import build, collections, host, split
 from pairloom.sources import readers, writers
 
@@ -76,12 +76,13 @@ def _fill(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _cluster_map(spark: SparkSession, a: argparse.Namespace) -> None:
     sequences = readers.read_sequences(spark, a.sequences)
-    writers.write_delimited(clusters.cluster(sequences, "id", "sequence", a.similarity), a.out, key="id")
+    found = clusters.cluster(sequences, "id", "sequence", a.similarity) if a.similarity else alignment.cluster_by_alignment(sequences, "id", "sequence", a.identity, a.coverage)
+    writers.write_delimited(found, a.out, key="id")
 
 
 def _homology(spark: SparkSession, a: argparse.Namespace) -> None:
-    hits = clusters.alike(readers.read_sequences(spark, a.queries), readers.read_sequences(spark, a.targets), "id", "sequence", a.identity)
-    writers.write_delimited(matching.best_hits(hits, "target", a.identity, "identity", "shared", "query"), a.out, key="target")
+    hits = alignment.search(readers.read_sequences(spark, a.queries), readers.read_sequences(spark, a.targets), "id", "sequence", a.identity, a.coverage, a.max_seqs)
+    writers.write_delimited(matching.best_hits(hits, "target", a.identity, "identity", "score", "query"), a.out, key="target")
 
 
 def _host_corpus(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -133,8 +134,8 @@ COMMANDS: dict[str, tuple[str, Callable, list[str], dict[str, dict]]] = {
     "split": ("make a leakage-safe split", _split, ["folder", "out"], {f"--{n}": {"default": ""} for n in ("clusters", "val", "test", "preferred")} | {f"--{n}": {"type": int, "default": 0} for n in ("val-pos", "test-pos", "val-neg", "test-neg", "seed")}),
     "negatives": ("sample negatives for each positive", _negatives, ["positives", "out"], {"--exclude": {}, "--per-positive": {"type": float, "default": 10.0}, "--most": {"type": int}, "--strategy": {"choices": ("degree", "uniform"), "default": "degree"}, "--seed": {"type": int, "default": 42}, "--no-positives": {"action": "store_true"}}),
     "fill-negatives": ("given negatives, and random ones until there are enough", _fill, ["pairs", "out"], {"--per-positive": {"type": int, "default": 1000}, "--seed": {"type": int, "default": 42}}),
-    "cluster-map": ("clusters of sequences by shared shingles", _cluster_map, ["sequences", "out"], {"--similarity": {"type": float, "default": 0.4}}),
-    "homology": ("best hits of targets among queries", _homology, ["queries", "targets", "out"], {"--identity": {"type": float, "default": 0.6}}),
+    "cluster-map": ("clusters of sequences by alignment, or by shared shingles", _cluster_map, ["sequences", "out"], {"--identity": {"type": float, "default": 0.4}, "--coverage": {"type": float, "default": 0.8}, "--similarity": {"type": float, "help": "of shingle sets, in place of an alignment"}}),
+    "homology": ("best hits of targets among queries", _homology, ["queries", "targets", "out"], {"--identity": {"type": float, "default": 0.6}, "--coverage": {"type": float, "default": 0.0}, "--max-seqs": {"type": int, "default": 100_000}}),
     "host-corpus": ("standardise tables of host and pathogen pairs", _host_corpus, ["out"], {"--raw": {}, "--split": {}, "--order": {"default": "UNIPROT_HUMAN,UNIPROT_VIRUS"}}),
     "host-benchmarks": ("benchmark subsets of a host corpus by content id", _host_benchmarks, ["pairs", "subsets", "out"], {}),
     "embed": ("vectors of sequences by a registered extractor", _embed, ["sequences", "model", "out"], {"--pool": {}, "--per-residue": {"action": "store_true"}, "--mean-pool": {"action": "store_true"}}),

@@ -1,8 +1,8 @@
-"""Sequence clusters: a given cluster map, or the native approximation by shingles.
+"""Sequence clusters by shingles, and the clusters of a split.
 
-Alignment-based clustering is an external engine's work and enters as a cluster map (representative, member). The
-native form links sequences that share a key of minimum shingle hashes and whose shingle sets overlap enough, to the
-group's first sequence or, where that leaves classes apart, to any other of the group, and takes connected components.
+Clusters by alignment are in alignment.py, or enter as a cluster map (representative, member). Here sequences are linked
+that share a key of minimum shingle hashes and whose shingle sets overlap enough, to the group's first sequence or, where
+that leaves classes apart, to any other of the group; clusters are the connected components.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.operators.alignment import cluster_by_alignment
 from pairloom.operators.tables import written
 
 K = 5
@@ -170,15 +171,15 @@ def alike(queries: DataFrame, targets: DataFrame, key: str, sequence: str, least
     return met.join(sizes_q, "query").join(sizes_t, "target").select("query", "target", share.alias("identity"), "shared").where(F.col("identity") >= least)
 
 
-def cluster_for_holdout(df: DataFrame, key: str, sequence: str, holdout: DataFrame, least: float = 0.4, kept_at: str | None = None) -> DataFrame:
-    """(id, cluster) for a split: none without a positive holdout, as nothing can leak; read from `kept_at` if it is there."""
+def cluster_for_holdout(df: DataFrame, key: str, sequence: str, holdout: DataFrame, identity: float = 0.4, coverage: float = 0.8, kept_at: str | None = None) -> DataFrame:
+    """(id, cluster) for a split, by alignment: none without a positive holdout, as nothing can leak; read from `kept_at` if it is there."""
     spark = df.sparkSession
     if holdout.isEmpty():
         kind = df.schema[key].dataType.simpleString()
         return spark.createDataFrame([], f"id {kind}, cluster {kind}")
     if kept_at is None:
-        return cluster(df, key, sequence, least)
+        return cluster_by_alignment(df, key, sequence, identity, coverage)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{kept_at}/_SUCCESS")
     if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        cluster(df, key, sequence, least).write.mode("overwrite").parquet(kept_at)
+        cluster_by_alignment(df, key, sequence, identity, coverage).write.mode("overwrite").parquet(kept_at)
     return spark.read.parquet(kept_at)

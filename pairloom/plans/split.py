@@ -80,7 +80,7 @@ def _take(rows: DataFrame, n: int, seed: int | str, what: str, priority=None) ->
 def split(pairs: DataFrame, cluster_map: DataFrame | None, sequences: DataFrame, sizes: Sizes, seed: int, val: DataFrame | None = None, test: DataFrame | None = None, preferred: list[str] | None = None, clusters_at: str | None = None, content_ids: bool = False) -> dict[str, DataFrame]:
     """val, test, train (ID_1, ID_2, label), the flagged cluster map and the used sequences (id, sequence).
 
-    pairs is mapped_pairs(); cluster_map (member, cluster) comes from an alignment tool, or is made from shingles (kept at
+    pairs is mapped_pairs(); cluster_map (member, cluster) comes from an alignment tool, or is made by alignment (kept at
     clusters_at, if given, and read from there the next time). With content_ids every held endpoint must be an MD5.
     """
     keys = ["ID_1", "ID_2"]

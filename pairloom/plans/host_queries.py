@@ -145,7 +145,7 @@ def chosen_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.containing(M.of_length(x, "text", 200, 5000), "text", "the").select("doc_id", "source", "n_chars")
 
 
-@query(f"""with {RAW_PAIRS}, pos as (select distinct a, b from raw where label = 1 and row % 40 = 0 and a <> b), known as (select distinct least(a, b) as a, greatest(a, b) as b from pos),
+@query(f"""with {RAW_PAIRS}, pos as (select distinct a, b from raw where label = 1 and a <> b), known as (select distinct least(a, b) as a, greatest(a, b) as b from pos),
 n as (select count(*) as positives, least(round_even(count(*) * 1.5, 0)::bigint, 3000) as wanted from pos),
 weights as (select node, count(*) as w from (select a as node from pos union all select b from pos) group by 1),
 ranges as (select node, sum(w) over (order by node) - w as lo, sum(w) over (order by node) as hi, sum(w) over () as total from weights),
@@ -157,17 +157,17 @@ new as (select f.a, f.b, row_number() over (order by k) as r from firsts f where
 select a, b, 1 as label, 'positive' as category from pos union all select a, b, 0, 'negative_degree' from new, n where r <= wanted""")
 def negatives_by_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct positives and one and a half negatives for each, 3,000 at most."""
-    x = raw_pairs(spark, sf_dir).where("label = 1 and row % 40 = 0")
+    x = raw_pairs(spark, sf_dir).where("label = 1")
     return P.with_negatives(x, "a", "b", 1.5, 4, most=3000)
 
 
-@query(f"""with {RAW_PAIRS}, chosen as (select a, b, label from raw where row % 2000 = 1), pos as (select a, b from chosen where label = 1), known as (select distinct least(a, b) as a, greatest(a, b) as b from pos),
+@query(f"""with {RAW_PAIRS}, chosen as (select a, b, label from raw), pos as (select a, b from chosen where label = 1), known as (select distinct least(a, b) as a, greatest(a, b) as b from pos),
 given as (select distinct least(a, b) as a, greatest(a, b) as b from chosen where label = 0),
-n as (select 20 * (select count(*) from pos) as target, 20 * (select count(*) from pos) - (select count(*) from given) as lacks),
+n as (select (select count(*) from pos) as target, (select count(*) from pos) - (select count(*) from given) as lacks),
 weights as (select node, 1 as w from (select a as node from chosen union select b from chosen)),
 ranges as (select node, sum(w) over (order by node) - w as lo, sum(w) over (order by node) as hi, sum(w) over () as total from weights),
 draws as (select k, ('0x' || substr(md5((k // greatest(64, 2 * lacks) + 8) || ':left:' || k % greatest(64, 2 * lacks)), 1, 15))::bigint % total as x, ('0x' || substr(md5((k // greatest(64, 2 * lacks) + 8) || ':right:' || k % greatest(64, 2 * lacks)), 1, 15))::bigint % total as y
-  from range(30000) t(k), n, (select max(total) as total from ranges)),
+  from (select unnest(range(6 * greatest(64, 2 * lacks))) as k from n), n, (select max(total) as total from ranges)),
 drawn as (select d.k, l.node as u, r.node as v from draws d join ranges l on d.x >= l.lo and d.x < l.hi join ranges r on d.y >= r.lo and d.y < r.hi where l.node <> r.node),
 firsts as (select least(u, v) as a, greatest(u, v) as b, min(k) as k from drawn group by 1, 2),
 new as (select f.a, f.b, row_number() over (order by k) as r from firsts f where not exists (select 1 from known p where p.a = f.a and p.b = f.b) and not exists (select 1 from given g where g.a = f.a and g.b = f.b)),
@@ -175,8 +175,8 @@ every as (select a, b from given union all select a, b from new, n where r <= la
 kept as (select a, b, row_number() over (order by a, b) as r from every)
 select a, b, 1 as label, 'positive' as category from pos union all select a, b, 0, 'negative_sampled' from kept, n where r <= target""")
 def negatives_filled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Given negatives first, random ones until there are twenty for each positive."""
-    return P.fill_negatives(raw_pairs(spark, sf_dir).where("row % 2000 = 1").select("a", "b", "label"), "a", "b", "label", 20, 8)
+    """Given negatives first, random ones until there is one for each positive."""
+    return P.fill_negatives(raw_pairs(spark, sf_dir).select("a", "b", "label"), "a", "b", "label", 1, 8)
 
 
 _INTERACTIONS = f"""with {RAW_PAIRS}, g as (select a, b, max(label) as label, count(distinct source) as n_sources, array_to_string(list_sort(list_distinct(list(source))), ';') as sources, list_sort(list_distinct(flatten(list(string_split(evidence, ';'))))) as tags from canon where a <> b group by 1, 2)"""

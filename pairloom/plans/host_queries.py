@@ -148,10 +148,11 @@ def chosen_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {RAW_PAIRS}, pos as (select distinct a, b from raw where label = 1 and a <> b), known as (select distinct least(a, b) as a, greatest(a, b) as b from pos),
 n as (select count(*) as positives, least(round_even(count(*) * 1.5, 0)::bigint, 3000) as wanted from pos),
 weights as (select node, count(*) as w from (select a as node from pos union all select b from pos) group by 1),
-ranges as (select node, sum(w) over (order by node) - w as lo, sum(w) over (order by node) as hi, sum(w) over () as total from weights),
-draws as (select k, ('0x' || substr(md5((k // greatest(64, 2 * wanted) + 4) || ':left:' || k % greatest(64, 2 * wanted)), 1, 15))::bigint % total as x, ('0x' || substr(md5((k // greatest(64, 2 * wanted) + 4) || ':right:' || k % greatest(64, 2 * wanted)), 1, 15))::bigint % total as y
-  from range(30000) t(k), n, (select max(total) as total from ranges)),
-drawn as (select d.k, l.node as u, r.node as v from draws d join ranges l on d.x >= l.lo and d.x < l.hi join ranges r on d.y >= r.lo and d.y < r.hi where l.node <> r.node),
+ranges as materialized (select node, sum(w) over (order by node) - w as lo, sum(w) over (order by node) as hi, sum(w) over () as total from weights),
+draws as materialized (select k, ('0x' || substr(md5((k // greatest(64, 2 * wanted) + 4) || ':left:' || k % greatest(64, 2 * wanted)), 1, 15))::bigint % total as x, ('0x' || substr(md5((k // greatest(64, 2 * wanted) + 4) || ':right:' || k % greatest(64, 2 * wanted)), 1, 15))::bigint % total as y
+  from (select unnest(range(5 * greatest(64, 2 * wanted))) as k from n), n, (select max(total) as total from ranges)),
+half as materialized (select d.k, d.y, l.node as u from draws d join ranges l on d.x >= l.lo and d.x < l.hi),
+drawn as (select k, u, r.node as v from half d join ranges r on d.y >= r.lo and d.y < r.hi where u <> r.node),
 firsts as (select least(u, v) as a, greatest(u, v) as b, min(k) as k from drawn group by 1, 2),
 new as (select f.a, f.b, row_number() over (order by k) as r from firsts f where not exists (select 1 from known p where p.a = f.a and p.b = f.b))
 select a, b, 1 as label, 'positive' as category from pos union all select a, b, 0, 'negative_degree' from new, n where r <= wanted""")

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from pairloom.functions.sequences import gapless, interleave, rare_to_x
 
@@ -73,6 +74,35 @@ def quantised_ids(tokens: Column, length: Column, most: int = MAX_LENGTH) -> Col
     return F.concat(F.array(F.lit(QUANTISED_START)), body, F.array(F.lit(QUANTISED_END)))
 
 
+def with_quantised(residues: Column, tokens: Column, most: int = MAX_LENGTH) -> Column:
+    """Residues to the model's length, a line, and the ids of their structure tokens."""
+    ids = F.array_join(quantised_ids(tokens, F.length(residues), most).cast("array<string>"), " ")
+    return F.concat(F.substring(residues, 1, most), F.lit("\n"), ids)
+
+
+#: Models that take a structure beside the residues: how both are joined.
+TWO_INPUTS: dict[str, Callable[[Column, Column, int], Column]] = {"saprot": woven, "prosst": with_quantised}
+
+
+def two_inputs(model: str, residues: DataFrame, structure: DataFrame, key: str = "id", sequence: str = "sequence", most: int = MAX_LENGTH) -> tuple[DataFrame, DataFrame]:
+    """(key, text) of ids that have residues and a structure, joined as the model takes them, and a row of counts.
+
+    The counts are `given` ids with residues, `missing` ones without a structure, `uneven` ones whose two lengths differ
+    (the shorter one counts), and `truncated` ones of which more than the model's length is there. The structure's column
+    is `sequence` too: letters, or an array of tokens. A key has one row on each side.
+    """
+    x = residues.select(key, F.col(sequence).alias("__r")).join(structure.select(key, F.col(sequence).alias("__s")), key, "left")
+    size = F.size("__s") if isinstance(structure.schema[sequence].dataType, ArrayType) else F.length("__s")
+    has = F.col("__r").isNotNull() & F.col("__s").isNotNull()
+    counted = x.agg(
+        F.count("__r").alias("given"),
+        F.count_if(F.col("__r").isNotNull() & F.col("__s").isNull()).alias("missing"),
+        F.count_if(has & (F.length("__r") != size)).alias("uneven"),
+        F.count_if(has & (F.least(F.length("__r"), size) > most)).alias("truncated"),
+    )
+    return x.where(has).select(key, TWO_INPUTS[model](F.col("__r"), F.col("__s"), most).alias("text")), counted
+
+
 #: The supported models by name; None where the vector's length is the model's own hidden size.
 MODELS: dict[str, Model] = {
     "esm2": Model(1280, cut),

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.models import MAX_LENGTH, MODELS, POOLS, checked_pool
+from pairloom.functions.models import MAX_LENGTH, MODELS, POOLS, checked_pool, two_inputs
 from pairloom.operators.entities import dense_numbers, ranked, with_base
 from pairloom.operators.supervised import Supervised
 
@@ -158,10 +158,18 @@ def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean",
     return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, {column} {'array<array<double>>' if how == 'residue' else 'array<double>'}, error string")
 
 
-def embed_by_model(df: DataFrame, key: str, sequence: str, model: str, pool: str | None = None, done: DataFrame | None = None, **flags: bool) -> DataFrame:
-    """embed() with a model's own rules: its letters and length, the tokens it adds, and the pooling that flags ask for."""
+def embed_by_model(df: DataFrame, key: str, sequence: str, model: str, pool: str | None = None, done: DataFrame | None = None, structure: DataFrame | None = None, seconds: float | None = None, **flags: bool) -> DataFrame:
+    """embed() with a model's own rules: its letters and length, the tokens it adds, and the pooling that flags ask for.
+
+    A model that takes a structure beside the residues gets both joined; ids without one are left out (two_inputs() in
+    functions/models.py counts them).
+    """
     rules = MODELS[model]
-    return embed(df.select(key, rules.text(F.col(sequence), MAX_LENGTH).alias("__text")), key, "__text", model, checked_pool(model, pool, **flags), done, rules.before, rules.after)
+    if structure is None:
+        texts = df.select(key, rules.text(F.col(sequence), MAX_LENGTH).alias("__text"))
+    else:
+        texts = two_inputs(model, df, structure, key, sequence)[0].withColumnRenamed("text", "__text")
+    return embed(texts, key, "__text", model, checked_pool(model, pool, **flags), done, rules.before, rules.after, seconds)
 
 
 def precomputed(ids: DataFrame, matrix: DataFrame, key: str, pos: str, vector: str) -> DataFrame:

@@ -236,3 +236,24 @@ def structure_header_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     md5 = F.filter("found", lambda y: y.rlike("^[0-9a-f]{32}$"))
     structure = F.filter("found", lambda y: y == S.structure_stem(F.element_at(F.split(word, "/"), -1)))
     return x.select("page_id", F.array_join(md5, ";").alias("md5"), word.alias("word"), structure[0].alias("structure"))
+
+
+_TWO = """r as (select doc_id, regexp_replace(upper(replace(text, 'ß', '')), '[^A-Z]', '', 'g') as r, case when doc_id % 7 <> 0 then regexp_replace(lower(lang || text), '[^a-z]', '', 'g') end as s from documents)"""
+
+
+@query(f"""with {_TWO} select doc_id, array_to_string(list_transform(range(1, least(length(r), length(s), 1024) + 1), lambda i: r[i] || s[i]), '') as text from r where s is not null""")
+def two_input_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residues and structure letters joined for a model that takes both, for the documents that have both."""
+    return _two_inputs(spark, sf_dir)[0]
+
+
+@query(f"""with {_TWO} select count(*) as given, count(*) filter (where s is null) as missing, count(*) filter (where length(r) <> length(s)) as uneven, count(*) filter (where s is not null and least(length(r), length(s)) > 1024) as truncated from r""")
+def two_input_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_inputs(spark, sf_dir)[1]
+
+
+def _two_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = load(spark, sf_dir, "documents")
+    residues = docs.select("doc_id", F.regexp_replace(F.upper(F.replace(F.col("text"), F.lit("ß"), F.lit(""))), "[^A-Z]", "").alias("sequence"))
+    structure = docs.where("doc_id % 7 <> 0").select("doc_id", F.regexp_replace(F.lower(F.concat("lang", "text")), "[^a-z]", "").alias("sequence"))
+    return models.two_inputs("saprot", residues, structure, "doc_id")

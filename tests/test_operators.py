@@ -413,3 +413,24 @@ def test_hanging_and_dying_models_cost_their_rows_only(spark):
     assert {k: r.error for k, r in got.items() if k < 20} == dict.fromkeys(range(12)) and list(got[4].vector) == [5.0] * 3
     assert "more than 1.0 seconds" in got[20].error and got[20].error == got[23].error
     assert "process ended" in got[21].error and "no such letter" in got[22].error and got[21].vector is None
+
+
+def test_models_with_two_inputs(spark):
+    import numpy as np
+
+    from pairloom.functions import models
+
+    said = lambda: lambda texts: [np.array([[0.0]] + [[float(ord(c))] for c in t] + [[0.0]]) for t in texts]
+    residues = spark.createDataFrame([("a", "MKT"), ("b", "AC"), ("c", None), ("d", "W"), ("e", "A" * 2000)], "id string, sequence string")
+    letters = spark.createDataFrame([("a", "DVp"), ("b", "ddd"), ("c", "v"), ("x", "v"), ("e", "d" * 1500)], "id string, sequence string")
+    texts, counts = models.two_inputs("saprot", residues, letters)
+    assert dict(map(tuple, texts.collect())) == {"a": "MdKvTp", "b": "AdCd", "e": "Ad" * 1024} and tuple(counts.first()) == (4, 1, 2, 1)
+    tokens = spark.createDataFrame([("a", [5, 6, 7, 8]), ("d", [0])], "id string, sequence array<int>")
+    texts, counts = models.two_inputs("prosst", residues, tokens)
+    assert dict(map(tuple, texts.collect())) == {"a": "MKT\n1 8 9 10 2", "d": "W\n1 3 2"} and tuple(counts.first()) == (4, 2, 1, 0)
+    embeddings.register_extractor("saprot", 1, said)
+    try:
+        got = {r.id: r.vector for r in embeddings.embed_by_model(residues, "id", "sequence", "saprot", structure=letters, seconds=30.0).collect()}
+    finally:
+        del embeddings.EXTRACTORS["saprot"]
+    assert set(got) == {"a", "b", "e"} and abs(got["b"][0] - sum(map(ord, "AdCd")) / 4) < 1e-9

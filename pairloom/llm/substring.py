@@ -240,8 +240,10 @@ def solve(strings: DataFrame, depth: int = 0) -> DataFrame:
     crowded = materialize(strings.groupBy("key").agg(F.count("*").alias("strings")).where(F.col("strings") > GROUP).select("key"), "crowded")
     calm = strings.join(crowded, "key", "left_anti").select("key", "h", "least", "most", "packed")
     found = calm.repartition("key").sortWithinPartitions("key", "h").mapInArrow(_buckets, _FOUND)
-    if depth == 2 or crowded.isEmpty():
+    if crowded.isEmpty():
         return found
+    if depth == 2:
+        raise RuntimeError(f"more than {GROUP} different windows share a hash of 64 bits")
     split = _splitter((around_minimiser, single_windows)[depth])
     dense = strings.join(crowded, "key", "left_semi").select("key", "h", "least", "most", "packed")
     pieces = materialize(dense.mapInArrow(split, f"{_STRING}, of_key long, of_h long, base int"), "pieces")

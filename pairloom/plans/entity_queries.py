@@ -340,3 +340,24 @@ def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import pairloom.functions.extractors  # noqa: F401 - registers it
 
     return V.embed(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "hashed-letters")
+
+
+_NET = "((layer * 13 + place * 7 + input * 3 + output * 5) % 11 - 5) / 10.0"
+
+
+@query(f"""with cells as (select vec_id, (i - 1) // 4 as p, (i - 1) % 4 as d, len(embedding) // 4 as n, embedding[i]::double as x from (select vec_id, embedding, unnest(range(1, len(embedding) // 4 * 4 + 1)) as i from embeddings)),
+w as (select layer, place, input, output, {_NET} as value from range(2) l(layer), range(3) k(place), range(6) i(input), range(6) o(output)),
+one as (select vec_id, p - place + 1 as p, n, output as d, greatest(0, sum(x * value) - 0.1 * output) as x from cells join w on layer = 0 and input = d where p - place + 1 between 0 and n - 1 group by 1, 2, 3, 4),
+two as (select vec_id, p - place + 1 as p, output as d, sum(x * value) as x from one join w on layer = 1 and input = d and output < 5 where p - place + 1 between 0 and n - 1 group by 1, 2, 3),
+best as (select vec_id, p, 'dpvlq'[(list(d order by x desc, d))[1] + 1] as letter from two group by 1, 2)
+select vec_id, string_agg(letter, '' order by p) as letters from best group by 1""")
+def structure_letters_by_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Letters for vectors read as rows of four numbers, by a head of two layers whose weights follow a rule."""
+    from pairloom.operators.convolution import structure_letters
+
+    every = [spark.range(n).select(F.col("id").alias(c)) for c, n in (("layer", 2), ("place", 3), ("input", 6), ("output", 6))]
+    w = every[0].crossJoin(every[1]).crossJoin(every[2]).crossJoin(every[3]).withColumn("value", F.expr(_NET).cast("double"))  # 216 numbers
+    w = w.where("layer = 0 and input < 4 or layer = 1 and output < 5")
+    bias = every[3].select(F.lit(0).cast("long").alias("layer"), F.lit(None).cast("long").alias("place"), F.lit(None).cast("long").alias("input"), "output", (F.col("output") * -0.1).cast("double").alias("value"))
+    rows = F.expr("transform(sequence(0, size(embedding) div 4 - 1), p -> cast(slice(embedding, p * 4 + 1, 4) as array<double>))")
+    return structure_letters(load(spark, sf_dir, "embeddings").select("vec_id", rows.alias("matrix")), "vec_id", "matrix", w.unionByName(bias), "dpvlq")

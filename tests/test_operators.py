@@ -434,3 +434,18 @@ def test_models_with_two_inputs(spark):
     finally:
         del embeddings.EXTRACTORS["saprot"]
     assert set(got) == {"a", "b", "e"} and abs(got["b"][0] - sum(map(ord, "AdCd")) / 4) < 1e-9
+
+
+def test_structure_letters_handle_odd_matrices(spark):
+    from pairloom.operators.convolution import structure_letters
+
+    w = spark.createDataFrame([(0, 0, 0, 0, 1.0), (0, 1, 0, 1, 2.0), (0, 2, 1, 0, -1.0), (0, None, None, 1, 0.5), (1, 0, 0, 0, 1.0), (1, 0, 1, 1, 1.0)], "layer int, place int, input int, output int, value double")
+    df = spark.createDataFrame([(1, [[1.0, 0.0], [5.0, 9.0], [0.0, 0.0]]), (2, []), (3, None), (4, [[1.0]]), (5, [[1.0, 2.0], None])], "k int, m array<array<double>>")
+    got = dict(map(tuple, structure_letters(df, "k", "m", w, "ab").collect()))
+    # Row 0: a = -9 -> 0, b = 2.5; row 1: a = 1, b = 10.5; row 2: a = 5, b = 0.5.
+    assert got == {1: "bba", 2: "", 3: None, 4: None, 5: None}
+    assert structure_letters(df.where("false"), "k", "m", w, "ab").count() == 0
+    with pytest.raises(ValueError, match="each of 3 letters"):
+        structure_letters(df, "k", "m", w, "abc")
+    with pytest.raises(ValueError, match="odd number"):
+        structure_letters(df, "k", "m", w.where("place is null or place < 2"), "ab")

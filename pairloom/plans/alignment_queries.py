@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.alignment import cluster_by_alignment, residues_of, search
+from pairloom.operators.tables import written
 from pairloom.plans.registry import load, query
 
 
@@ -14,7 +15,9 @@ def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     x = load(spark, sf_dir, "documents").select("doc_id", words.alias("w"))
     threes = F.transform("w", lambda w, k: F.xxhash64(w, F.get("w", k + 1), F.get("w", k + 2)))
-    return x.select("doc_id", residues_of(F.slice(threes, F.lit(1), F.greatest(F.size("w") - 2, F.lit(0)))).alias("sequence"))
+    made = x.select("doc_id", residues_of(F.slice(threes, F.lit(1), F.greatest(F.size("w") - 2, F.lit(0)))).alias("sequence"))
+    # Written, as a condition on the chains would else be pushed below and split the text once more for each of its words.
+    return written(made, "chains")
 
 
 @query()

@@ -20,6 +20,8 @@ POOLS = ("mean", "max", "cls", "residue")
 #: Token ids of the structure alphabet and of the two directions, in the vocabulary of the bilingual model (fixed values).
 STRUCTURE_LETTERS = "algvsredtipkfqnymhwc"
 FIRST_STRUCTURE_ID, UNKNOWN_ID, END_ID, TO_RESIDUES_ID, TO_STRUCTURE_ID = 128, 2, 1, 148, 149
+#: Residues stand in the same order in that vocabulary, the unknown residue behind them (fixed values).
+RESIDUE_LETTERS, FIRST_RESIDUE_ID = STRUCTURE_LETTERS.upper() + "X", 3
 #: Structure tokens of the quantised model are shifted by this, behind its start and before its end (fixed values).
 QUANTISED_SHIFT, QUANTISED_START, QUANTISED_END = 3, 1, 2
 
@@ -47,12 +49,28 @@ def spaced(s: Column, most: int = MAX_LENGTH) -> Column:
     return F.array_join(F.split(rare_to_x(s, most), ""), " ")
 
 
+def _letter_ids(s: Column, letters: str, first: int, direction: int) -> Column:
+    """A token id for each letter behind the direction's token and before the end."""
+    known = F.create_map(*(x for k, c in enumerate(letters) for x in (F.lit(c), F.lit(first + k))))
+    body = F.transform(F.filter(F.split(s, ""), lambda c: c != ""), lambda c: F.coalesce(known[c], F.lit(UNKNOWN_ID)))
+    return F.concat(F.array(F.lit(direction)), body, F.array(F.lit(END_ID)))
+
+
 def structure_ids(s: Column, most: int = MAX_LENGTH) -> Column:
     """Token ids of structure letters behind the direction's token and before the end."""
-    known = F.create_map(*(x for k, c in enumerate(STRUCTURE_LETTERS) for x in (F.lit(c), F.lit(FIRST_STRUCTURE_ID + k))))
-    letters = F.filter(F.split(F.lower(F.substring(s, 1, most)), ""), lambda c: c != "")
-    body = F.transform(letters, lambda c: F.coalesce(known[c], F.lit(UNKNOWN_ID)))
-    return F.concat(F.array(F.lit(TO_RESIDUES_ID)), body, F.array(F.lit(END_ID)))
+    return _letter_ids(F.lower(F.substring(s, 1, most)), STRUCTURE_LETTERS, FIRST_STRUCTURE_ID, TO_RESIDUES_ID)
+
+
+def residue_ids(s: Column, most: int = MAX_LENGTH) -> Column:
+    """Token ids of residues, rare ones as X, behind the direction's token and before the end."""
+    return _letter_ids(rare_to_x(s, most), RESIDUE_LETTERS, FIRST_RESIDUE_ID, TO_STRUCTURE_ID)
+
+
+def structure_letters_of(tokens: Column, n: Column, filler: str = "d") -> Column:
+    """The structure letters among token ids, n of them: cut off or filled up; other tokens are passed over."""
+    own = F.filter(tokens, lambda i: i.between(FIRST_STRUCTURE_ID, FIRST_STRUCTURE_ID + len(STRUCTURE_LETTERS) - 1))
+    letters = F.transform(own, lambda i: F.substring(F.lit(STRUCTURE_LETTERS), i - (FIRST_STRUCTURE_ID - 1), F.lit(1)))
+    return F.rpad(F.array_join(letters, ""), n, filler)
 
 
 def woven(residues: Column, structure: Column, most: int = MAX_LENGTH) -> Column:
@@ -108,7 +126,7 @@ MODELS: dict[str, Model] = {
     "esm2": Model(1280, cut),
     "esmc": Model(960, cut, batch=128),
     "prott5": Model(1024, spaced, before=0, has_cls=False),
-    "prostt5": Model(1024, spaced),
+    "prostt5": Model(1024, residue_ids),
     "prostt5-3di": Model(1024, structure_ids, batch=8),
     "saprot": Model(1280, cut),
     "profam": Model(None, gapless, before=2, pool="residue"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.models import MAX_LENGTH, MODELS, POOLS, checked_pool, two_inputs
 from pairloom.operators.entities import dense_numbers, ranked, with_base
-from pairloom.operators.supervised import Supervised
+from pairloom.operators.supervised import Guarded
 
 
 def pool(df: DataFrame, key: str, pos: str, vector: str, how: str) -> DataFrame:
@@ -127,32 +127,10 @@ def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean",
         return (matrix[0].astype(float) if how == "cls" else rows.mean(axis=0) if how == "mean" else rows.max(axis=0)).tolist()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made = factory if seconds is None else lambda: Supervised(factory, seconds)
-        model = made()
-
-        def fresh():
-            if seconds is not None:
-                model.close()
-            return made()
-
-        def tried(texts: list[str]) -> list[tuple]:
-            nonlocal model
-            try:
-                return [(pooled(m), None) for m in model(texts)]
-            except Exception as e:  # noqa: BLE001 - becomes the row's error
-                model = fresh()
-                if len(texts) == 1:
-                    return [(None, str(e))]
-                half = len(texts) // 2
-                return tried(texts[:half]) + tried(texts[half:])
-
-        try:
+        with Guarded(factory, seconds, pooled) as model:
             for frame in frames:
-                found = tried([t if t is not None else "" for t in frame[text]]) if len(frame) else []
+                found = model([t if t is not None else "" for t in frame[text]]) if len(frame) else []
                 yield pd.DataFrame({key: frame[key], column: [v for v, _ in found], "error": [e for _, e in found]})
-        finally:
-            if seconds is not None:
-                model.close()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, {column} {'array<array<double>>' if how == 'residue' else 'array<double>'}, error string")

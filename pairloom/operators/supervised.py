@@ -112,3 +112,36 @@ class Supervised:
             os.close(self.to)
             os.close(self.source)
             self.child = None
+
+
+class Guarded:
+    """A model called on batches: (result, error) for each item. A batch that fails is halved until single items are left.
+
+    Those carry the error; the model is made anew after each failure. With `seconds` it runs in a child process, which is
+    killed when a call takes longer. `finish` is applied to each result, and its failures count as the item's.
+    """
+
+    def __init__(self, factory: Callable[[], Callable[[list], list]], seconds: float | None = None, finish: Callable = lambda x: x) -> None:
+        self.made = factory if seconds is None else lambda: Supervised(factory, seconds)
+        self.finish, self.model = finish, self.made()
+
+    def __call__(self, items: list) -> list[tuple]:
+        try:
+            return [(self.finish(x), None) for x in self.model(items)]
+        except Exception as e:  # noqa: BLE001 - becomes the item's error
+            self.close()
+            self.model = self.made()
+            if len(items) == 1:
+                return [(None, str(e))]
+            half = len(items) // 2
+            return self(items[:half]) + self(items[half:])
+
+    def close(self) -> None:
+        if isinstance(self.model, Supervised):
+            self.model.close()
+
+    def __enter__(self) -> Guarded:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()

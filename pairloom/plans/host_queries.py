@@ -257,3 +257,43 @@ def _two_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     residues = docs.select("doc_id", F.regexp_replace(F.upper(F.replace(F.col("text"), F.lit("ß"), F.lit(""))), "[^A-Z]", "").alias("sequence"))
     structure = docs.where("doc_id % 7 <> 0").select("doc_id", F.regexp_replace(F.lower(F.concat("lang", "text")), "[^a-z]", "").alias("sequence"))
     return models.two_inputs("saprot", residues, structure, "doc_id")
+
+
+_LETTERS = models.RESIDUE_LETTERS
+
+
+def _rule_step():
+    """A next-token function by rule: of the residue at the place and the letter before it; in one of all states it ends early."""
+    import numpy as np
+
+    a, p, k = np.ogrid[:21, :21, :20]
+    table = np.full((21, 21, 150), -50.0)
+    table[:, :, 128:148] = (a * 7 + p * 3 + k * k * 5 + k * a) % 101 / 10
+    table[20, 5, 1] = 20.0
+    beyond = np.full(150, -50.0)
+    beyond[1] = 20.0
+
+    def step(inputs, prefixes, parents):
+        t = prefixes.shape[1]
+        before = prefixes[:, -1] - 127 if t else np.zeros(len(inputs), int)
+        at = np.array([x[t + 1] for x in inputs])  # the direction's token comes first
+        residue = np.where((at >= 3) & (at < 23), at - 3, 20)
+        return np.where((at == models.END_ID)[:, None], beyond, table[residue, before])
+
+    return step
+
+
+@query(f"""with best as (select list(k order by a, p) as b from (select a, p, arg_max(k, v - k / 1000.0) as k from (select a, p, k, (a * 7 + p * 3 + k * k * 5 + k * a) % 101 as v from range(21) r(a), range(21) s(p), range(20) t(k)) group by 1, 2)),
+r as (select doc_id, regexp_replace(regexp_replace(upper(replace(text, 'ß', '')), '[^A-Z]', '', 'g')[:1024], '[BJOUZ]', 'X', 'g') as r from documents where length(text) > 0),
+walked as (select doc_id, length(r) as n, list_reduce(list_prepend('', string_split(r, '')), lambda acc, c: case when right(acc, 1) = '.' then acc
+  when c = 'X' and right(acc, 1) = '{models.STRUCTURE_LETTERS[4]}' then acc || '.'
+  else acc || '{models.STRUCTURE_LETTERS}'[b[(strpos('{_LETTERS}', c) - 1) * 21 + (case when acc = '' then 0 else strpos('{models.STRUCTURE_LETTERS}', right(acc, 1)) end) + 1] + 1] end) as w from r, best where r <> '')
+select doc_id, rpad(replace(w, '.', ''), n::int, 'd') as letters from walked""")
+def generated_structure_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structure letters that a next-token function by rule writes for all documents' residues, to the models' own length."""
+    from pairloom.operators import generation
+
+    generation.register_generator("by-rule", _rule_step)
+    t = F.regexp_replace(F.upper(F.replace(F.col("text"), F.lit("ß"), F.lit(""))), "[^A-Z]", "")
+    x = load(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(t, "J", "X").alias("r")).where("r <> ''")
+    return generation.structure_by_generation(x, "doc_id", "r", "by-rule", batch=500).select("doc_id", "letters")

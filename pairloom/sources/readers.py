@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.functions import sequences as S
+from pairloom.sources.remote import fetch_missing  # noqa: F401 - one of the readers
 
 #: Names that a pair's columns may have, tried in this order (fixed values).
 PAIR_NAMES = (("ID_1", "ID_2"), ("fpid_1", "fpid_2"), ("FPid_1", "FPid_2"), ("id_1", "id_2"))
@@ -63,38 +63,13 @@ def landed(spark: SparkSession, source: str, path: str, *columns: str) -> DataFr
     """A remote Parquet table, copied once to `path` and read from there ever after."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         read_parquet(spark, source, *columns).write.parquet(path)
         return spark.read.parquet(path)
 
 
-def fetch_missing(ids: DataFrame, key: str, cache: str, fetch: Callable[[list[str]], dict[str, str]], batch: int = 200) -> DataFrame:
-    """(key, value) of all ids: those that the cache (a Parquet folder) lacks are fetched in batches and appended to it.
-
-    fetch() gets a list of ids and returns what it finds; an id that isn't found is asked for again the next time.
-    """
-    spark = ids.sparkSession
-    wanted = ids.select(key).where(F.col(key) != "").distinct()
-    try:
-        known = spark.read.parquet(cache)
-        wanted = wanted.join(known.select(key), key, "left_anti")
-    except AnalysisException:  # nothing is cached yet
-        pass
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[str] = []
-        for frame in frames:
-            held += frame[key].tolist()
-            while len(held) >= batch:
-                yield pd.DataFrame(fetch(held[:batch]).items(), columns=[key, "value"])
-                held = held[batch:]
-        if held:
-            yield pd.DataFrame(fetch(held).items(), columns=[key, "value"])
-
-    wanted.mapInPandas(run, f"`{key}` string, value string").write.mode("append").parquet(cache)
-    return spark.read.schema(f"`{key}` string, value string").parquet(cache).join(ids.select(key).distinct(), key)
-
-
 def read_parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df

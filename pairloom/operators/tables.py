@@ -30,11 +30,17 @@ def remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path in the shared folder; what stands there goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """df as a table of its own: later steps start from it, whatever becomes of the executors. It goes when the driver ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
+    path = scratch(spark, what)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path

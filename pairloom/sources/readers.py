@@ -88,18 +88,26 @@ def read_pair_tsv(spark: SparkSession, path: str) -> DataFrame:
     return x.select(F.trim(F.col("x")[0]).alias("id_1"), F.trim(F.col("x")[1]).alias("id_2"), F.when(third.isin("0", "1"), third.cast("int")).otherwise(1).alias("label"))
 
 
+def place() -> Column:
+    """Where a row of a file source stands: files by name, their blocks in order, however they are spread over tasks."""
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+
+
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     """(member, cluster) from lines of representative and member; a member's first line counts."""
-    x = spark.read.text(path).select(F.split("value", "\t").alias("x"), F.monotonically_increasing_id().alias("pos")).where(F.size("x") >= 2)
-    return x.groupBy(F.col("x")[1].alias("member")).agg(F.min_by(F.col("x")[0], "pos").alias("cluster"))
+    x = spark.read.text(path).select(F.split("value", "\t").alias("x"), place().alias("place")).where(F.size("x") >= 2)
+    return x.groupBy(F.col("x")[1].alias("member")).agg(F.min_by(F.col("x")[0], "place").alias("cluster"))
 
 
 def read_fasta(spark: SparkSession, path: str, normal=S.letters_only) -> DataFrame:
-    """(pos, header, sequence): a record of any length to a row; .gz is understood, and the header has no >."""
-    x = spark.read.option("lineSep", "\n>").text(path).select(F.monotonically_increasing_id().alias("pos"), F.regexp_replace("value", "^>", "").alias("value"))
+    """(pos, header, sequence, place): a record of any length to a row; .gz is understood, and the header has no >.
+
+    Files that aren't compressed are split between tasks at records. `pos` tells rows apart, `place` has their order.
+    """
+    x = spark.read.option("lineSep", "\n>").text(path).select(F.monotonically_increasing_id().alias("pos"), place().alias("place"), F.regexp_replace("value", "^>", "").alias("value"))
     head = F.substring_index("value", "\n", 1)
     body = F.when(F.instr("value", "\n") > 0, F.expr("substr(value, instr(value, '\n') + 1)")).otherwise("")
-    return x.where(F.trim("value") != "").select("pos", F.trim(F.regexp_replace(head, "\r", "")).alias("header"), normal(body).alias("sequence"))
+    return x.where(F.trim("value") != "").select("pos", F.trim(F.regexp_replace(head, "\r", "")).alias("header"), normal(body).alias("sequence"), "place")
 
 
 def fasta_id(header: Column) -> Column:
@@ -111,7 +119,7 @@ def fasta_id(header: Column) -> Column:
 def fasta_map(records: DataFrame, last: bool = True) -> DataFrame:
     """(id, sequence): of repeated ids the last record (or the first)."""
     pick = F.max_by if last else F.min_by
-    return records.groupBy(fasta_id(F.col("header")).alias("id")).agg(pick("sequence", "pos").alias("sequence"))
+    return records.groupBy(fasta_id(F.col("header")).alias("id")).agg(pick("sequence", "place").alias("sequence"))
 
 
 def resolve(columns: list[str], wanted: str, position: int | None = None) -> str:

@@ -25,10 +25,10 @@ def write_table(df: DataFrame, path: str, columns: tuple[str, ...] | None = None
 
 
 def write_delimited(df: DataFrame, path: str, columns: tuple[str, ...] | None = None, separator: str = ",", key: str | None = None, append: bool = False) -> None:
-    """CSV or TSV parts with headers; NULL is the empty field."""
+    """CSV or TSV parts with headers; NULL is the empty field, and white space around a field stays."""
     out = df.select(*columns) if columns else df
     out = out.orderBy(key) if key else out
-    out.write.mode("append" if append else "overwrite").option("header", True).option("sep", separator).option("nullValue", "").option("emptyValue", "").csv(path)
+    out.write.mode("append" if append else "overwrite").option("header", True).option("sep", separator).option("nullValue", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_single(df: DataFrame, path: str, key: str, separator: str = ",") -> None:

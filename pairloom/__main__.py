@@ -11,9 +11,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pairloom import catalog
-from pairloom.operators import alignment, clusters, contract, embeddings, matching, pairs
+from pairloom.operators import alignment, clusters, contract, embeddings, generation, matching, pairs
 from pairloom.plans import build, collections, host, split
-from pairloom.sources import readers, writers
+from pairloom.sources import readers, remote, writers
 
 
 def _query(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -115,6 +115,22 @@ def _embed(spark: SparkSession, a: argparse.Namespace) -> None:
     writers.append_new(out, a.out, "id")
 
 
+def _structure_letters(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.generator not in generation.GENERATORS:
+        raise SystemExit(f"no generator is registered as {a.generator}: import a module that registers one (--plugin)")
+    drawn = {"seed": a.seed, "temperature": 1.2, "top_k": 6, "top_p": 0.95, "penalty": 1.2} if a.beams > 1 else {}
+    done = spark.read.parquet(a.done) if a.done else None
+    out = generation.structure_by_generation(readers.read_sequences(spark, a.sequences), "id", "sequence", a.generator, generation.Rules(a.beams, **drawn), batch=a.batch, done=done, seconds=a.seconds)
+    writers.append_new(out, a.out, "id")
+
+
+def _fetch(spark: SparkSession, a: argparse.Namespace) -> None:
+    ids = readers.read_delimited(spark, a.ids, [a.column]).select(F.col(a.column).alias("id"))
+    fetch = remote.by_http(a.url, a.parameter, remote.fasta_values, format="fasta", size=500)
+    found = remote.fetch_missing(ids, "id", a.cache, fetch, a.batch, a.ask_again, a.tasks, a.rate)
+    writers.write_delimited(found.withColumnRenamed("value", "sequence"), a.out, key="id")
+
+
 def _coverage(spark: SparkSession, a: argparse.Namespace) -> None:
     vectors = {m: spark.read.parquet(f"{a.vectors}/{m}") for m in a.models.split(",")}
     print(writers.report({m: f"{n} of {n + lacks}" for m, (n, lacks) in collections.embedding_coverage(readers.read_sequences(spark, a.sequences), vectors, a.require.split(",") if a.require else []).items()}))
@@ -139,6 +155,8 @@ COMMANDS: dict[str, tuple[str, Callable, list[str], dict[str, dict]]] = {
     "host-corpus": ("standardise tables of host and pathogen pairs", _host_corpus, ["out"], {"--raw": {}, "--split": {}, "--order": {"default": "UNIPROT_HUMAN,UNIPROT_VIRUS"}}),
     "host-benchmarks": ("benchmark subsets of a host corpus by content id", _host_benchmarks, ["pairs", "subsets", "out"], {}),
     "embed": ("vectors of sequences by a registered extractor", _embed, ["sequences", "model", "out"], {"--pool": {}, "--per-residue": {"action": "store_true"}, "--mean-pool": {"action": "store_true"}}),
+    "structure-letters": ("structure letters of sequences by a registered generator; several beams are drawn", _structure_letters, ["sequences", "generator", "out"], {"--beams": {"type": int, "default": 1}, "--seed": {"type": int, "default": 0}, "--batch": {"type": int, "default": 8}, "--seconds": {"type": float, "help": "kill a batch that takes longer"}, "--done": {"help": "a table of ids that are left out"}}),
+    "fetch-sequences": ("sequences of ids from a service that answers in FASTA, through a cache", _fetch, ["ids", "url", "cache", "out"], {"--column": {"default": "id"}, "--parameter": {"default": "accessions"}, "--batch": {"type": int, "default": 200}, "--tasks": {"type": int, "default": 8}, "--rate": {"type": float, "default": 10.0, "help": "requests a second of all tasks"}, "--ask-again": {"action": "store_true", "help": "also for ids that weren't found before"}}),
     "coverage": ("present and missing vectors by model", _coverage, ["sequences", "vectors", "models"], {"--require": {"default": ""}}),
 }
 #: Other names of commands.

@@ -93,7 +93,7 @@ def dedup(df: DataFrame, a: str, b: str, label: str, source: str, evidence: str,
         )
     masks = F.bit_or(source_mask(F.col(source), sources)).alias("__sources"), F.bit_or(token_mask(F.col(evidence), tags)).alias("__tags")
     x = ordered.groupBy(a, b).agg(F.max(label).alias("label"), F.min(label).alias("__least"), *masks, *texts)
-    n_labels = F.when(F.col("label").isNull(), 0).when(F.col("label") == F.col("__least"), 1).otherwise(2).cast("long")
+    n_labels = F.when((F.col("__least") < 0) | (F.col("label") > 1), F.raise_error(F.lit("labels are 0 and 1"))).when(F.col("label").isNull(), 0).when(F.col("label") == F.col("__least"), 1).otherwise(2).cast("long")
     n_sources = F.bit_count("__sources").cast("long")
     return x.select(a, b, "label", n_labels.alias("n_labels"), n_sources.alias("n_sources"), names_of(F.col("__sources"), sources).alias("sources"), names_of(F.col("__tags"), tags).alias("evidence_tags"), *joined)
 

@@ -49,8 +49,9 @@ def append_new(df: DataFrame, path: str, key: str) -> None:
     """Appends rows to a Parquet manifest, but for keys that it has: a step that runs again adds nothing twice."""
     try:
         df = df.join(df.sparkSession.read.parquet(path).select(key), key, "left_anti").select(*df.columns)
-    except AnalysisException:  # there is no manifest yet
-        pass
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise  # else there is no manifest yet
     df.write.mode("append").parquet(path)
 
 

@@ -22,6 +22,13 @@ def test_dedup_positive_wins_and_counts_sources(spark):
     assert [tuple(r) for r in got] == [("FP1", "FP2", 1, 2, 2, "A;B", "HTP;LTP")]
 
 
+def test_dedup_by_masks_refuses_other_labels(spark):
+    df = spark.createDataFrame([("a", "b", k, "S", "LTP") for k in (0, 1, 2)], "a string, b string, label int, source string, evidence string")
+    assert pairs.dedup(df.where("label < 2"), "a", "b", "label", "source", "evidence", sources=["S"], tags=["LTP"]).first().n_labels == 2
+    with pytest.raises(Exception, match="labels are 0 and 1"):
+        pairs.dedup(df, "a", "b", "label", "source", "evidence", sources=["S"], tags=["LTP"]).collect()
+
+
 def test_sources_count_null_as_a_value(spark):
     df = spark.createDataFrame([("x", "y", None, 1, "LTP"), ("x", "y", "A", 1, None)], "a string, b string, s string, label int, e string")
     row = pairs.dedup(df, "a", "b", "label", "s", "e").first()

@@ -73,3 +73,21 @@ def test_rates_hold_and_other_failures_end_the_job(spark, tmp_path, server):
         remote.patient(fetch, ["fatal"], 2, 0.01, lambda: None)
     assert remote.fetch_missing(ids.limit(0), "id", f"{tmp_path}/c", fetch).collect() == []
     assert remote.fasta_values("") == {} and remote.fasta_values(">a b\nM K\n\nL\n>x|y|z\n") == {"a": "MKL", "y": ""}
+
+
+def test_commands_fetch_and_generate(spark, tmp_path, server):
+    from pairloom.__main__ import main
+    from pairloom.operators import generation
+    from pairloom.plans.host_queries import _rule_step
+    from pairloom.sources import readers
+
+    (tmp_path / "ids.csv").write_text("id\nP1\nQ2\nP3\n")
+    assert main(["fetch-sequences", f"{tmp_path}/ids.csv", server[0], f"{tmp_path}/cache", f"{tmp_path}/out.csv", "--batch", "2", "--rate", "100"]) == 0
+    got = {r.id: r.sequence for r in readers.read_delimited(spark, f"{tmp_path}/out.csv").collect()}
+    assert got == {"P1": "MKP1A", "P3": "MKP3A"}
+    generation.register_generator("by-rule", _rule_step)
+    assert main(["structure-letters", f"{tmp_path}/out.csv", "by-rule", f"{tmp_path}/letters", "--beams", "3", "--seed", "4"]) == 0
+    letters = {r.id: r.letters for r in spark.read.parquet(f"{tmp_path}/letters").collect()}
+    assert {k: len(v) for k, v in letters.items()} == {"P1": 5, "P3": 5}
+    with pytest.raises(SystemExit):
+        main(["structure-letters", f"{tmp_path}/out.csv", "none", f"{tmp_path}/letters"])

@@ -180,6 +180,15 @@ def test_urls_equal_brute_force(spark, extra):
     assert {r.verdict for r in urls.filter_urls(pages, df.where("false")).collect()} == {"allow"}
 
 
+def test_url_rules_are_the_contracts(spark):
+    """The words that the contract gives to its five rules, each met by a URL of its own, and the default."""
+    want = {"http://a.com/en/1": ("com/en/", "block"), "http://example.com/en/71": ("example.com/en/7", "allow"), "http://a.net/de/1": ("net/de/", "allow"), "http://example.net/de/81": ("example.net/de/8", "block"), "http://a.org/es/1": ("org/es/", "block"), "http://a.org/en/1": (None, "allow")}
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(want)], "page_id long, url string")
+    rules = spark.createDataFrame(queries.URL_RULES, "rule string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(pages, rules).collect()}
+    assert got == dict(enumerate(want.values()))
+
+
 def test_bloom_filter_admits_all_listed_and_few_others(spark):
     listed = spark.range(20000).select(F.concat(F.lit("a"), "id").alias("key"))
     other = spark.range(20000).select(F.concat(F.lit("b"), "id").alias("key"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,6 +96,8 @@ def budget_batches(df: DataFrame, size: str, order: str, most_rows: int, most_un
     return x.select(*df.columns, batch.cast("long").alias("batch"))
 
 
+#: Texts of one call of a model, and their characters: matrices of so many rows are held at a time.
+MOST_ROWS, MOST_UNITS = 64, 1 << 16
 #: name -> (vector length, factory of a function from texts to matrices); a worker calls the factory once.
 EXTRACTORS: dict[str, tuple[int, Callable[[], Callable[[list[str]], list]]]] = {}
 
@@ -103,11 +106,23 @@ def register_extractor(name: str, size: int, factory: Callable[[], Callable[[lis
     EXTRACTORS[name] = (size, factory)
 
 
+def slices(sizes: list[int], most_rows: int = MOST_ROWS, most_units: int = MOST_UNITS) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of consecutive rows that stay within both limits; a row beyond the second one is alone."""
+    lo = units = 0
+    for k, size in enumerate(sizes):
+        if k > lo and (k - lo == most_rows or units + size > most_units):
+            yield lo, k - lo
+            lo, units = k, 0
+        units += size
+    if sizes:
+        yield lo, len(sizes) - lo
+
+
 def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean", done: DataFrame | None = None, before: int = 0, after: int = 0, seconds: float | None = None) -> DataFrame:
     """(key, vector, error): pooled vectors of the texts by a registered extractor; `residue` gives (key, matrix, error).
 
     Ids that `done` has are left out. `before` and `after` rows of special tokens are cut off the matrix; `cls` is the
-    first row of all. A batch that fails is halved until single rows are left, which then carry the error; the model is
+    first row of all. The model is called with few texts at a time, so a task holds few matrices. A batch that fails is halved until single rows are left, which then carry the error; the model is
     loaded anew after each. With `seconds` the model runs in a child process of the task: a batch that takes longer, or
     ends that process, has failed, and the process is killed with all that it has started.
     """
@@ -126,14 +141,19 @@ def embed(df: DataFrame, key: str, text: str, extractor: str, how: str = "mean",
             return rows.tolist()
         return (matrix[0].astype(float) if how == "cls" else rows.mean(axis=0) if how == "mean" else rows.max(axis=0)).tolist()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = df.schema[key].dataType.simpleString()
+    out = f"`{key}` {kind}, {column} {'array<array<double>>' if how == 'residue' else 'array<double>'}, error string"
+    found_type = pa.list_(pa.list_(pa.float64())) if how == "residue" else pa.list_(pa.float64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with Guarded(factory, seconds, pooled) as model:
-            for frame in frames:
-                found = model([t if t is not None else "" for t in frame[text]]) if len(frame) else []
-                yield pd.DataFrame({key: frame[key], column: [v for v, _ in found], "error": [e for _, e in found]})
+            for whole in batches:
+                for lo, n in slices(pc.fill_null(pc.utf8_length(whole.column(1)), 0).to_pylist()):
+                    part = whole.slice(lo, n)
+                    found = model([t if t is not None else "" for t in part.column(1).to_pylist()])
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v for v, _ in found], found_type), pa.array([e for _, e in found], pa.string())], names=[key, column, "error"])
 
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, {column} {'array<array<double>>' if how == 'residue' else 'array<double>'}, error string")
+    return df.select(key, text).mapInArrow(run, out)
 
 
 def embed_by_model(df: DataFrame, key: str, sequence: str, model: str, pool: str | None = None, done: DataFrame | None = None, structure: DataFrame | None = None, seconds: float | None = None, **flags: bool) -> DataFrame:

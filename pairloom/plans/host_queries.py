@@ -10,7 +10,7 @@ from pairloom.functions import sequences as S
 from pairloom.operators import contract as C
 from pairloom.operators import matching as M
 from pairloom.operators import pairs as P
-from pairloom.operators.clusters import alike
+from pairloom.operators.clusters import alike, alike_targets
 from pairloom.plans import build as B
 from pairloom.plans import host
 from pairloom.plans.registry import RAW_PAIRS, load, query, raw_pairs
@@ -94,9 +94,9 @@ met as (select query, target, count(*) as shared from q join t using (s) group b
 hits as (select query, target, shared / least((select count(distinct s) from q where q.query = met.query), (select count(distinct s) from t where t.target = met.target)) as identity, shared from met)"""
 
 
-def _alike(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _alike(spark: SparkSession, sf_dir: str, find=alike) -> DataFrame:
     part = load(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", "p_brand").alias("sequence"))
-    return alike(part.where("p_partkey % 40 = 0"), part.where("p_partkey % 40 <> 0"), "p_partkey", "sequence", 0.6)
+    return find(part.where("p_partkey % 40 = 0"), part.where("p_partkey % 40 <> 0"), "p_partkey", "sequence", 0.6)
 
 
 @query(f"with {_ALIKE} select query, target, identity, shared from hits where identity >= 0.6")
@@ -108,7 +108,7 @@ def homology_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {_ALIKE}, pairs as (select l_partkey as \"ID_2\", l_suppkey as \"ID_1\" from lineitem), held as (select distinct \"ID_1\", \"ID_2\" from pairs where \"ID_2\" % 97 = 5) select p.\"ID_1\", p.\"ID_2\", count(*) as n from pairs p where \"ID_2\" not in (select \"ID_2\" from held) and \"ID_2\" not in (select target from hits where identity >= 0.6) group by 1, 2")
 def host_training_remainder(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = load(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("ID_1"), F.col("l_partkey").alias("ID_2"))
-    left = host.training_remainder(pairs, pairs.where("ID_2 % 97 = 5"), _alike(spark, sf_dir).select("target"))
+    left = host.training_remainder(pairs, pairs.where("ID_2 % 97 = 5"), _alike(spark, sf_dir, alike_targets))
     return left.groupBy("ID_1", "ID_2").agg(F.count("*").alias("n"))
 
 

@@ -471,3 +471,38 @@ def test_clusters_keep_no_more_than_the_texts(spark, tmp_path, monkeypatch):
     assert got == {k: {60: 0, 61: 1}.get(k, k) for k in range(64)}
     kept = sum(f.stat().st_size for x in wrote for f in Path(x._written.removeprefix("file:")).rglob("*.parquet"))
     assert kept < sum(map(len, own))
+
+
+def test_models_are_called_with_few_texts(spark):
+    """No call holds the matrices of many long texts; every row comes out once, whatever the limits."""
+
+    def factory():
+        def model(texts):
+            if len(texts) > 1 and sum(map(len, texts)) > embeddings.MOST_UNITS or len(texts) > embeddings.MOST_ROWS:
+                raise MemoryError("too many at once")
+            return [np.full((len(t), 2), len(texts)) for t in texts]
+
+        return model
+
+    calls = embeddings.slices([1, 9, 1, 1, 1, 30, 2], 3, 10)
+    assert list(calls) == [(0, 2), (2, 3), (5, 1), (6, 1)] and not list(embeddings.slices([]))
+    embeddings.register_extractor("counts", 2, factory)
+    sizes = [50_000] * 5 + [3] * 200 + [200_000]
+    df = spark.range(len(sizes)).coalesce(1).withColumn("t", F.expr(f"repeat('x', array({', '.join(map(str, sizes))})[cast(id as int)])"))
+    got = embeddings.embed(df, "id", "t", "counts").orderBy("id").collect()
+    assert [r.error for r in got] == [None] * len(sizes)
+    assert [r.vector[0] for r in got[:5]] == [1.0] * 4 + [64.0] and got[-1].vector == [1.0, 1.0]
+
+
+def test_copies_are_searched_once(spark, monkeypatch):
+    """Shingles of a sequence that many rows have are kept once, and every row of it is among the hits all the same."""
+    texts = ["large ring and bolt", "large ring and bolts", "nothing of that kind"]
+    rows = spark.createDataFrame([(k, texts[k % 3]) for k in range(300)], "id long, s string")
+    wrote = []
+    monkeypatch.setattr(clusters, "written", lambda df, what, keep=clusters.written: wrote.append(keep(df, what)) or wrote[-1])
+    sides = rows.where("id % 10 = 0"), rows.where("id % 10 <> 0")
+    got = {(r.query, r.target) for r in clusters.alike(*sides, "id", "s").collect()}
+    like = lambda a, b: (a % 3 == 2) == (b % 3 == 2)
+    assert got == {(a, b) for a in range(0, 300, 10) for b in range(300) if b % 10 and like(a, b)}
+    assert sum(x.count() for x in wrote) < 120
+    assert {r.target for r in clusters.alike_targets(*sides, "id", "s").collect()} == {b for _, b in got}

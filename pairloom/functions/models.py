@@ -74,8 +74,8 @@ def structure_letters_of(tokens: Column, n: Column, filler: str = "d") -> Column
 
 
 def woven(residues: Column, structure: Column, most: int = MAX_LENGTH) -> Column:
-    """Upper-case residue and lower-case structure letter in turn, to the shorter of both."""
-    return F.substring(interleave(F.upper(residues), F.lower(structure)), 1, 2 * most)
+    """Upper-case residue and lower-case structure letter in turn, to the shorter of both; no more of them than the model takes is cut into letters."""
+    return interleave(F.substring(F.upper(residues), 1, most), F.substring(F.lower(structure), 1, most))
 
 
 def paired(residues: DataFrame, structure: DataFrame, key: str = "id", sequence: str = "sequence") -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.sequences import no_space
 from pairloom.operators.matching import checked_lookup
+from pairloom.operators.tables import written
 
 
 @dataclass(frozen=True)
@@ -41,10 +42,12 @@ def in_order(files: list[str]) -> list[str]:
 def id_map(sequences: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(id, sequence_md5), an error if an id has two sequences; and the distinct (sequence_md5, sequence)."""
     x = sequences.select("id", no_space(F.col("sequence")).alias("sequence")).where("sequence <> ''").withColumn("sequence_md5", F.md5("sequence"))
-    bad = [r.id for r in x.groupBy("id").agg(F.count_distinct("sequence_md5").alias("n")).where("n > 1").orderBy("id").limit(5).collect()]
+    # The map is written: the check and each table's two sides read it, and not the sequences again.
+    ids = written(x.select("id", "sequence_md5"), "id-map")
+    bad = [r.id for r in ids.groupBy("id").agg(F.count_distinct("sequence_md5").alias("n")).where("n > 1").orderBy("id").limit(5).collect()]
     if bad:
         raise ValueError(f"more than one sequence for {bad}")
-    return x.select("id", "sequence_md5").distinct(), x.groupBy("sequence_md5").agg(F.first("sequence").alias("sequence"))
+    return ids.distinct(), x.groupBy("sequence_md5").agg(F.first("sequence").alias("sequence"))
 
 
 def remapped(pairs: DataFrame, ids: DataFrame) -> DataFrame:

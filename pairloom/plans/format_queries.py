@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import sequences as S
-from pairloom.operators.tables import scratch
+from pairloom.operators.tables import scratch, written
 from pairloom.plans import collections, split
 from pairloom.plans.registry import RAW_PAIRS, load, query, raw_pairs
 from pairloom.sources import readers, writers
@@ -162,10 +162,11 @@ ids as (select a as id from p union select b from p), bad as (select id from ids
 
 def _split(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     x = raw_pairs(spark, sf_dir).where("a <> b").select(F.least("a", "b").alias("ID_1"), F.greatest("a", "b").alias("ID_2"), "label", "source")
-    pairs = x.groupBy("ID_1", "ID_2").agg(F.max("label").alias("label"), F.max("source").alias("PPI_Source"))
+    # Every step of the split reads the pairs again, so they are made once.
+    pairs = written(x.groupBy("ID_1", "ID_2").agg(F.max("label").alias("label"), F.max("source").alias("PPI_Source")), "pairs")
     number = lambda c: F.substring(c, 3, 7).cast("int")
     val, test = (pairs.where((number("ID_1") % 10 == 0) & (number("ID_2") % 97 == k)).select("ID_1", "ID_2", "label") for k in (0, 1))
-    ids = pairs.select(F.explode(F.array("ID_1", "ID_2")).alias("id")).distinct()
+    ids = written(pairs.select(F.explode(F.array("ID_1", "ID_2")).alias("id")).distinct(), "ids")
     clusters = ids.select(F.col("id").alias("member"), F.floor(number("id") / 4).alias("cluster"))
     return split.split(pairs, clusters, ids.withColumn("sequence", F.col("id")), split.Sizes(), 1, val, test)
 
@@ -195,8 +196,9 @@ def collection_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _letters(spark, sf_dir).where("s <> ''").select("doc_id", F.concat(F.lit("D"), "doc_id").alias("id"), F.lower("s").alias("sequence"))
     sources = {"even": s.where("doc_id % 2 = 0"), "odd": s.where("doc_id % 2 = 1")}
     x = load(spark, sf_dir, "labels").select(F.col("doc_id").alias("id_1"), (F.col("doc_id") - F.col("doc_id") % 10).alias("id_2"), F.col("quality").cast("int").alias("label"))
-    known = x.join(s.select(F.col("doc_id").alias("id_1"), F.col("id").alias("one")), "id_1").join(s.select(F.col("doc_id").alias("id_2"), F.col("id").alias("two")), "id_2")
-    pairs = known.select(F.col("id_1").alias("at"), F.col("one").alias("ID_1"), F.col("two").alias("ID_2"), "label")
+    have = written(s.select("doc_id", "id"), "ids")
+    known = x.join(have.select(F.col("doc_id").alias("id_1"), F.col("id").alias("one")), "id_1").join(have.select(F.col("doc_id").alias("id_2"), F.col("id").alias("two")), "id_2")
+    pairs = written(known.select(F.col("id_1").alias("at"), F.col("one").alias("ID_1"), F.col("two").alias("ID_2"), "label"), "pairs")
     tables = {"train": pairs.where("at % 4 <> 0").drop("at"), "test_far": pairs.where("at % 4 = 0").drop("at")}
     out = collections.built(collections.Collection("labelled", ("even", "odd"), {"train": "train.csv", "test_far": "test_far.csv"}, "test_far"), sources, tables)
     rows = [out[n].select(F.lit(n).alias("part"), "ID_1", "ID_2", "label") for n in ("train", "test_far", "test")]

@@ -11,6 +11,7 @@ from pairloom.functions.sequences import content_md5
 from pairloom.operators import clusters as G
 from pairloom.operators import pairs as P
 from pairloom.operators import splits
+from pairloom.operators.tables import written
 
 
 @dataclass(frozen=True)
@@ -107,14 +108,16 @@ def split(pairs: DataFrame, cluster_map: DataFrame | None, sequences: DataFrame,
         out[name] = empty
         for x in group:
             out[name] = out[name].unionByName(x)
+    out |= {name: written(out[name], name) for name in parts}
     holdout = out["val"].unionByName(out["test"])
-    ends = holdout.where("label = 1").select(F.explode(F.array(*keys)).alias("id")).distinct()
+    ends = written(holdout.where("label = 1").select(F.explode(F.array(*keys)).alias("id")).distinct(), "ends")
     found = cluster_map if cluster_map is not None else G.cluster_for_holdout(sequences, "id", "sequence", ends, kept_at=clusters_at).select(F.col("id").alias("member"), "cluster")
     if content_ids:
         check_content_ids(holdout)
     if not found.isEmpty() and (lost := _some(ends.join(found.select(F.col("member").alias("id")), "id", "left_anti"))):
         raise ValueError(f"no cluster for {lost}")
     out["train"] = splits.training_rows(pairs.select(*keys, "label"), holdout, found, *keys, "label", "member", "cluster").distinct()
+    out["train"] = written(out["train"], "train")
     if out["train"].isEmpty():
         raise ValueError("no training pair is left")
     out["clusters"] = splits.cluster_flags(found, ends, "member", "cluster")

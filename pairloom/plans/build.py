@@ -70,10 +70,22 @@ def interactions(ids: DataFrame, sources: list[Source]) -> DataFrame:
     return out
 
 
-def merged(rows: DataFrame, drop_self: bool = True) -> DataFrame:
-    """The contract's interaction table from merged rows: one shuffle, then column expressions only."""
+def merged(rows: DataFrame, drop_self: bool = True, sources: list[str] | None = None, tags: list[str] | None = None) -> DataFrame:
+    """The contract's interaction table from merged rows: one shuffle, then column expressions only.
+
+    With enumerated sources and tags their sets are bits of a number, as in dedup(), so these aggregates keep no sets.
+    """
     x = P.canonical(rows, "FPid_1", "FPid_2", [("original_id1", "original_id2")])
     x = x.where("FPid_1 <> FPid_2") if drop_self else x
+    if sources is not None and tags is not None:
+        masks = P.source_mask(F.col("PPI_Source"), sources), P.token_mask(F.col("Evidence_Tags"), tags)
+        y = x.groupBy("FPid_1", "FPid_2").agg(
+            *(P.joined_distinct(F.col(c)).alias(c) for c in ("original_id1", "original_id2", "Seq_Source", "Experimental_Method")),
+            F.max("label").alias("label"),
+            *(F.bit_or(m).alias(n) for m, n in zip(masks, ("__sources", "__tags"), strict=True)),
+        )
+        names = {"PPI_Source": P.names_of(F.col("__sources"), sources), "Evidence_Tags": P.names_of(F.coalesce("__tags", F.lit(0)), tags), "n_sources": F.bit_count("__sources").cast("int")}
+        return normalised(y.withColumns(names))
     y = x.groupBy("FPid_1", "FPid_2").agg(
         *(P.joined_distinct(F.col(c)).alias(c) for c in ("original_id1", "original_id2", "PPI_Source", "Seq_Source", "Experimental_Method")),
         F.max("label").alias("label"),

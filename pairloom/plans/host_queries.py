@@ -11,9 +11,10 @@ from pairloom.operators import contract as C
 from pairloom.operators import matching as M
 from pairloom.operators import pairs as P
 from pairloom.operators.clusters import alike, alike_targets
+from pairloom.operators.tables import written
 from pairloom.plans import build as B
 from pairloom.plans import host
-from pairloom.plans.registry import RAW_PAIRS, load, query, raw_pairs
+from pairloom.plans.registry import RAW_PAIRS, SOURCES, TAG_NAMES, load, query, raw_pairs
 
 _HOST = """base as (select *, trim(' H' || o_custkey % 50 || ' ') as host_id, case when o_orderkey % 13 = 0 then null else 'V' || o_orderkey % 70 end as pathogen_id,
   upper(replace(o_orderpriority, ' ', '')) as host_sequence, case when o_orderkey % 11 = 0 then null else o_orderstatus || o_orderkey % 9 end as pathogen_sequence from orders),
@@ -197,7 +198,9 @@ select counter, n from (select count(*) as rows_read, count(*) filter (where lis
 def rewrite_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repairing the primary source's evidence changes: counts over the rows before and after."""
     rows = raw_pairs(spark, sf_dir).select(F.col("a").alias("FPid_1"), F.col("b").alias("FPid_2"), F.lit("").alias("original_id1"), F.lit("").alias("original_id2"), F.col("source").alias("PPI_Source"), F.col("source").alias("Seq_Source"), "label", F.lit("").alias("Experimental_Method"), F.col("evidence").alias("Evidence_Tags"))
-    before = B.merged(rows)
+    # Three steps read the merged rows: what they count by is made and written once.
+    kept = written(B.merged(rows, sources=SOURCES, tags=TAG_NAMES).select("FPid_1", "FPid_2", "PPI_Source", "label", "n_sources", "Evidence_Tags"), "interactions")
+    before = kept.withColumns({c: F.lit(None).cast("string") for c in C.INTERACTIONS if c not in kept.columns}).select(*C.INTERACTIONS)
     own = before.select("FPid_1", "FPid_2", F.array(F.lit("HTP"), F.lit("LTP")).alias("raw"))
     return B.rewrite_counts(before, B.normalised(B.repaired(before, "S1", ["S2", "S3"], own)))
 

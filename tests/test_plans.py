@@ -90,3 +90,43 @@ def test_pairs_fed_file_by_file_are_the_batch(spark, tmp_path):
         got = incremental.current(spark, f"{tmp_path}/out")
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert got.select("a", "b").exceptAll(catalog.QUERIES["pair_dedup_tiered"](spark, "/root/testdata/sf0.001").select("a", "b")).isEmpty()
+
+
+def test_steps_of_a_split_read_what_was_made_once(spark):
+    from pairloom.plans import format_queries
+
+    out = format_queries._split(spark, "/root/testdata/sf0.001")
+    assert all(hasattr(out[n], "_written") for n in ("val", "test", "train"))
+    plan = out["clusters"]._jdf.queryExecution().toString()
+    assert "lineitem" not in plan and "Scan parquet" in plan
+
+
+def test_id_map_is_read_and_not_made_again(spark, monkeypatch):
+    from pairloom.plans import collections
+
+    wrote = []
+    monkeypatch.setattr(collections, "written", lambda df, what, keep=collections.written: wrote.append(what) or keep(df, what))
+    ids, _ = collections.id_map(spark.createDataFrame([("a", "A C"), ("a", "AC"), ("b", " ")], "id string, sequence string"))
+    assert wrote == ["id-map"] and [r.id for r in ids.collect()] == ["a"]
+    assert "md5" not in ids._jdf.queryExecution().optimizedPlan().toString().replace("sequence_md5", "")
+
+
+def test_no_more_than_the_models_length_is_woven(spark):
+    from pyspark.sql import functions as F
+
+    from pairloom.functions import models
+
+    df = spark.createDataFrame([("A" * 5000, "b" * 4000), ("ACG", "XY"), ("", "x")], "r string, s string")
+    assert [x.t for x in df.select(models.woven(F.col("r"), F.col("s")).alias("t")).collect()] == ["Ab" * 1024, "AxCy", ""]
+    assert "substring(upper(" in df.select(models.woven(F.col("r"), F.col("s")))._jdf.queryExecution().analyzed().toString()
+
+
+def test_merging_by_masks_is_merging_by_sets(spark):
+    from pairloom.plans import build
+
+    rows = [("b", "a", "x", "y", "S1", "S1", 1, "m", "HTP;LTP"), ("a", "b", "y", "x", "S2", "S2", 0, "n", "mixed"), ("a", "c", "x", "z", None, None, 0, None, None), ("a", "a", "x", "x", "S1", "S1", 1, "m", "HTP"), ("a", "d", "x", "z", "S2", "S2", 1, "m", "")]
+    df = spark.createDataFrame(rows, "FPid_1 string, FPid_2 string, original_id1 string, original_id2 string, PPI_Source string, Seq_Source string, label int, Experimental_Method string, Evidence_Tags string")
+    one, two = build.merged(df), build.merged(df, sources=["S1", "S2"], tags=["HTP", "LTP", "mixed"])
+    assert one.columns == two.columns and sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    kept = two.select("FPid_1", "Evidence_Tags", "PPI_Tier")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in kept

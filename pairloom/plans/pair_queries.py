@@ -42,8 +42,8 @@ def pair_swap_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_DEDUP} select count(*) as n_pairs, count(*) filter (where n_labels > 1) as n_conflicts from dedup")
 def pair_dedup_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = P.canonical(raw_pairs(spark, sf_dir), "a", "b").groupBy("a", "b").agg(F.count_distinct("label").alias("n_labels"))
-    return x.agg(F.count("*").alias("n_pairs"), F.count_if(F.col("n_labels") > 1).alias("n_conflicts"))
+    x = P.canonical(raw_pairs(spark, sf_dir), "a", "b").groupBy("a", "b").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    return x.agg(F.count("*").alias("n_pairs"), F.count_if(F.col("most") > F.col("least")).alias("n_conflicts"))
 
 
 @query(f"{_DEDUP} select n_sources, label, count(*) as n_pairs from dedup group by 1, 2")

@@ -130,3 +130,10 @@ def test_merging_by_masks_is_merging_by_sets(spark):
     assert one.columns == two.columns and sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
     kept = two.select("FPid_1", "Evidence_Tags", "PPI_Tier")._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_set" not in kept
+
+
+def test_conflicts_are_counted_in_one_aggregate_of_the_pairs(spark):
+    from pairloom.catalog import QUERIES
+
+    plan = QUERIES["pair_dedup_conflicts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate(keys=[a") == 2  # before and after its shuffle; distinct labels would need two more

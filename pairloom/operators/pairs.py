@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.evidence import class_of, tier
 from pairloom.operators.entities import ranked, with_base
-from pairloom.operators.tables import written
+from pairloom.operators.tables import spread, written
 
 #: The bit of a mask that stands for NULL.
 NULL_BIT = 62
@@ -26,10 +26,10 @@ def canonical(df: DataFrame, a: str, b: str, payload: list[tuple[str, str]] = ()
     return df.withColumns(turned)
 
 
-def undirected(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Distinct unordered pairs (a, b); rows with a NULL endpoint go, as least() and greatest() pass NULLs over."""
+def undirected(df: DataFrame, a: str, b: str, rows: int | None = None) -> DataFrame:
+    """Distinct unordered pairs (a, b); rows with a NULL endpoint go, as least() and greatest() pass NULLs over. rows: as in spread()."""
     full = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    return full.select(F.least(a, b).alias(a), F.greatest(a, b).alias(b)).distinct()
+    return spread(full.select(F.least(a, b).alias(a), F.greatest(a, b).alias(b)), a, b, rows=rows).distinct()
 
 
 def joined_distinct(x: Column, separator: str = ";") -> Column:
@@ -74,16 +74,17 @@ def names_of(mask: Column, names: list[str]) -> Column:
     return F.concat_ws(";", *(F.when(mask.bitwiseAND(F.lit(1 << names.index(n))) != 0, F.lit(n)) for n in sorted(names)))
 
 
-def dedup(df: DataFrame, a: str, b: str, label: str, source: str, evidence: str, joined: list[str] = (), sources: list[str] | None = None, tags: list[str] | None = None) -> DataFrame:
+def dedup(df: DataFrame, a: str, b: str, label: str, source: str, evidence: str, joined: list[str] = (), sources: list[str] | None = None, tags: list[str] | None = None, rows: int | None = None) -> DataFrame:
     """One row for each canonical pair: a positive label wins, sources are counted, texts are merged.
 
-    All aggregates combine before the shuffle, which is the only one. With enumerated sources and tags (at most 62 each)
-    and labels of 0 and 1 a group's sets are bits of a number, and the aggregate runs in generated code on flat buffers.
+    There is one shuffle. Aggregates combine before it, unless `rows` tells of a table too large for that (see spread()).
+    With enumerated sources and tags (at most 62 each) and labels of 0 and 1 a group's sets are bits of a number, and the
+    aggregate runs in generated code on flat buffers.
     """
     ordered = canonical(df, a, b)
     texts = [joined_distinct(F.col(c)).alias(c) for c in joined]
     if sources is None or tags is None:
-        return ordered.groupBy(a, b).agg(
+        return spread(ordered, a, b, rows=rows).groupBy(a, b).agg(
             F.max(label).alias("label"),
             F.size(F.collect_set(label)).cast("long").alias("n_labels"),
             distinct_with_null(F.col(source)).alias("n_sources"),
@@ -91,8 +92,9 @@ def dedup(df: DataFrame, a: str, b: str, label: str, source: str, evidence: str,
             joined_tokens(F.col(evidence)).alias("evidence_tags"),
             *texts,
         )
-    masks = F.bit_or(source_mask(F.col(source), sources)).alias("__sources"), F.bit_or(token_mask(F.col(evidence), tags)).alias("__tags")
-    x = ordered.groupBy(a, b).agg(F.max(label).alias("label"), F.min(label).alias("__least"), *masks, *texts)
+    masked = ordered.select(a, b, F.col(label).alias("__label"), source_mask(F.col(source), sources).alias("__source"), token_mask(F.col(evidence), tags).alias("__tag"), *joined)
+    masks = F.bit_or("__source").alias("__sources"), F.bit_or("__tag").alias("__tags")
+    x = spread(masked, a, b, rows=rows).groupBy(a, b).agg(F.max("__label").alias("label"), F.min("__label").alias("__least"), *masks, *texts)
     n_labels = F.when((F.col("__least") < 0) | (F.col("label") > 1), F.raise_error(F.lit("labels are 0 and 1"))).when(F.col("label").isNull(), 0).when(F.col("label") == F.col("__least"), 1).otherwise(2).cast("long")
     n_sources = F.bit_count("__sources").cast("long")
     return x.select(a, b, "label", n_labels.alias("n_labels"), n_sources.alias("n_sources"), names_of(F.col("__sources"), sources).alias("sources"), names_of(F.col("__tags"), tags).alias("evidence_tags"), *joined)

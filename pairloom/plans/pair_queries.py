@@ -10,7 +10,7 @@ from pairloom.functions import sequences as S
 from pairloom.operators import pairs as P
 from pairloom.operators import splits
 from pairloom.operators.entities import last_value
-from pairloom.operators.tables import written
+from pairloom.operators.tables import spread, written
 from pairloom.plans.registry import CLASS, RAW_PAIRS, SOURCES, TAG_NAMES, TAGS, TIER, load, query, raw_pairs
 
 _DEDUP = f"""with {RAW_PAIRS}, dedup as (
@@ -112,9 +112,12 @@ def evidence_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {RAW_PAIRS}, held as (select a, b from canon where line = 1 and label = 1 and row % 50 = 0)
 select c.a, c.b, count(*) as n_rows from canon c where not exists (select 1 from held h where h.a = c.a and h.b = c.b) group by 1, 2""")
 def holdout_pair_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = P.canonical(raw_pairs(spark, sf_dir), "a", "b")
+    rows = raw_pairs(spark, sf_dir)
+    x = P.canonical(rows, "a", "b")
     held = x.where("line = 1 and label = 1 and row % 50 = 0")
-    return P.exclude_pairs(x, held, ["a", "b"]).groupBy("a", "b").agg(F.count("*").alias("n_rows"))
+    # Grouped before the join: an anti join of rows would be moved below their shuffle.
+    counts = spread(x.select("a", "b"), "a", "b", rows=rows.count()).groupBy("a", "b").agg(F.count("*").alias("n_rows"))
+    return P.exclude_pairs(counts, held, ["a", "b"])
 
 
 _SPLIT = f"""with {RAW_PAIRS}, pairs as (select a, b, max(label) as label from canon group by 1, 2),

@@ -137,3 +137,16 @@ def test_conflicts_are_counted_in_one_aggregate_of_the_pairs(spark):
 
     plan = QUERIES["pair_dedup_conflicts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("HashAggregate(keys=[a") == 2  # before and after its shuffle; distinct labels would need two more
+
+
+@pytest.mark.parametrize("name", ["holdout_pair_exclude"])
+def test_tasks_take_no_more_rows_as_tables_grow(spark, monkeypatch, name):
+    from pairloom.catalog import QUERIES
+    from pairloom.operators import tables
+
+    made = lambda: QUERIES[name](spark, "/root/testdata/sf0.001")
+    want = sorted(map(tuple, made().collect()))
+    monkeypatch.setattr(tables, "TASK_ROWS", 500)
+    plan = made()._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [a" in plan and ", 12" in plan  # 6,000 rows; the session has 4 partitions
+    assert sorted(map(tuple, made().collect())) == want

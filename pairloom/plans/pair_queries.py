@@ -19,8 +19,8 @@ _DEDUP = f"""with {RAW_PAIRS}, dedup as (
 )"""
 
 
-def _deduped(rows: DataFrame) -> DataFrame:
-    return P.dedup(rows, "a", "b", "label", "source", "evidence", sources=SOURCES, tags=TAG_NAMES)
+def _deduped(rows: DataFrame, n: int | None = None) -> DataFrame:
+    return P.dedup(rows, "a", "b", "label", "source", "evidence", sources=SOURCES, tags=TAG_NAMES, rows=rows.count() if n is None else n)
 
 
 @query(f"""{_DEDUP}, classed as (select *, {CLASS} as evidence_type from dedup)
@@ -31,7 +31,8 @@ def pair_dedup_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {RAW_PAIRS} select distinct a, b, a || '|' || b as pair_key from canon")
 def pair_canonical_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.undirected(raw_pairs(spark, sf_dir), "a", "b").select("a", "b", F.concat_ws("|", "a", "b").alias("pair_key"))
+    rows = raw_pairs(spark, sf_dir)
+    return P.undirected(rows, "a", "b", rows=rows.count()).select("a", "b", F.concat_ws("|", "a", "b").alias("pair_key"))
 
 
 @query(f"with {RAW_PAIRS} select case when a > b then b else a end as a, case when a > b then a else b end as b, case when a > b then line else row end as original_a, case when a > b then row else line end as original_b from raw")
@@ -42,7 +43,8 @@ def pair_swap_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_DEDUP} select count(*) as n_pairs, count(*) filter (where n_labels > 1) as n_conflicts from dedup")
 def pair_dedup_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = P.canonical(raw_pairs(spark, sf_dir), "a", "b").groupBy("a", "b").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    rows = raw_pairs(spark, sf_dir)
+    x = spread(P.canonical(rows, "a", "b").select("a", "b", "label"), "a", "b", rows=rows.count()).groupBy("a", "b").agg(F.min("label").alias("least"), F.max("label").alias("most"))
     return x.agg(F.count("*").alias("n_pairs"), F.count_if(F.col("most") > F.col("least")).alias("n_conflicts"))
 
 
@@ -74,6 +76,8 @@ def evidence_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MIXED = ["S2", "S3"]
+#: What throughput texts become.
+_RAW_TOKENS = ["HTP", "LTP", "no_exp", "negative_synthetic", "unknown"]
 
 
 @query(f"""{_DEDUP}, evidence as (
@@ -88,10 +92,12 @@ _MIXED = ["S2", "S3"]
 select a, b, array_to_string(list_transform(list_sort(list_transform(tags, lambda t: {{'p': coalesce(map {{'HTP': 0, 'LTP': 1, 'mixed': 2, 'no_exp': 3, 'structural': 4, 'negative_synthetic': 5}}[t], 99), 't': t}})), lambda x: x.t), ';') as evidence_tags from joined""")
 def evidence_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw_pairs(spark, sf_dir)
+    n = rows.count()
     orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row"), F.create_map(*map(F.lit, ("F", "HTP", "O", "LTP", "P", "both")))[F.col("o_orderstatus")].alias("throughput"))
-    own = P.canonical(rows.where("source = 'S1'"), "a", "b").join(orders, "row").select("a", "b", E.throughput_tokens(F.col("throughput")).alias("raw"))
-    own = own.groupBy("a", "b").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("raw")))).alias("raw"))
-    x = _deduped(rows).join(own, ["a", "b"], "left")
+    own = spread(P.canonical(rows.where("source = 'S1'"), "a", "b").select("a", "b", "row"), "row", rows=n).join(orders, "row")
+    own = own.select("a", "b", P.token_mask(F.array_join(E.throughput_tokens(F.col("throughput")), ";"), _RAW_TOKENS).alias("mask"))
+    own = spread(own, "a", "b", rows=n).groupBy("a", "b").agg(F.bit_or("mask").alias("mask"))
+    x = _deduped(rows, n).join(own.select("a", "b", S.tokens(P.names_of(F.col("mask"), _RAW_TOKENS)).alias("raw")), ["a", "b"], "left")
     tags = E.repaired(S.tokens(F.col("evidence_tags")), F.col("raw"), S.tokens(F.col("sources")), "S1", _MIXED)
     return x.select("a", "b", S.ordered_tokens(tags, E.REPAIR_ORDER).alias("evidence_tags"))
 
@@ -132,7 +138,7 @@ flagged as (
 
 def _split_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     raw = raw_pairs(spark, sf_dir)
-    pairs = written(P.canonical(raw, "a", "b").groupBy("a", "b").agg(F.max("label").alias("label")), "pairs")
+    pairs = written(spread(P.canonical(raw, "a", "b").select("a", "b", "label"), "a", "b", rows=raw.count()).groupBy("a", "b").agg(F.max("label").alias("label")), "pairs")
     held = pairs.where(F.substring(P.hash_rank(9, "a", "b"), 1, 3) < "001")
     clusters = raw.select(F.explode(F.array("a", "b")).alias("member")).distinct().withColumn("cluster", F.substring("member", 1, 8))
     return pairs, held, clusters
@@ -190,8 +196,9 @@ def negative_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 select n.a, n.b from neg n where not exists (select 1 from pos p where p.a = n.a and p.b = n.b) order by n.a, n.b limit 1000""")
 def negatives_one_to_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = raw_pairs(spark, sf_dir)
-    negative = P.undirected(x.where("label = 0 and a <> b"), "a", "b")
-    return P.exclude_pairs(negative, P.undirected(x.where("label = 1"), "a", "b"), ["a", "b"]).orderBy("a", "b").limit(1000)
+    n = x.count()
+    negative = P.undirected(x.where("label = 0 and a <> b"), "a", "b", rows=n)
+    return P.exclude_pairs(negative, P.undirected(x.where("label = 1"), "a", "b", rows=n), ["a", "b"]).orderBy("a", "b").limit(1000)
 
 
 @query(f"with {RAW_PAIRS} select row, line, role, endpoint from (select row, line, 'left' as role, a as endpoint from raw union all select row, line, 'right', b from raw)")
@@ -210,7 +217,8 @@ select (select count(*) from (select a, b from parts where part = 'train' inters
   (select count(*) from (select a, b from parts where part = 'val' intersect select a, b from parts where part = 'test')) as val_test""")
 def overlap_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.when(F.col("row") % 10 == 0, 4).when(F.col("row") % 10 == 1, 2).otherwise(1)
-    x = P.canonical(raw_pairs(spark, sf_dir), "a", "b").groupBy("a", "b").agg(F.bit_or(part).alias("m"))
+    rows = raw_pairs(spark, sf_dir)
+    x = spread(P.canonical(rows, "a", "b").select("a", "b", part.alias("part")), "a", "b", rows=rows.count()).groupBy("a", "b").agg(F.bit_or("part").alias("m"))
     both = lambda k: F.count_if(F.col("m").bitwiseAND(F.lit(k)) == k)
     return x.agg(both(3).alias("train_val"), both(5).alias("train_test"), both(6).alias("val_test"))
 

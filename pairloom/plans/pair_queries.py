@@ -109,8 +109,9 @@ def evidence_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 select a, b, array_to_string(list_transform(list_sort(list_transform(tags, lambda t: {{'p': coalesce(map {{'structural': 0, 'HTP': 1, 'LTP': 2, 'complex_curation': 3, 'mixed': 4, 'no_exp': 5, 'negative_synthetic': 6}}[t], 99), 't': t}})), lambda x: x.t), ';') as evidence_tags from tagged""")
 def evidence_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw_pairs(spark, sf_dir)
-    curated = P.undirected(rows.where("row % 7 = 0"), "a", "b").withColumn("curated", F.lit(True))
-    x = _deduped(rows).join(curated, ["a", "b"], "left")
+    n = rows.count()
+    curated = P.undirected(rows.where("row % 7 = 0"), "a", "b", rows=n).withColumn("curated", F.lit(True))
+    x = _deduped(rows, n).join(curated, ["a", "b"], "left")
     tags = E.with_curation(S.tokens(F.col("evidence_tags")), S.tokens(F.col("sources")), "S1", F.coalesce("curated", F.lit(False)))
     return x.select("a", "b", S.ordered_tokens(tags, E.TAG_ORDER).alias("evidence_tags"))
 

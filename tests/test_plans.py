@@ -139,7 +139,7 @@ def test_conflicts_are_counted_in_one_aggregate_of_the_pairs(spark):
     assert plan.count("HashAggregate(keys=[a") == 2  # before and after its shuffle; distinct labels would need two more
 
 
-@pytest.mark.parametrize("name", ["holdout_pair_exclude", "evidence_repair"])
+@pytest.mark.parametrize("name", ["holdout_pair_exclude", "evidence_repair", "evidence_normalise"])
 def test_tasks_take_no_more_rows_as_tables_grow(spark, monkeypatch, name):
     from pairloom.catalog import QUERIES
     from pairloom.operators import tables

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.sequences import public_id
-from pairloom.operators.tables import written
+from pairloom.operators.tables import tasks, written
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
@@ -84,13 +84,13 @@ def mint(fresh: DataFrame, master: DataFrame) -> DataFrame:
     return dense_numbers(firsts, "pos").select("md5", public_id(F.col("number") + F.lit(last + 1)).alias("fpid"))
 
 
-def ranked(df: DataFrame, *order: str | Column) -> tuple[DataFrame, list[int]]:
+def ranked(df: DataFrame, *order: str | Column, rows: int | None = None) -> tuple[DataFrame, list[int]]:
     """df with `__part` and `__at`, a row's range and its place there in the given order, and the rows of each range.
 
     The rows are ranged, sorted and written once, and everything is read from that table: two plans that range the same
-    rows may cut them at different places.
+    rows may cut them at different places. rows: how many df has, if known; large tables get more ranges.
     """
-    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = tasks(df.sparkSession, rows)
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
     numbered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
     table = written(numbered, "ranked")

@@ -26,10 +26,14 @@ def canonical(df: DataFrame, a: str, b: str, payload: list[tuple[str, str]] = ()
     return df.withColumns(turned)
 
 
+def unordered(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Rows as unordered pairs (a, b), repeated ones too; rows with a NULL endpoint go, as least() and greatest() pass NULLs over."""
+    return df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.least(a, b).alias(a), F.greatest(a, b).alias(b))
+
+
 def undirected(df: DataFrame, a: str, b: str, rows: int | None = None) -> DataFrame:
-    """Distinct unordered pairs (a, b); rows with a NULL endpoint go, as least() and greatest() pass NULLs over. rows: as in spread()."""
-    full = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    return spread(full.select(F.least(a, b).alias(a), F.greatest(a, b).alias(b)), a, b, rows=rows).distinct()
+    """Distinct unordered pairs (a, b) without NULL endpoints. rows: as in spread()."""
+    return spread(unordered(df, a, b), a, b, rows=rows).distinct()
 
 
 def joined_distinct(x: Column, separator: str = ";") -> Column:
@@ -131,13 +135,13 @@ def hash_rank(seed: int | str, *keys: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
 
 
-def lowest(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
+def lowest(df: DataFrame, n: int, *order: str | Column, rows: int | None = None) -> DataFrame:
     """The first n rows in an order that no two rows share, whatever n: no task or driver holds or sorts them all.
 
     Rows are ranged by the order, sorted and written; the ranges' sizes tell which lie below the n-th row as a whole, and
-    only in the one range that it falls into do places count.
+    only in the one range that it falls into do places count. rows: how many df has, if known; large tables get more ranges.
     """
-    parts, sizes = ranked(df, *order)
+    parts, sizes = ranked(df, *order, rows=rows)
     ends = list(accumulate(sizes))
     last = next((k for k, end in enumerate(ends) if end >= n), len(sizes))
     inside = n - (ends[last - 1] if last else 0)
@@ -196,32 +200,34 @@ def draw_endpoints(pairs: DataFrame, a: str, b: str, draws: int, seed: int, weig
     local = with_base(parts.withColumn("upto", F.sum("w").over(inner)), bases[:-1])
     ranges = local.select("node", (F.col("__base") + F.col("upto") - F.col("w")).alias("lo"), (F.col("__base") + F.col("upto")).alias("hi"))
     total = bases[-1]
-    block = max(1, total // 4096)
+    block = max(1, total // max(4096, sum(sizes) // 8))  # about eight endpoints a block, however many there are
     cells = ranges.select("node", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor((F.col("hi") - 1) / block))).alias("cell"))
     out = spark.range(draws).select(F.col("id").alias("k"))
     for side in ("left", "right"):
         at = F.pmod(hash_number(F.lit(str(seed)), F.lit(side), F.col("k").cast("string")), F.lit(max(1, total)))
-        hit = out.withColumn("at", at).withColumn("cell", F.floor(F.col("at") / block)).join(cells, "cell").where("at >= lo and at < hi")
+        hit = spread(out.withColumn("at", at).withColumn("cell", F.floor(F.col("at") / block)), "cell", rows=draws).join(cells, "cell").where("at >= lo and at < hi")
         out = hit.select(*(c for c in out.columns), F.col("node").alias(side))
     return out
 
 
-def sample_negatives(positives: DataFrame, a: str, b: str, n: int, seed: int, weighted: bool = True, most_rounds: int = 20, exclude: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+def sample_negatives(positives: DataFrame, a: str, b: str, n: int, seed: int, weighted: bool = True, most_rounds: int = 20, exclude: DataFrame | None = None, known: DataFrame | None = None, rows: int = 0) -> DataFrame:
     """n distinct unordered pairs of endpoints of `positives` that are no known pair (these, unless told) and no self pair; an error if that fails.
 
-    Each round's draws are written, so a further round adds to them and repeats nothing.
+    Each round's draws are written, so a further round adds to them and repeats nothing. rows: of positives and of
+    pairs that are known or excluded, about; with the draws they tell how many partitions the steps need.
     """
-    known = undirected(positives, a, b) if known is None else known
-    known = known.unionByName(undirected(exclude, a, b)) if exclude is not None else known
+    known = unordered(positives if known is None else known, a, b)
+    known = known.unionByName(unordered(exclude, a, b)) if exclude is not None else known
     found, draws = None, max(64, 2 * n)
     for turn in range(most_rounds):
         new = draw_endpoints(positives, a, b, draws, seed + turn, weighted).where("left <> right")
-        new = new.groupBy(F.least("left", "right").alias(a), F.greatest("left", "right").alias(b)).agg((F.min("k") + turn * draws).alias("k"))
+        new = spread(new.select(F.least("left", "right").alias(a), F.greatest("left", "right").alias(b), "k"), a, b, rows=draws + rows)
+        new = new.groupBy(a, b).agg((F.min("k") + turn * draws).alias("k"))
         new = written(new.join(known, [a, b], "left_anti"), "negatives")
         found = new if found is None else found.unionAll(new)
-        first = found.groupBy(a, b).agg(F.min("k").alias("k"))
-        if first.count() >= n:
-            return lowest(first, n, "k").select(a, b)
+        first = found if turn == 0 else spread(found, a, b, rows=(turn + 1) * draws).groupBy(a, b).agg(F.min("k").alias("k"))
+        if (made := first.count()) >= n:
+            return lowest(first, n, "k", rows=made).select(a, b)
     raise ValueError(f"fewer than {n} negatives after {most_rounds} rounds")
 
 
@@ -250,14 +256,16 @@ def fill_negatives(pairs: DataFrame, a: str, b: str, label: str, per_positive: i
     given ones than are wanted the first in order stay.
     """
     positives = pairs.where(F.col(label) == 1)
-    given = undirected(pairs.where(F.col(label) == 0), a, b)
+    rows = pairs.count()
+    given = written(undirected(pairs.where(F.col(label) == 0), a, b, rows=rows), "given")  # several steps read them
     target = positives.count() * per_positive
-    lacks = target - given.count()
+    n_given = given.count()
+    lacks = target - n_given
     every = given
     if lacks > 0:
-        more = sample_negatives(pairs, a, b, lacks, seed, False, exclude=given, known=undirected(positives, a, b))
+        more = sample_negatives(pairs, a, b, lacks, seed, False, exclude=given, known=positives, rows=rows)
         every = given.unionByName(more)
-    chosen = lowest(every, target, a, b)
+    chosen = lowest(every, target, a, b, rows=max(n_given, target))
     return positives.select(a, b, F.lit(1).alias("label"), F.lit("positive").alias("category")).unionByName(chosen.select(a, b, F.lit(0).alias("label"), F.lit("negative_sampled").alias("category")))
 
 

@@ -1,6 +1,7 @@
 """The database build, the split and incremental runs from end to end."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +151,25 @@ def test_tasks_take_no_more_rows_as_tables_grow(spark, monkeypatch, name):
     plan = made()._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [a" in plan and ", 12" in plan  # 6,000 rows; the session has 4 partitions
     assert sorted(map(tuple, made().collect())) == want
+
+
+def test_filling_up_negatives_takes_no_more_rows_a_task_as_tables_grow(spark, monkeypatch):
+    from pairloom.catalog import QUERIES
+    from pairloom.operators import entities, pairs, tables
+
+    fill, made = QUERIES["negatives_filled_up"], []
+    want = sorted(map(tuple, fill(spark, "/root/testdata/sf0.001").collect()))
+
+    def spy(df, what):
+        made.append((what, df._jdf.queryExecution().optimizedPlan().toString()))
+        return tables.written(df, what)
+
+    for module in (entities, pairs):
+        monkeypatch.setattr(module, "written", spy)
+    monkeypatch.setattr(tables, "TASK_ROWS", 100)
+    assert sorted(map(tuple, fill(spark, "/root/testdata/sf0.001").collect())) == want
+    assert [what for what, _ in made] == ["given", "ranked", "negatives", "ranked", "ranked"]
+    dealt = [re.findall(r"RepartitionByExpression \[([a-z]+)#.*\], (\d+)", plan) for _, plan in made]
+    assert dealt[0] == [("a", "60")]  # 6,000 rows
+    assert {key for key, n in dealt[2] if int(n) > 4} == {"a", "cell"}
+    assert int(dealt[3][0][1]) > 4 and int(dealt[4][0][1]) > 4  # the ranges of new pairs and of all
